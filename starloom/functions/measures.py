@@ -1,0 +1,41 @@
+"""Aggregates that do not depend on the order in which rows arrive.
+
+A sum of doubles changes in its last digits with the order of its input, and with it
+the ranks made from it, so a retried task could give another report. Amounts are
+therefore summed in two whole numbers, units and millionths, which is exact for up to
+six decimals and costs no more than a sum of doubles. Values that whole numbers cannot
+hold (NaN, infinities, 2^53 and above) fall back to the sum of doubles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, WindowSpec
+from pyspark.sql import functions as F
+
+_MILLIONTHS = 1_000_000
+_LARGEST_EXACT = float(2**53)
+
+
+def exact_sum(amount: Column, window: WindowSpec | None = None) -> Column:
+    def total(aggregate: Column) -> Column:
+        return aggregate.over(window) if window is not None else aggregate
+
+    units = F.floor(amount)
+    millionths = F.floor((amount - units) * _MILLIONTHS + 0.5)
+    unit_total = total(F.try_sum(units)).cast("decimal(20,0)")
+    millionth_total = total(F.try_sum(millionths)).cast("decimal(20,0)")
+    whole_numbers = (unit_total + millionth_total * F.lit("0.000001").cast("decimal(7,6)")).cast("double")
+    # max() puts NaN above every number, so one comparison excludes all special values
+    fits = total(F.max(F.abs(amount))) < _LARGEST_EXACT
+    return F.coalesce(F.when(fits, whole_numbers), total(F.sum(amount)))
+
+
+def exact_mean(amount: Column) -> Column:
+    return F.try_divide(exact_sum(amount), F.count(amount).cast("double"))
+
+
+def correlation(left: Column, right: Column) -> Column:
+    """Pearson correlation over complete pairs; null where a side does not vary."""
+    x = F.when(right.isNotNull(), left).cast("double")
+    y = F.when(left.isNotNull(), right).cast("double")
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
