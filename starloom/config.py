@@ -8,7 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-TIME_ZONE = "UTC"
+SESSION_SETTINGS = {
+    # dates must not depend on where the job runs
+    "spark.sql.session.timeZone": "UTC",
+    # the JVM compiles no method above 8000 bytes of bytecode: a generated stage beyond
+    # that (typing 50 columns is one) would run interpreted, so Spark is told to generate
+    # smaller pieces for it
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 # The variables and their defaults. Passwords have no default.
 DEFAULTS = {
@@ -89,12 +96,13 @@ def settings(environment: Mapping[str, str] = os.environ) -> Settings:
     )
 
 
-def pin_time_zone(spark: SparkSession) -> SparkSession:
-    """Dates must not depend on where the job runs."""
-    spark.conf.set("spark.sql.session.timeZone", TIME_ZONE)
+def prepared(spark: SparkSession) -> SparkSession:
+    """The caller's session with the settings the jobs rely on."""
+    for name, setting in SESSION_SETTINGS.items():
+        spark.conf.set(name, setting)
     return spark
 
 
 def open_session(name: str) -> SparkSession:
     """The session of a submitted job; master, jars and sizes come with the submit."""
-    return pin_time_zone(SparkSession.builder.appName(name).getOrCreate())
+    return prepared(SparkSession.builder.appName(name).getOrCreate())
