@@ -28,13 +28,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """A fresh folder below the shared one, written by one job."""
+    """A fresh folder below the shared one, written by one job and gone with it."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         parent = (folder or shared_folder(spark)).rstrip("/")
         application = spark.sparkContext.applicationId
         self.root = f"{parent}/starloom-{application}-{uuid.uuid4().hex}"
+        files, path = self._files()
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def fresh_path(self, label: str) -> str:
         return f"{self.root}/{label}-{uuid.uuid4().hex}"
@@ -46,7 +49,10 @@ class Workspace:
 
     def discard(self) -> None:
         """Remove this workspace's own folder once nothing reads from it any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(hadoop).delete(path, True)
+        files, path = self._files()
+        files.delete(path, True)
+
+    def _files(self):
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
