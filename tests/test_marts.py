@@ -1,0 +1,163 @@
+import pytest
+
+from starloom.plans import marts
+from starloom.plans.star import Star
+from starloom.plans.typed import typed_sales
+from starloom.schema import STORE, SUPPLIER
+
+
+def sale(n, product, quantity, price, **more):
+    return dict(
+        id=str(n),
+        sale_product_id=product,
+        sale_quantity=quantity,
+        sale_total_price=price,
+        **more,
+    )
+
+
+@pytest.fixture
+def star_of(raw_sales, workspace):
+    return lambda *rows: Star.from_sales(typed_sales(raw_sales(*rows)), workspace)
+
+
+def by(rows, key):
+    return {row[key]: row for row in rows.collect()}
+
+
+def test_rating_and_reviews_fan_out_over_sales(star_of):
+    attributes = dict(product_rating="4.5", product_reviews="10", product_category="toys")
+    star = star_of(*[sale(n, "1", "2", "1.10", **attributes) for n in range(3)])
+    (row,) = marts.build(marts.PRODUCT_SALES, star).collect()
+    assert row.total_reviews == 30
+    assert row.avg_rating == 4.5
+    assert row.total_sales_qty == 6
+    assert row.total_revenue == row.category_revenue == 3.3
+    assert row.product_rank == 1
+
+
+def test_missing_category_has_no_total_and_a_missing_product_no_attributes(star_of):
+    star = star_of(
+        sale(1, "1", "1", "5", product_category=None),
+        sale(2, "2", "1", "7", product_category="toys"),
+        sale(3, None, "9", "1", product_category="toys", product_name="lost"),
+    )
+    rows = by(marts.build(marts.PRODUCT_SALES, star), "product_id")
+    assert rows[1].category_revenue is None
+    assert rows[2].category_revenue == 7.0
+    assert (rows[None].product_name, rows[None].total_sales_qty) == (None, 9)
+    assert rows[None].product_rank == 1
+    totals = by(marts.rollup_alone(marts.PRODUCT_SALES, "category_revenue", star), "product_category")
+    assert totals[None].category_revenue == 6.0
+
+
+def test_ties_go_by_key_and_missing_values_rank_last(star_of):
+    star = star_of(
+        sale(1, "3", "4", "1", product_rating="2.0"),
+        sale(2, "1", "4", "1", product_rating="N/A"),
+        sale(3, "2", "4", "1", product_rating="2.0"),
+        sale(4, "4", "?", "1", product_rating="3.0"),
+        sale(5, None, "4", "1"),
+    )
+    ranks = by(marts.build(marts.PRODUCT_SALES, star), "product_id")
+    assert {key: row.product_rank for key, row in ranks.items()} == {1: 1, 2: 2, 3: 3, None: 4, 4: 5}
+    quality = by(marts.build(marts.PRODUCT_QUALITY, star), "product_id")
+    assert {key: row.rating_rank_desc for key, row in quality.items()} == {4: 1, 2: 2, 3: 3, 1: 4, None: 5}
+    assert {key: row.rating_rank_asc for key, row in quality.items()} == {2: 1, 3: 2, 4: 3, 1: 4, None: 5}
+
+
+def test_customers_are_counted_in_the_dimension(star_of):
+    star = star_of(
+        sale(1, "1", "1", "5", sale_customer_id="1", customer_country="NL"),
+        sale(2, "1", "1", "6", sale_customer_id="2", customer_country="NL"),
+        sale(3, "1", "1", "8", sale_customer_id="2", customer_country="BE"),
+        sale(4, "1", "1", "9", sale_customer_id=None, customer_country="NL"),
+        sale(5, "1", "1", "1", sale_customer_id="3", customer_country=None),
+    )
+    rows = by(marts.build(marts.CUSTOMER_SALES, star), "customer_id")
+    assert {key: row.country_customer_count for key, row in rows.items()} == {1: 2, 2: 2, None: None, 3: None}
+    assert (rows[2].total_spent, rows[2].avg_check, rows[2].customer_rank) == (14.0, 7.0, 1)
+    counts = by(marts.rollup_alone(marts.CUSTOMER_SALES, "country_customer_count", star), "customer_country")
+    assert {key: row.country_customer_count for key, row in counts.items()} == {"NL": 2, None: 1}
+
+
+def test_months_count_ids_but_average_rows(star_of):
+    star = star_of(
+        sale(1, "1", "1", "10", sale_date="1/5/2020"),
+        sale(1, "1", "1", "20", sale_date="1/6/2020"),
+        sale(2, "1", "1", "40", sale_date="2/1/2020"),
+        sale(3, "1", "1", "5", sale_date="2/30/2020"),
+        sale(4, "1", "1", "6", sale_date=None),
+    )
+    rows = [tuple(row) for row in marts.time_sales(star).collect()]
+    assert rows == [
+        (None, None, 11.0, 2, 5.5, 11.0),
+        (2020, 1, 30.0, 1, 15.0, 70.0),
+        (2020, 2, 40.0, 1, 40.0, 70.0),
+    ]
+
+
+def test_a_city_is_one_group_whatever_its_country(star_of):
+    def store(n, **changes):
+        return {name: f"{name}{n}" for name in STORE.columns} | {"store_city": "Ghent"} | changes
+
+    star = star_of(
+        sale(1, "1", "1", "1", **store(1)),
+        sale(2, "1", "1", "2", **store(2)),
+        sale(3, "1", "1", "4", **store(2, store_phone=None)),
+    )
+    rows = by(marts.build(marts.STORE_SALES, star), "store_id")
+    found = {row.store_country: row for row in rows.values()}
+    assert found["store_country1"].city_total_revenue == 3.0
+    assert found["store_country2"].country_total_revenue == 2.0
+    assert rows[None].total_revenue == 4.0
+    assert (rows[None].city_total_revenue, rows[None].store_rank) == (None, 1)
+
+
+def test_sales_go_to_the_supplier_the_product_kept(star_of):
+    def supplier(n):
+        return {name: f"{name}{n}" for name in SUPPLIER.columns}
+
+    star = star_of(
+        sale(1, "1", "1", "10", product_price="2", **supplier(1)),
+        sale(2, "1", "1", "20", product_price="2", **supplier(2)),
+        sale(3, "2", "1", "30", product_price="8", **supplier(1)),
+        sale(4, "3", "1", "40", product_price="?", **supplier(1)),
+    )
+    rows = by(marts.build(marts.SUPPLIER_SALES, star), "supplier_name")
+    assert set(rows) == {"supplier_name1"}
+    assert rows["supplier_name1"].total_revenue == 100.0
+    assert rows["supplier_name1"].avg_product_price == 4.0
+    assert rows["supplier_name1"].country_total_revenue == 100.0
+
+
+def test_correlation_over_one_product_is_null_but_typed(star_of):
+    report = marts.build(marts.PRODUCT_QUALITY, star_of(sale(1, "1", "1", "1", product_rating="3")))
+    assert dict(report.dtypes)["rating_sales_corr"] == "double"
+    assert report.first().rating_sales_corr is None
+
+
+def test_an_empty_star_gives_empty_reports(star_of):
+    star = star_of()
+    for report in marts.all_reports(star).values():
+        assert report().collect() == []
+
+
+def test_the_top_is_the_head_of_the_report(star_of):
+    star = star_of(
+        *[
+            sale(n, str(n % 7), str(n % 4), f"{n}.25", product_category=f"c{n % 2}")
+            for n in range(60)
+        ]
+    )
+    report = marts.build(marts.PRODUCT_SALES, star)
+    head = marts.build_top(marts.PRODUCT_SALES, star, 3)
+    assert head.columns == report.columns
+    expected = marts.top_of(report, "product_rank", 3).collect()
+    assert sorted(head.collect(), key=lambda row: row.product_rank) == expected
+
+
+def test_months_are_joined_to_dates_by_size_checked_broadcast(star_of):
+    star = star_of(sale(1, "1", "1", "10", sale_date="1/5/2020"))
+    plan = marts.time_sales(star)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin [sale_date_id" in plan
