@@ -67,12 +67,14 @@ def main(arguments: list[str] | None = None) -> None:
     def star_table(name: str):
         if chosen.star:
             return spark.read.parquet(f"{chosen.star.rstrip('/')}/{name}")
-        return read_table(
+        # several marts read each table: it leaves the database once
+        table = read_table(
             spark,
             options.warehouse,
             f"{options.source_schema}.{name}",
             split=RangeSplit(SPLIT_COLUMNS[name]),
         )
+        return workspace.save(table, name)
 
     try:
         if chosen.job == "star":

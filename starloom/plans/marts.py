@@ -267,8 +267,8 @@ def _with_totals(rows: DataFrame, mart: Mart, source: DataFrame, star: Star) ->
         over = source if rollup.table is None else star[rollup.table]
         rows = add_group_total(rows, over, rollup.by, rollup.total(), rollup.output)
     for output, figure in mart.overall:
-        # an aggregate without groups: one row, whatever the data
-        rows = rows.crossJoin(F.broadcast(source.agg(figure().alias(output))))
+        # an aggregate without groups is one value, put into the plan as a scalar subquery
+        rows = rows.withColumn(output, source.agg(figure()).scalar())
     return rows.select(*mart.columns)
 
 

@@ -121,8 +121,8 @@ class Star:
 
     @classmethod
     def from_store(cls, read: Callable[[str], DataFrame], workspace: Workspace) -> Star:
-        """A star that was loaded before; each table is fetched once."""
-        return cls(lambda _, name: workspace.save(read(name), name), workspace)
+        """A star that was loaded before; each table is asked for once."""
+        return cls(lambda _, name: read(name), workspace)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:

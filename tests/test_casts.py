@@ -57,18 +57,54 @@ def test_long_holds_what_int_does_not(spark):
     assert got == [99999999999, 99999999999, None]
 
 
-def test_doubles(spark):
-    texts = ["1.5", " 2 ", "1e3", "N/A", "", None]
-    frame = spark.createDataFrame([(text,) for text in texts], "x string")
-    got = [row[0] for row in frame.select(lenient_double("x")).collect()]
-    assert got == [1.5, 2.0, 1000.0, None, None, None]
+DOUBLES = ["1.5", " 2 ", "1e3", "-.5", "5.", "1d", "0x1p3", "N/A", "-", "", None, "NaN", "nan", "+inf", "-Infinity", " NaN "]
+
+
+def test_doubles_equal_the_cast_without_ansi(spark, set_conf):
+    set_conf("spark.sql.ansi.enabled", "false")
+    frame = spark.createDataFrame([(text,) for text in DOUBLES], "x string")
+    rows = frame.select("x", lenient_double("x").alias("ours"), F.col("x").cast("double").alias("cast"))
+    assert rows.where(~F.col("ours").eqNullSafe(F.col("cast"))).collect() == []
+    assert {row.x: row.ours for row in rows.collect()}["1e3"] == 1000.0
+
+
+DATES = {
+    "5/9/2021": date(2021, 5, 9),
+    "05/09/2021": date(2021, 5, 9),
+    "12/31/1999": date(1999, 12, 31),
+    "10/30/0021": date(21, 10, 30),
+    "2/29/2020": date(2020, 2, 29),
+    "2/29/2021": None,
+    "13/45/2020": None,
+    "31/12/2020": None,
+    "0/1/2020": None,
+    "2020-01-01": None,
+    "5/9/21": None,
+    " 5/9/2021": None,
+    "5/9/2021 ": None,
+    "": None,
+    None: None,
+}
 
 
 def test_dates(spark):
-    texts = ["5/9/2021", "05/09/2021", "12/31/1999", "13/45/2020", "2020-01-01", "5/9/21", "", None]
-    frame = spark.createDataFrame([(text,) for text in texts], "x string")
-    got = [row[0] for row in frame.select(lenient_date("x", "M/d/yyyy")).collect()]
-    assert got == [date(2021, 5, 9), date(2021, 5, 9), date(1999, 12, 31)] + [None] * 5
+    frame = spark.createDataFrame([(text,) for text in DATES], "x string")
+    rows = frame.select(
+        "x",
+        lenient_date("x", "M/d/yyyy").alias("ours"),
+        F.try_to_date("x", "M/d/yyyy").alias("parsed"),
+    ).collect()
+    assert {row.x: row.ours for row in rows} == DATES
+    assert all(row.ours == row.parsed for row in rows)
+
+
+def test_every_date_of_four_centuries(spark):
+    """The shape that decides whether to parse lets every valid date through."""
+    frame = spark.sql("select explode(sequence(date'1800-01-01', date'2199-12-31')) as d")
+    for pattern in ("M/d/yyyy", "MM/dd/yyyy"):
+        texts = frame.select("d", F.date_format("d", pattern).alias("x"))
+        wrong = texts.where(~F.col("d").eqNullSafe(lenient_date("x", "M/d/yyyy")))
+        assert wrong.count() == 0
 
 
 def test_date_key(spark):
