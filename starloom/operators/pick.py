@@ -7,20 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.lookup import BROADCAST_BYTES, measured_bytes
+from starloom.workspace import Workspace
+
 
 def _nulls_last(name: str) -> list[Column]:
     return [F.col(name).isNull().alias(f"no_{name}"), F.col(name)]
 
 
 def lowest_row_per_key(
-    rows: DataFrame, key: str, order: str, attributes: Sequence[str]
+    rows: DataFrame,
+    key: str,
+    order: str,
+    attributes: Sequence[str],
+    workspace: Workspace,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The row with the lowest `order` value per key, ties settled by the attributes.
 
     Nulls sort last, and a null key is a key like any other. The minimum of a struct is
     kept per key before the shuffle, so a key that holds a large share of all rows sends
-    one row per task.
+    one row per task. With many keys, though, most rows are the only one of their key in
+    their task, and all their columns would be shuffled. So the lowest `order` value per
+    key is found first, from two columns, and where these pairs are measured to be within
+    `limit` they are sent to the executors and only the rows that carry them go on.
     """
+    lowest = workspace.save(
+        rows.groupBy(F.col(key).alias("lowest_key")).agg(F.min(order).alias("lowest")),
+        f"lowest-{key}",
+    )
+    if measured_bytes(lowest) <= limit:
+        same_row = F.col(key).eqNullSafe(F.col("lowest_key")) & F.col(order).eqNullSafe(
+            F.col("lowest")
+        )
+        rows = rows.join(F.broadcast(lowest), same_row, "left_semi")
     candidate = F.struct(*[part for name in (order, *attributes) for part in _nulls_last(name)])
     return (
         rows.groupBy(key)

@@ -24,9 +24,12 @@ from starloom.schema import (
 from starloom.workspace import Workspace
 
 
-def keyed_dimension(sales: DataFrame, layout: KeyedDimension) -> DataFrame:
+def keyed_dimension(
+    sales: DataFrame, layout: KeyedDimension, workspace: Workspace
+) -> DataFrame:
+    """One row per key: that of the sale with the lowest id."""
     rows = sales.withColumn(layout.key, F.col(layout.source_key))
-    return lowest_row_per_key(rows, layout.key, "id", layout.attributes)
+    return lowest_row_per_key(rows, layout.key, "id", layout.attributes, workspace)
 
 
 def numbered_dimension(
@@ -38,7 +41,9 @@ def numbered_dimension(
     return number_rows(distinct, order, layout.key, workspace)
 
 
-def product_dimension(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
+def product_dimension(
+    sales: DataFrame, suppliers: DataFrame, workspace: Workspace
+) -> DataFrame:
     """Products with the id of the supplier on the row that was kept.
 
     A supplier with a missing column is found by no product: the join is not null-safe.
@@ -46,7 +51,7 @@ def product_dimension(sales: DataFrame, suppliers: DataFrame) -> DataFrame:
     layout = KeyedDimension(
         PRODUCT.key, PRODUCT.source_key, PRODUCT.attributes + SUPPLIER.columns
     )
-    products = keyed_dimension(sales, layout)
+    products = keyed_dimension(sales, layout, workspace)
     return look_up(products, suppliers, SUPPLIER.columns).select(
         PRODUCT.key, *PRODUCT.attributes, SUPPLIER.key
     )
@@ -100,15 +105,15 @@ class Star:
         def build(star: Star, name: str) -> DataFrame:
             match name:
                 case "dim_customer":
-                    table = keyed_dimension(sales, CUSTOMER)
+                    table = keyed_dimension(sales, CUSTOMER, workspace)
                 case "dim_seller":
-                    table = keyed_dimension(sales, SELLER)
+                    table = keyed_dimension(sales, SELLER, workspace)
                 case "dim_supplier":
                     table = numbered_dimension(sales, SUPPLIER, workspace)
                 case "dim_store":
                     table = numbered_dimension(sales, STORE, workspace)
                 case "dim_product":
-                    table = product_dimension(sales, star["dim_supplier"])
+                    table = product_dimension(sales, star["dim_supplier"], workspace)
                 case "dim_date":
                     table = date_dimension(sales)
                 case "fact_sales":

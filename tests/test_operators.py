@@ -54,7 +54,8 @@ def test_no_window_over_the_whole_table(spark, workspace):
     assert plan.count("Window [") == 1 and "sum(size" in plan
 
 
-def test_lowest_row_wins_and_nulls_come_last(spark):
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_lowest_row_wins_and_nulls_come_last(spark, workspace, limit):
     data = [
         (1, 20, "b", 1),
         (1, 10, "z", 2),
@@ -66,10 +67,33 @@ def test_lowest_row_wins_and_nulls_come_last(spark):
         (None, 4, "m", 1),
     ]
     frame = spark.createDataFrame(data, "k long, id long, a string, b int")
-    got = {row.k: (row.a, row.b) for row in lowest_row_per_key(frame, "k", "id", ["a", "b"]).collect()}
+    kept = lowest_row_per_key(frame, "k", "id", ["a", "b"], workspace, limit)
+    got = {row.k: (row.a, row.b) for row in kept.collect()}
     assert got == {1: ("z", 2), 2: ("x", None), None: ("n", 1)}
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_lowest_row_equals_a_plain_window(spark, workspace, limit):
+    chance = random.Random(3)
+    # a third of the rows have one key, ids repeat
+    data = [
+        (
+            chance.choice([1, None, chance.randint(0, 200)]),
+            chance.choice([None, chance.randint(0, 30)]),
+            chance.choice([None, "", "a", "b"]),
+            chance.choice([None, 0.5, -1.0]),
+        )
+        for _ in range(4000)
+    ]
+    frame = spark.createDataFrame(data, "k long, id long, a string, x double")
+    window = Window.partitionBy("k").orderBy(
+        *[F.col(name).asc_nulls_last() for name in ("id", "a", "x")]
+    )
+    plain = frame.withColumn("n", F.row_number().over(window)).where("n = 1").select("k", "a", "x")
+    ours = lowest_row_per_key(frame, "k", "id", ["a", "x"], workspace, limit)
+    assert sorted(map(repr, ours.collect())) == sorted(map(repr, plain.collect()))
+
+
 @pytest.mark.parametrize("limit", [0, 10**9])
 def test_look_up_is_the_same_broadcast_or_shuffled(spark, set_conf, limit):
     set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")

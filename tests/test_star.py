@@ -110,6 +110,6 @@ def test_wide_rows_are_not_generated_beyond_what_the_jvm_compiles(spark):
 
 def test_dimensions_read_only_their_columns(spark, workspace, raw_sales):
     rows = workspace.save(typed_sales(raw_sales({"id": "1"})), "sales")
-    plan = keyed_dimension(rows, SELLER)._jdf.queryExecution().executedPlan().toString()
+    plan = keyed_dimension(rows, SELLER, workspace)._jdf.queryExecution().executedPlan().toString()
     read = plan[plan.index("ReadSchema") :]
     assert "seller_email" in read and "product_name" not in read
