@@ -326,6 +326,7 @@ _QUERIES = {
     **{f"{report}_filled": _filled(report) for report in _TEXT_COLUMNS},
     "csv_round_trip": "select * from flat_sales",
     "json_round_trip": "select * from product_sales",
+    "first_documents": _first("product_sales", "product_rank", 5),
     "parquet_round_trip": "select * from fact_sales",
 }
 

@@ -1,8 +1,4 @@
-"""Command line of the two jobs.
-
-    spark-submit ... -m starloom star   [--csv PATH ...] [--to warehouse|FORMAT:FOLDER]
-    spark-submit ... -m starloom marts  [--star FOLDER] --to column-store|documents|FORMAT:FOLDER
-"""
+"""Command line of the two jobs: `star` loads the star, `marts` publishes the reports."""
 
 from __future__ import annotations
 
