@@ -40,8 +40,9 @@ def number_rows(
         .select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
     )
     place = F.col("slot").bitwiseAND(F.lit(_PLACE_MASK))
+    # every part has its offset; as a left join it is left out where the number is not read
     return (
         sorted_rows.withColumn("part", part)
-        .join(F.broadcast(offsets), "part")
+        .join(F.broadcast(offsets), "part", "left")
         .select(*rows.columns, (F.col("before") + place + 1).cast("int").alias(output))
     )

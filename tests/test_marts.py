@@ -161,3 +161,11 @@ def test_months_are_joined_to_dates_by_size_checked_broadcast(star_of):
     star = star_of(sale(1, "1", "1", "10", sale_date="1/5/2020"))
     plan = marts.time_sales(star)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin [sale_date_id" in plan
+
+
+def test_group_totals_do_not_wait_for_the_ranks(star_of):
+    star = star_of(sale(1, "1", "1", "10", product_category="toys"))
+    report = marts.build(marts.PRODUCT_SALES, star)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    # one join brings the offsets of the ranks, one the category totals
+    assert plan.count("Join LeftOuter") == 2
