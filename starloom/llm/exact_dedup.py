@@ -59,7 +59,7 @@ def heavy_winners(rows: DataFrame) -> DataFrame:
         .groupBy("part")
         .agg(F.expr(f"approx_top_k_accumulate(item, {COUNTERS})").alias("sketch"))
         # by a constant: without a key, tasks without rows would add sketches without a type
-        .groupBy(F.lit(0))
+        .groupBy(F.lit("all").alias("all"))
         .agg(F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {CANDIDATES})")).alias("top"))
         .filter("top.count > 1")

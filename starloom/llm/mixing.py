@@ -35,7 +35,9 @@ _LEAST_WEIGHT = 0.25
 def quality_weight(text_col: str) -> Column:
     """From 0.25 to 1: the share of letters and white space in the text."""
     text = text_or_empty(text_col)
-    share = F.length(F.regexp_replace(text, r"[^\p{L}\s]+", "")) / F.length(text)
+    share = F.try_divide(
+        F.length(F.regexp_replace(text, r"[^\p{L}\s]+", "")), F.length(text)
+    )
     return _LEAST_WEIGHT + (1 - _LEAST_WEIGHT) * F.coalesce(share, F.lit(0.0))
 
 
@@ -150,9 +152,7 @@ def _source_place(column: Column) -> Column:
 def _plan(sized: DataFrame, workspace: Workspace) -> DataFrame:
     sizes = sized.groupBy("__source").agg(F.sum("__size").alias("source_size"))
     plan = targets(sizes, workspace)
-    epochs = F.when(
-        F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
-    ).otherwise(0)
+    epochs = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
     plan = plan.select(
         _source_place(F.col("__source")).alias("source_place"),
         "source_size",

@@ -207,7 +207,8 @@ def _judged(measured: DataFrame, references: DataFrame) -> DataFrame:
         }
     )
     far = (F.col("char_distance") > MAX_CHARACTER_DISTANCE) | (
-        F.col("word_distance") > MAX_WORD_DISTANCE + WORD_CHANCE / F.sqrt("n_words")
+        F.col("word_distance")
+        > MAX_WORD_DISTANCE + F.try_divide(F.lit(WORD_CHANCE), F.sqrt("n_words"))
     )
     # without a reference or below the least length there is no distance, so no objection
     return compared.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
