@@ -13,12 +13,14 @@ from starloom.llm.packing import op5_packing
 from starloom.llm.quality import op8_quality_rules
 from starloom.llm.simhash import op4_simhash
 from starloom.llm.token_counts import op3_token_counts
+from starloom.llm.token_files import op6_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
+    "op6_token_files": op6_token_files,
     "op8_quality_rules": op8_quality_rules,
     "op10_mixing": op10_mixing,
 }

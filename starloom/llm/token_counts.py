@@ -18,7 +18,7 @@ def _counts(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCoder.loaded(vocabulary)
         for batch in batches:
-            counts = [coder.count(text.as_py()) for text in batch.column(2)]
+            counts = coder.count(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],

@@ -9,7 +9,7 @@ import os
 import re
 import sys
 import types
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -19,8 +19,11 @@ BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 # texts are worked on in pieces of about this many bytes
 PIECE_BYTES = 1 << 20
-_CACHE_BYTES = 48 << 20
+# bytes of new words in a call of the library, and of the texts worked on together
 _CALL_BYTES = 1 << 18
+_GROUP_BYTES = 4 << 20
+# words a worker remembers, at about 200 bytes each
+_MOST_WORDS = 1_000_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -63,60 +66,73 @@ class WordCoder:
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.kind = np.dtype("<u2" if small else "<u4")
         self.codes: dict[bytes, bytes] = {}
-        self.held = 0
         self._before_mark = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
 
     @staticmethod
     def loaded(vocabulary: str) -> WordCoder:
         return per_worker(f"words {vocabulary}", lambda: WordCoder(vocabulary))
 
-    def words(self, text: bytes) -> list[bytes]:
+    def _words(self, text: bytes) -> list[bytes]:
         # the vocabulary is in lower case; only special strings must keep theirs
         text = text if b"<|" in text else text.lower()
         return self._before_mark.sub(rb" \1", text).split()
 
     def _learn(self, new: set[bytes]) -> None:
-        def encode(call: list[bytes]) -> None:
+        # letters a-z need no normalising or splitting: the model alone gives their tokens
+        plain = [word for word in new if word.isalpha() and word.islower()]
+        for word in plain:
+            tokens = self.tokenizer.model.tokenize(word.decode("ascii"))
+            self.codes[word] = np.array([t.id for t in tokens], dtype=self.kind).tobytes()
+        for call in calls(new.difference(plain), _CALL_BYTES):
             texts = [word.decode("utf-8") for word in call]
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             for word, encoding in zip(call, found, strict=True):
-                code = np.array(encoding.ids, dtype=self.kind).tobytes()
-                self.codes[word] = code
-                self.held += len(word) + len(code) + 160
-
-        call: list[bytes] = []
-        size = 0
-        for word in new:
-            call.append(word)
-            size += len(word)
-            if size >= _CALL_BYTES:
-                encode(call)
-                call, size = [], 0
-        if call:
-            encode(call)
-
-    def _known(self, words: list[bytes]) -> None:
-        if self.held > _CACHE_BYTES:
-            self.codes, self.held = {}, 0
-        new = set(words).difference(self.codes)
-        if new:
-            self._learn(new)
-
-    def encode(self, text: str) -> np.ndarray:
-        parts = []
-        for piece in pieces(text.encode("utf-8")):
-            words = self.words(piece)
-            self._known(words)
-            parts.append(b"".join(map(self.codes.__getitem__, words)))
-        return np.frombuffer(b"".join(parts), dtype=self.kind)
-
-    def count(self, text: str) -> int:
-        total = 0
-        for piece in pieces(text.encode("utf-8")):
-            words = self.words(piece)
-            self._known(words)
-            total += sum(map(len, map(self.codes.__getitem__, words)))
-        return total // self.kind.itemsize
+                self.codes[word] = np.array(encoding.ids, dtype=self.kind).tobytes()
+
+    def _coded(self, texts: Iterable[str]) -> Iterator[list[list[bytes]]]:
+        """The texts' words, piece by piece, all of them known; a few MB at a time."""
+        encoded = [text.encode("utf-8") for text in texts]
+        for group in calls(encoded, _GROUP_BYTES):
+            split = [[self._words(piece) for piece in pieces(text)] for text in group]
+            new: set[bytes] = set()
+            for words in split:
+                new.update(*words)
+            if len(self.codes) > _MOST_WORDS:
+                self.codes = {}
+            self._learn(new.difference(self.codes))
+            yield split
+
+    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
+        found = []
+        for split in self._coded(texts):
+            code = self.codes.__getitem__
+            for words in split:
+                raw = b"".join([b"".join(map(code, piece)) for piece in words])
+                found.append(np.frombuffer(raw, dtype=self.kind))
+        return found
+
+    def count(self, texts: Iterable[str]) -> list[int]:
+        found = []
+        for split in self._coded(texts):
+            code = self.codes.__getitem__
+            for words in split:
+                size = sum(sum(map(len, map(code, piece))) for piece in words)
+                found.append(size // self.kind.itemsize)
+        return found
+
+
+def calls(items: Iterable[bytes], limit: int) -> Iterator[list[bytes]]:
+    """The items in lists of about `limit` bytes; a longer item is a list of its own."""
+    call: list[bytes] = []
+    size = 0
+    for item in items:
+        if call and size + len(item) > limit:
+            yield call
+            call, size = [], 0
+        call.append(item)
+        size += len(item)
+    if call:
+        yield call
 
 
 def pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
