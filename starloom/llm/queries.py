@@ -7,21 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import exact_dedup
+from starloom.llm.chat import op1_chat_format
 from starloom.llm.exact_dedup import op2_exact_dedup
+from starloom.llm.html_text import op9_html_text
 from starloom.llm.mixing import op10_mixing
 from starloom.llm.packing import op5_packing
 from starloom.llm.quality import op8_quality_rules
+from starloom.llm.secret_scan import op7_secrets
 from starloom.llm.simhash import op4_simhash
 from starloom.llm.token_counts import op3_token_counts
 from starloom.llm.token_files import op6_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_simhash": op4_simhash,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
+    "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
 }
 
