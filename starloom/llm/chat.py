@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import BROADCAST_BYTES, table, text_or_empty, text_session
-from starloom.operators.lookup import look_up
+from starloom.operators.lookup import look_up, measured_bytes
 from starloom.workspace import Workspace
 
 ROLES = ("system", "user", "assistant")
@@ -41,12 +41,18 @@ SPEAKERS = {
     "assistant": "assistant ai bot model gpt agent chatbot answer a",
 }
 _ROLE_OF = {name: place for place, role in enumerate(ROLES) for name in SPEAKERS[role].split()}
-_MARKER = re.compile(
-    r"^\s{0,3}(?:#{1,4}\s*|\*{1,2}|\[|<\|(?:im_start\|>)?|>>\s*)?("
-    + "|".join(sorted(_ROLE_OF, key=len, reverse=True))
-    + r")\s*(?:\]|\*{1,2}|\|>)?\s*(?::\*{0,2}|(?<=[\]>])|$)\s*",
-    re.IGNORECASE,
-)
+_NAME = "(" + "|".join(sorted(_ROLE_OF, key=len, reverse=True)) + ")"
+# in front of a line: `User:`, `**Bot**:`, `>> AI:`; `[user]`; `<|user|>`; a heading
+_MARKERS = [
+    re.compile(r"\s{0,3}" + form, re.IGNORECASE)
+    for form in (
+        rf"(?:#{{1,4}}\s*|\*{{1,2}}|>>\s*)?{_NAME}\s*\*{{0,2}}\s*:\*{{0,2}}(?:\s+|$)",
+        rf"\[{_NAME}\]:?\s*",
+        rf"<\|{_NAME}\|>\s*",
+        rf"<\|im_start\|>{_NAME}\s*$",
+        rf"#{{1,4}}\s*{_NAME}\s*$",
+    )
+]
 
 
 def _scores(probabilities) -> np.ndarray:
@@ -84,7 +90,7 @@ def lines_of(marker: str | None, text: str) -> list[tuple[str, int, bool]]:
         given = _ROLE_OF.get(marker.strip().lower(), UNKNOWN)
     lines = []
     for place, line in enumerate(text.split("\n")):
-        found = _MARKER.match(line)
+        found = next(filter(None, (form.match(line) for form in _MARKERS)), None)
         if found:
             role, line = _ROLE_OF[found[1].lower()], line[found.end() :]
         else:
@@ -327,9 +333,12 @@ def format_chat(
         )
     )
     blocks = workspace.save(blocks, "blocks")
-    several = (
-        blocks.groupBy("conv").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("conv")
+    several = workspace.save(
+        blocks.groupBy("conv").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("conv"),
+        "several",
     )
+    if measured_bytes(several) <= BROADCAST_BYTES:
+        several = F.broadcast(several)
     long = blocks.select("conv", "part", "block", "markers", "texts")
     same = long["conv"].eqNullSafe(several["conv"])
     matrices = long.join(several, same, "left_semi").mapInArrow(

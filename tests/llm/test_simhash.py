@@ -1,0 +1,135 @@
+import random
+import re
+
+import pytest
+from xxhash import xxh64_intdigest
+
+from starloom.llm import simhash
+from starloom.llm.simhash import components, drop_near_duplicates, fingerprint, links, simhash_groups
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def brute_fingerprint(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(
+        1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes)
+    )
+
+
+def brute_groups(prints):
+    """Smallest index reachable, over all pairs."""
+    root = list(range(len(prints)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(prints))]
+
+
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def near_prints(count, seed):
+    """Chains and clouds of fingerprints a few bits apart, and lone ones."""
+    draw = random.Random(seed)
+    prints = {0, (1 << 64) - 1}
+    while len(prints) < count:
+        base = draw.getrandbits(64)
+        for _ in range(draw.choice([1, 1, 5, 40])):
+            prints.add(base)
+            for _ in range(draw.randint(1, 5)):
+                base ^= 1 << draw.randrange(64)
+    return sorted(prints)[:count]
+
+
+@pytest.mark.parametrize("crowded", [0, 2, 64])
+def test_links_are_all_close_pairs(spark, workspace, crowded):
+    draw = random.Random(5)
+    base = draw.getrandbits(64)
+    # many fingerprints with the same upper half as well
+    prints = near_prints(300, crowded) + [
+        base ^ draw.getrandbits(10) ^ (draw.getrandbits(2) << 40) for _ in range(300)
+    ]
+    prints = sorted(set(prints))
+    expected = {
+        (prints[i], prints[j])
+        for i in range(len(prints))
+        for j in range(i)
+        if (prints[i] ^ prints[j]).bit_count() <= 3
+    }
+    nodes = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    found = links(nodes, workspace, crowded).collect()
+    mask = (1 << 64) - 1
+    pairs = {tuple(sorted((r.a & mask, r.b & mask), reverse=True)) for r in found}
+    assert pairs == expected
+
+
+def test_components_of_chains_and_stars(spark, workspace):
+    draw = random.Random(1)
+    edges = [(i, i + 1) for i in range(0, 200) if i % 50 != 49]
+    edges += [(1000, 1000 + i) for i in range(1, 100)] + [(5000, 5000), (7, 7)]
+    draw.shuffle(edges)
+    edges = [e if draw.random() < 0.5 else e[::-1] for e in edges]
+    rows = components(spark.createDataFrame(edges, "a long, b long"), workspace).collect()
+    found = {r.node: r.root for r in rows}
+    assert all(found[i] == i // 50 * 50 for i in range(200) if i % 50)
+    assert all(found[1000 + i] == 1000 for i in range(1, 100))
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").collect()
+    prints = [brute_fingerprint(r.text) for r in docs]
+    groups = brute_groups(prints)
+    expected = {
+        r.doc_id: (f"{p:016x}", docs[g].doc_id) for r, p, g in zip(docs, prints, groups, strict=True)
+    }
+    ours = simhash.op4_simhash(spark, SMALL).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in ours} == expected
+
+
+@pytest.mark.parametrize("text", ["", " \n\t", "one", "one two", "a b c d", "É x É x É x", "w " * 70_000])
+def test_fingerprint(text):
+    assert fingerprint(text) & ((1 << 64) - 1) == brute_fingerprint(text)
+
+
+def test_near_copies_leave_the_smallest_id(spark):
+    words = [f"word{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(reversed(words))]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert brute_groups([brute_fingerprint(t) for t in texts]) == [0, 0, 2]
+    assert sorted(r.doc_id for r in drop_near_duplicates(docs).collect()) == [0, 2]
+
+
+def test_nulls_repeats_other_columns_and_empty(spark):
+    schema = "doc_id long, text string, fp string, root int, fingerprint int"
+    rows = [
+        (None, None, "x", 1, 1),
+        (5, "", "x", 1, 1),
+        (5, "", "x", 1, 1),
+        (4, "a b c d", None, 1, 1),
+        (None, "q r s t", None, None, 1),
+    ]
+    docs = spark.createDataFrame(rows, schema)
+    groups = {(r.doc_id, r.component_id) for r in simhash_groups(docs).collect()}
+    assert groups == {(None, 5), (5, 5), (4, 4), (None, None)}
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [
+        ("4", "a b c d"), ("5", ""), ("None", "q r s t")
+    ]
+    empty = spark.createDataFrame([], schema)
+    assert simhash_groups(empty).count() == drop_near_duplicates(empty).count() == 0

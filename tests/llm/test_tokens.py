@@ -1,0 +1,227 @@
+"""Token counts, packing and token files against the library itself."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from starloom.llm.common import table
+from starloom.llm.packing import PAIR_COST, op5_packing, pack_documents, place, sequence_lengths
+from starloom.llm.token_counts import op3_token_counts, token_counts
+from starloom.llm.token_files import (
+    decode_block,
+    encode_block,
+    op6_token_files,
+    read_token_files,
+    write_token_files,
+)
+from starloom.llm.tokens import BYTE_RANKS, BYTE_VOCABULARY, WORD_VOCABULARY, ByteCoder, WordCoder
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, length string, part int, start string"
+ODD = [
+    "",
+    " \t\n ",
+    "a<|endoftext|>b, c. <|ENDOFTEXT|> X",
+    "<|startoftext|>",
+    "İstanbul ΣΑΣ, é ́x, don't. it's, \"q\", 3, 4. x.y, ... z y\x1cw\x85v",
+    "漢字,かな. 12a.b, 🎉🎉. ß, ẞ. ①, ǆ",
+    "a.,b ., c KK. fiﬁ,",
+    "x" * 5000,
+]
+
+
+@pytest.fixture(scope="module")
+def words():
+    return Tokenizer.from_file(public_tokenizers.path(WORD_VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return Tokenizer.from_file(public_tokenizers.path(BYTE_VOCABULARY))
+
+
+def ids_of(tokenizer, texts):
+    return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def test_odd_texts(words, pieces):
+    assert [list(x) for x in WordCoder(WORD_VOCABULARY).encode(ODD)] == ids_of(words, ODD)
+    coder = ByteCoder(BYTE_VOCABULARY, BYTE_RANKS)
+    assert [list(coder.encode(x)) for x in ODD] == ids_of(pieces, ODD)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    text = text.encode("utf-8", "ignore").decode()
+    word = Tokenizer.from_file(public_tokenizers.path(WORD_VOCABULARY)) if not _loaded else _loaded[0]
+    byte = Tokenizer.from_file(public_tokenizers.path(BYTE_VOCABULARY)) if not _loaded else _loaded[1]
+    _loaded[:] = [word, byte]
+    assert list(WordCoder.loaded(WORD_VOCABULARY).encode([text])[0]) == ids_of(word, [text])[0]
+    coder = ByteCoder.loaded(BYTE_VOCABULARY, BYTE_RANKS)
+    assert list(coder.encode(text)) == ids_of(byte, [text])[0]
+
+
+_loaded: list = []
+
+
+def test_texts_longer_than_a_piece(words, pieces):
+    text = "Hello world, it's  a long. test " * 50_000
+    assert list(WordCoder(WORD_VOCABULARY).encode([text])[0]) == ids_of(words, [text])[0]
+    assert list(ByteCoder(BYTE_VOCABULARY, BYTE_RANKS).encode(text)) == ids_of(pieces, [text])[0]
+
+
+def test_counts(spark, words):
+    docs = table(spark, SMALL, "documents").collect()
+    ids = ids_of(words, [r.text for r in docs])
+    expected = {
+        r.doc_id: (len(r.text.encode()), len(x), len(x) > 2048) for r, x in zip(docs, ids, strict=True)
+    }
+    rows = op3_token_counts(spark, SMALL).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in rows} == expected
+
+
+def odd_rows(spark):
+    rows = [(None, None, "x", 1, ""), (2, "é a", None, 1, ""), (2, "é a", None, 1, "")]
+    rows += [(10 + i, text, None, None, None) for i, text in enumerate(ODD)]
+    rows += [(99, "word " * 60_000, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_counts_of_odd_rows(spark, words):
+    rows = token_counts(odd_rows(spark)).collect()
+    expected = [len(x) for x in ids_of(words, [r.text or "" for r in odd_rows(spark).collect()])]
+    assert [r.n_tokens for r in rows] == expected
+    assert token_counts(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 9000), min_size=1, max_size=60), st.sampled_from([16, 2048]))
+def test_place_fills_every_sequence(lengths, size):
+    placed = place(lengths, size)
+    taken = {}
+    for document, start, length, _, _ in placed:
+        taken.setdefault(document, []).append((start, length))
+    for document, length in enumerate(lengths):
+        at = 0
+        for start, part in sorted(taken[document]):
+            assert start == at and part > 0
+            at += part
+        assert at == length
+    used = {}
+    for _, _, length, sequence, offset in sorted(placed, key=lambda p: (p[3], p[4])):
+        assert offset == used.get(sequence, 0)
+        used[sequence] = offset + length
+    assert all(n == size or n & (n - 1) == 0 for n in used.values())
+    assert sorted(used) == list(range(len(used)))
+
+
+def test_costs_are_balanced():
+    draw = np.random.default_rng(3)
+    lengths = [int(x) for x in draw.integers(20, 1500, 800)]
+    costs = {}
+    for _, _, n, sequence, _ in place(lengths, 2048):
+        costs[sequence] = costs.get(sequence, 0) + n + PAIR_COST * n * n
+    in_order, at, room = [0.0], 0, 2048
+    for n in lengths:
+        while n:
+            part = min(n, room)
+            in_order[-1] += part + PAIR_COST * part * part
+            n, room = n - part, room - part
+            if not room:
+                in_order.append(0.0)
+                room = 2048
+    full = sorted(costs.values())[12:]
+    assert np.std(full) < np.std(in_order[:-1])
+
+
+def test_sequence_lengths():
+    assert sequence_lengths(2048 * 3 + 13, 2048) == [2048] * 3 + [8, 4, 1]
+    assert sequence_lengths(0, 2048) == []
+
+
+def check_pieces(rows, docs, tokenizer):
+    """docs: (id, text) with different ids."""
+    ids = {i: [*x, 1] for (i, _), x in zip(docs, ids_of(tokenizer, [t for _, t in docs]), strict=True)}
+    covered = {i: 0 for i in ids}
+    for r in sorted(rows, key=lambda r: (str(r.doc_id), r.start)):
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert covered[r.doc_id] == r.start and len(part) == r.length
+        assert r.ids_crc32 == crc(part) and r.doc_tokens == len(ids[r.doc_id])
+        covered[r.doc_id] += r.length
+    assert covered == {i: len(x) for i, x in ids.items()}
+    filled = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0)
+        filled[r.sequence_id] = r.offset + r.length
+    assert all(n == 2048 or n & (n - 1) == 0 for n in filled.values())
+
+
+def test_packing(spark, pieces):
+    docs = [(r.doc_id, r.text) for r in table(spark, SMALL, "documents").collect()]
+    check_pieces(op5_packing(spark, SMALL).collect(), docs, pieces)
+
+
+def test_packing_of_odd_rows(spark, pieces):
+    docs = odd_rows(spark).filter("doc_id is null or doc_id > 2").coalesce(2)
+    rows = pack_documents(docs).collect()
+    check_pieces(rows, [(r.doc_id, r.text or "") for r in docs.collect()], pieces)
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    twice = pack_documents(odd_rows(spark).filter("doc_id = 2")).collect()
+    assert sum(r.length for r in twice) == 2 * twice[0].doc_tokens
+    assert pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 70_000), min_size=1, max_size=400))
+def test_block_round_trip(ids):
+    ids = np.array(ids, dtype="<u4")
+    assert (decode_block(encode_block(ids)) == ids).all()
+
+
+def test_block_with_ranks_of_three_bytes():
+    ids = np.arange(70_000, dtype="<u4").repeat(2)[1:]
+    assert (decode_block(encode_block(ids)) == ids).all()
+    # the most frequent id takes a single byte
+    assert len(encode_block(np.zeros(4000, dtype="<u4"))) == 12 + 4 + 1000 + 4000
+
+
+def test_token_files(spark, words):
+    docs = table(spark, SMALL, "documents").orderBy("doc_id").collect()
+    ids = [[*x, 2] for x in ids_of(words, [r.text for r in docs])]
+    starts = np.cumsum([0, *map(len, ids)])
+    rows = sorted(op6_token_files(spark, SMALL).collect(), key=lambda r: r.doc_id)
+    expected = [
+        (d.doc_id, int(s), len(x), crc(x)) for d, s, x in zip(docs, starts[:-1], ids, strict=True)
+    ]
+    assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rows] == expected
+
+
+def test_token_files_of_odd_rows(spark, words, tmp_path):
+    docs = odd_rows(spark)
+    write_token_files(docs, f"{tmp_path}/files", block_tokens=64)
+    rows = sorted(read_token_files(spark, f"{tmp_path}/files").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows][:3] == [None, 2, 2]
+    assert [r.doc_id for r in rows][3:] == sorted(r.doc_id for r in rows[3:])
+    at = 0
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert r.start == at and r.n_tokens == len(ids) and zlib.crc32(r.ids) == r.ids_crc32
+        assert ids == [*ids_of(words, [texts[r.doc_id]])[0], 2]
+        at += len(ids)
+
+
+def test_token_files_of_no_rows(spark, tmp_path):
+    path = str(tmp_path / "none")
+    spark.createDataFrame([], SCHEMA).select("doc_id", "text").write.parquet(f"{path}/documents.parquet")
+    assert op6_token_files(spark, path).count() == 0
