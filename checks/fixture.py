@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation")
+
 EXPRESSIONS = {
     "id": "cast(l_orderkey as string)",
     "customer_first_name": "substr(c_name, 1, 8)",

@@ -6,11 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from checks.fixture import SOURCE_TABLES
 from checks.oracles import oracles
 from starloom.config import prepared
 
-_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation")
-
 # the few functions that the two engines name differently
 _DIALECT = (
     ("regexp_matches(", "regexp_like("),
@@ -32,7 +31,7 @@ def plain_query(name: str) -> Callable[[SparkSession, str], DataFrame] | None:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         prepared(spark)
-        for table in _TABLES:
+        for table in SOURCE_TABLES:
             spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(table)
         return spark.sql(text)
 

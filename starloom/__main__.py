@@ -13,7 +13,7 @@ from starloom.sinks.writers import (
     file_writer,
     warehouse_writer,
 )
-from starloom.sources.jdbc import RangeSplit, read_table, suffix_predicates
+from starloom.sources.jdbc import BlockSplit, RangeSplit, read_table
 from starloom.sources.sales_csv import read_sales_csv
 from starloom.workspace import Workspace
 
@@ -29,10 +29,10 @@ SPLIT_COLUMNS = {
 }
 
 
-def _writer(target: str, options: Settings) -> Writer:
+def _writer(target: str, options: Settings, truncate: bool = False) -> Writer:
     match target:
         case "warehouse":
-            return warehouse_writer(options.warehouse, options.target_schema)
+            return warehouse_writer(options.warehouse, options.target_schema, truncate)
         case "column-store":
             return column_store_writer(options.reports)
         case "documents":
@@ -50,15 +50,20 @@ def main(arguments: list[str] | None = None) -> None:
     star.add_argument("--csv", nargs="+", help="read these files instead of the source table")
     star.add_argument("--multi-line", action="store_true", help="fields hold line breaks")
     star.add_argument("--to", default="warehouse")
+    star.add_argument("--truncate", action="store_true", help="empty the old tables, keep them")
+    star.add_argument("--slice-column", help="numeric or date column to read the source by")
     marts = jobs.add_parser("marts", help="star tables to reports")
     marts.add_argument("--star", help="folder of Parquet star tables instead of the database")
     marts.add_argument("--to", required=True)
+    for job in (star, marts):
+        job.add_argument("--slices", type=int, help="tasks per database table (JDBC_SLICES)")
     chosen = parser.parse_args(arguments)
 
     options = settings()
+    slices = chosen.slices or options.slices
     spark = open_session(f"starloom-{chosen.job}")
     workspace = Workspace(spark)
-    write = _writer(chosen.to, options)
+    write = _writer(chosen.to, options, getattr(chosen, "truncate", False))
 
     def star_table(name: str):
         if chosen.star:
@@ -68,7 +73,7 @@ def main(arguments: list[str] | None = None) -> None:
             spark,
             options.warehouse,
             f"{options.source_schema}.{name}",
-            split=RangeSplit(SPLIT_COLUMNS[name]),
+            split=RangeSplit(SPLIT_COLUMNS[name], slices),
         )
         return workspace.save(table, name)
 
@@ -77,12 +82,10 @@ def main(arguments: list[str] | None = None) -> None:
             if chosen.csv:
                 raw = read_sales_csv(spark, chosen.csv, chosen.multi_line)
             else:
-                raw = read_table(
-                    spark,
-                    options.warehouse,
-                    options.source_table,
-                    predicates=suffix_predicates("id"),
-                )
+                # the source has text only: by default its slices are disk blocks
+                column = chosen.slice_column
+                split = RangeSplit(column, slices) if column else BlockSplit(slices)
+                raw = read_table(spark, options.warehouse, options.source_table, split)
             load_star(raw, write, workspace)
         else:
             publish_marts(star_table, write, workspace)

@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 SESSION_SETTINGS = {
     # dates must not depend on where the job runs
     "spark.sql.session.timeZone": "UTC",
+    # nor must casts and overflows
+    "spark.sql.ansi.enabled": "true",
     # the JVM compiles no method above 8000 bytes of bytecode: a generated stage beyond
     # that (typing 50 columns is one) would run interpreted, so Spark is told to generate
     # smaller pieces for it
@@ -31,6 +33,8 @@ DEFAULTS = {
     "CLICKHOUSE_USER": "default",
     "MONGODB_URI": "mongodb://mongodb:27017",
     "MONGODB_DATABASE": "reports",
+    "JDBC_SLICES": "64",
+    "JDBC_CONNECTIONS": "64",
 }
 
 CLICKHOUSE_DRIVER = "com.clickhouse.jdbc.ClickHouseDriver"
@@ -45,6 +49,8 @@ class JdbcStore:
     driver: str
     fetch_size: int = 10_000
     batch_size: int = 10_000
+    # tasks that write at once
+    connections: int = 64
 
     def properties(self) -> dict[str, str]:
         return {
@@ -68,6 +74,8 @@ class Settings:
     reports: JdbcStore
     documents_uri: str = field(repr=False)
     documents_database: str
+    # tasks that a database table is read by
+    slices: int
 
 
 def settings(environment: Mapping[str, str] = os.environ) -> Settings:
@@ -81,6 +89,7 @@ def settings(environment: Mapping[str, str] = os.environ) -> Settings:
             user=value("POSTGRES_USER"),
             password=value("POSTGRES_PASSWORD"),
             driver=value("POSTGRES_DRIVER"),
+            connections=int(value("JDBC_CONNECTIONS")),
         ),
         source_table=value("SOURCE_TABLE"),
         source_schema=value("SOURCE_SCHEMA"),
@@ -90,9 +99,11 @@ def settings(environment: Mapping[str, str] = os.environ) -> Settings:
             user=value("CLICKHOUSE_USER"),
             password=value("CLICKHOUSE_PASSWORD"),
             driver=CLICKHOUSE_DRIVER,
+            connections=int(value("JDBC_CONNECTIONS")),
         ),
         documents_uri=value("MONGODB_URI"),
         documents_database=value("MONGODB_DATABASE"),
+        slices=int(value("JDBC_SLICES")),
     )
 
 

@@ -2,9 +2,17 @@
 
 A sum of doubles changes in its last digits with the order of its input, and with it
 the ranks made from it, so a retried task could give another report. Amounts are
-therefore summed in two whole numbers, units and millionths, which is exact for up to
-six decimals and costs no more than a sum of doubles. Values that whole numbers cannot
-hold (NaN, infinities, 2^53 and above) fall back to the sum of doubles.
+therefore summed as the decimal numbers they stand for (the shortest decimal that gives
+the double), each in the first of these forms that holds all its digits:
+
+- up to six decimals and below 9e9, as amounts of money are: whole millionths in two
+  longs, which cost no more than a sum of doubles;
+- up to twenty decimals and below 1e12: decimals;
+- smaller ones with more decimals: decimals to 1e-34, finer digits are rounded off;
+- from 1e12 to 1e27: decimals.
+
+The sums of the forms are added in this order, whatever the order of the rows. Only NaN,
+infinities and amounts from 1e27 leave a group to the sum of doubles.
 """
 
 from __future__ import annotations
@@ -13,21 +21,47 @@ from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 _MILLIONTHS = 1_000_000
-_LARGEST_EXACT = float(2**53)
+# below it, an amount in millionths is a whole number that a double holds exactly
+_MOST_MILLIONTHS = 9e9
+_LARGE = 1e12
+_SMALL = 1e-3
+_TOO_LARGE = 1e27
+_LOW_BITS = 20
 
 
 def exact_sum(amount: Column, window: WindowSpec | None = None) -> Column:
     def total(aggregate: Column) -> Column:
         return aggregate.over(window) if window is not None else aggregate
 
-    units = F.floor(amount)
-    millionths = F.floor((amount - units) * _MILLIONTHS + 0.5)
-    unit_total = total(F.try_sum(units)).cast("decimal(20,0)")
-    millionth_total = total(F.try_sum(millionths)).cast("decimal(20,0)")
-    whole_numbers = (unit_total + millionth_total * F.lit("0.000001").cast("decimal(7,6)")).cast("double")
+    amount = amount.cast("double")
+    size = F.abs(amount)
+    millionths = F.when(size < _MOST_MILLIONTHS, F.floor(amount * _MILLIONTHS + 0.5))
+    plain = F.coalesce(millionths / F.lit(float(_MILLIONTHS)) == amount, F.lit(False))
+    high = F.when(plain, F.shiftright(millionths, _LOW_BITS))
+    low = F.when(plain, millionths.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    high_total = total(F.try_sum(high)).cast("decimal(20,0)")
+    low_total = total(F.try_sum(low)).cast("decimal(20,0)")
+    in_millionths = high_total * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low_total
+    money = in_millionths * F.lit("0.000001").cast("decimal(7,6)")
+
+    twenty = F.when(~plain & (size < _LARGE), amount.try_cast("decimal(32,20)"))
+    all_digits = (size >= _SMALL) | (twenty.cast("double") == amount)
+    fine = total(F.try_sum(F.when(all_digits, twenty)))
+    finest = total(
+        F.try_sum(F.when(~plain & ~all_digits & (size < _SMALL), amount.try_cast("decimal(38,34)")))
+    )
+    large = total(
+        F.try_sum(
+            F.when(~plain & (size >= _LARGE) & (size < _TOO_LARGE), amount.try_cast("decimal(35,8)"))
+        )
+    )
+    # decimals of one scale add exactly; null where there is nothing to add to the money
+    both = (money.try_cast("decimal(38,18)") + fine.try_cast("decimal(38,18)")).cast("double")
+    parts = [F.coalesce(both, money.cast("double"), fine.cast("double")), finest, large]
+    added = sum((F.coalesce(part.cast("double"), F.lit(0.0)) for part in parts), F.lit(0.0))
     # max() puts NaN above every number, so one comparison excludes all special values
-    fits = total(F.max(F.abs(amount))) < _LARGEST_EXACT
-    return F.coalesce(F.when(fits, whole_numbers), total(F.sum(amount)))
+    fits = total(F.max(size)) < _TOO_LARGE
+    return F.coalesce(F.when(fits, added), total(F.sum(amount)))
 
 
 def exact_mean(amount: Column) -> Column:

@@ -25,22 +25,22 @@ def lowest_row_per_key(
 ) -> DataFrame:
     """The row with the lowest `order` value per key, ties settled by the attributes.
 
-    Nulls sort last, and a null key is a key like any other. The minimum of a struct is
-    kept per key before the shuffle, so a key that holds a large share of all rows sends
-    one row per task. With many keys, though, most rows are the only one of their key in
-    their task, and all their columns would be shuffled. So the lowest `order` value per
-    key is found first, from two columns, and where these pairs are measured to be within
-    `limit` they are sent to the executors and only the rows that carry them go on.
+    Nulls sort last, and a null key is a key like any other. The lowest `order` value per
+    key is found first, by a hash aggregate over two columns, in which a key that holds a
+    large share of all rows sends one row per task. Then only the rows that carry these
+    pairs go on: by broadcast where the pairs are measured to be within `limit`, else by a
+    semi join on key and value, whose keys no longer repeat, so that no task gets a hot one
+    (Spark's runtime Bloom filter keeps most other rows out of its shuffle on large
+    scans). The wide rows are never aggregated as a whole: what is left is one row per
+    key, or a few that tie.
     """
     lowest = workspace.save(
         rows.groupBy(F.col(key).alias("lowest_key")).agg(F.min(order).alias("lowest")),
         f"lowest-{key}",
     )
-    if measured_bytes(lowest) <= limit:
-        same_row = F.col(key).eqNullSafe(F.col("lowest_key")) & F.col(order).eqNullSafe(
-            F.col("lowest")
-        )
-        rows = rows.join(F.broadcast(lowest), same_row, "left_semi")
+    small = measured_bytes(lowest) <= limit
+    same_row = F.col(key).eqNullSafe(F.col("lowest_key")) & F.col(order).eqNullSafe(F.col("lowest"))
+    rows = rows.join(F.broadcast(lowest) if small else lowest, same_row, "left_semi")
     candidate = F.struct(*[part for name in (order, *attributes) for part in _nulls_last(name)])
     return (
         rows.groupBy(key)

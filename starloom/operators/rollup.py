@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
+from starloom.operators.lookup import BROADCAST_BYTES, look_up
+from starloom.workspace import Workspace
+
 
 def add_group_total(
-    rows: DataFrame, source: DataFrame, by: str, total: Column, output: str
+    rows: DataFrame,
+    source: DataFrame,
+    by: str,
+    total: Column,
+    output: str,
+    workspace: Workspace,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Aggregate `source` by a column and bring the result to the rows by left join.
 
     A join on purpose, not a window: rows without a group get null although their group
-    has a total, and no group has to fit into one task.
+    has a total, and no group has to fit into one task. The totals are written, so that
+    they are measured without being computed twice: within `limit` they are broadcast, and
+    the rows stay where they are.
     """
-    return rows.join(group_total(source, by, total, output), by, "left")
+    totals = workspace.save(group_total(source, by, total, output), output)
+    return look_up(rows, totals, [by], limit)
 
 
 def group_total(source: DataFrame, by: str, total: Column, output: str) -> DataFrame:

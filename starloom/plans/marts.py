@@ -17,7 +17,7 @@ from starloom.functions.measures import correlation, exact_mean, exact_sum
 from starloom.operators.lookup import look_up
 from starloom.operators.numbering import number_rows
 from starloom.operators.rollup import add_group_total, group_total
-from starloom.operators.topk import top_rows, top_rows_numbered
+from starloom.operators.topk import place_among, top_rows, top_rows_numbered
 from starloom.plans.star import Star
 
 
@@ -265,7 +265,9 @@ def _with_totals(rows: DataFrame, mart: Mart, source: DataFrame, star: Star) ->
     """Rollups and overall figures of `source`, next to rows that may be part of it."""
     for rollup in mart.rollups:
         over = source if rollup.table is None else star[rollup.table]
-        rows = add_group_total(rows, over, rollup.by, rollup.total(), rollup.output)
+        rows = add_group_total(
+            rows, over, rollup.by, rollup.total(), rollup.output, star.workspace
+        )
     for output, figure in mart.overall:
         # an aggregate without groups is one value, put into the plan as a scalar subquery
         rows = rows.withColumn(output, source.agg(figure()).scalar())
@@ -283,11 +285,19 @@ def build(mart: Mart, star: Star) -> DataFrame:
     return _with_totals(rows, mart, rows, star)
 
 
-def build_top(mart: Mart, star: Star, k: int) -> DataFrame:
-    """The first k rows of a mart with a single rank, the others left unranked."""
-    (rank,) = mart.ranks
+def build_top(mart: Mart, star: Star, k: int, by: str | None = None) -> DataFrame:
+    """The first k rows of a mart by one of its ranks, the others left unranked.
+
+    The k rows get their places in the other ranks by counting the rows before them.
+    """
+    (rank,) = [r for r in mart.ranks if by in (None, r.output)]
     rows = star.workspace.save(mart.base(star), mart.table)
     head = top_rows_numbered(rows, _order(mart, rank), k, rank.output)
+    for other in mart.ranks:
+        if other is not rank:
+            head = place_among(
+                head, rows, other.by, mart.key, other.descending, other.output
+            )
     return _with_totals(head, mart, rows, star)
 
 
@@ -316,20 +326,30 @@ def overall_alone(mart: Mart, star: Star) -> DataFrame:
 def time_sales(star: Star) -> DataFrame:
     """Months with their sales and the total of their year, in order.
 
-    Distinct sales are counted apart from the amounts: their shuffle holds one row per
-    sale, which then carries the month and the id only. Months are few, so the year
-    total is a window, and the sales without a date form a year of their own.
+    The amounts are totalled by day before they meet the dates. Distinct sales are counted
+    apart from them: that shuffle holds one row per sale, with the month and the id only.
+    Months are few, so the year total is a window, and the sales without a date form a
+    year of their own.
     """
     days = star["dim_date"].select(F.col("date_id").alias("sale_date_id"), "year", "month")
-    sales = look_up(
-        star["fact_sales"].select("sale_date_id", "sale_id", "sale_total_price"),
-        days,
-        ["sale_date_id"],
+    fact = star["fact_sales"]
+    by_day = fact.groupBy("sale_date_id").agg(
+        _revenue().alias("day_revenue"), F.count("sale_total_price").alias("priced_sales")
+    )
+    revenue = exact_sum(F.col("day_revenue"))
+    amounts = (
+        look_up(by_day, days, ["sale_date_id"])
+        .groupBy("year", "month")
+        .agg(
+            revenue.alias("total_revenue"),
+            F.try_divide(revenue, F.sum("priced_sales").cast("double")).alias("avg_order_value"),
+        )
     )
-    amounts = sales.groupBy("year", "month").agg(
-        _revenue().alias("total_revenue"), _mean_check().alias("avg_order_value")
+    orders = (
+        look_up(fact.select("sale_date_id", "sale_id"), days, ["sale_date_id"])
+        .groupBy("year", "month")
+        .agg(F.count_distinct("sale_id").alias("orders"))
     )
-    orders = sales.groupBy("year", "month").agg(F.count_distinct("sale_id").alias("orders"))
     same_month = F.col("a.year").eqNullSafe(F.col("o.year")) & F.col("a.month").eqNullSafe(
         F.col("o.month")
     )

@@ -92,11 +92,18 @@ class Star:
     """The seven tables by name, and what several marts derive from them.
 
     Each table is loaded at its first use and then kept, so that a job touches only the
-    tables it needs and every later reader gets the stored one.
+    tables it needs and every later reader gets the stored one. `unstored` gives a table
+    for a reader that is its only one.
     """
 
-    def __init__(self, load: Callable[[Star, str], DataFrame], workspace: Workspace):
+    def __init__(
+        self,
+        load: Callable[[Star, str], DataFrame],
+        workspace: Workspace,
+        unstored: Callable[[Star, str], DataFrame] | None = None,
+    ):
         self._load = load
+        self._unstored = unstored or load
         self._tables: dict[str, DataFrame] = {}
         self.workspace = workspace
 
@@ -120,15 +127,19 @@ class Star:
                     table = sales_fact(sales, star["dim_store"])
                 case _:
                     raise KeyError(name)
-            return workspace.save(table, name)
+            return table
 
-        return cls(build, workspace)
+        return cls(lambda star, name: workspace.save(build(star, name), name), workspace, build)
 
     @classmethod
     def from_store(cls, read: Callable[[str], DataFrame], workspace: Workspace) -> Star:
         """A star that was loaded before; each table is asked for once."""
         return cls(lambda _, name: read(name), workspace)
 
+    def unstored(self, name: str) -> DataFrame:
+        """The table as it was stored, if it was, else computed where it is read."""
+        return self._tables[name] if name in self._tables else self._unstored(self, name)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self._load(self, name)

@@ -11,19 +11,22 @@ from starloom.functions.fill import fill_missing
 
 Writer = Callable[[DataFrame, str], None]
 
-# connections a database is asked to take at once
-MAX_CONNECTIONS = 64
 
+def warehouse_writer(store: JdbcStore, schema: str, truncate: bool = False) -> Writer:
+    """Drop, create and fill a table of the star.
 
-def warehouse_writer(store: JdbcStore, schema: str) -> Writer:
-    """Drop, create and fill a table of the star."""
+    With `truncate` the old table is emptied instead, and keeps its grants and indexes.
+    Rows are dealt out to `store.connections` tasks anew, as merging the tasks before the
+    write into so few would slow down their work too.
+    """
 
     def write(rows: DataFrame, table: str) -> None:
         (
-            rows.write.format("jdbc")
+            rows.repartition(store.connections)
+            .write.format("jdbc")
             .options(**store.options(f"{schema}.{table}"))
             .option("batchsize", store.batch_size)
-            .option("numPartitions", MAX_CONNECTIONS)
+            .option("truncate", str(truncate).lower())
             .mode("overwrite")
             .save()
         )
@@ -37,11 +40,11 @@ def column_store_writer(store: JdbcStore) -> Writer:
     def write(rows: DataFrame, table: str) -> None:
         (
             fill_missing(rows)
+            .repartition(store.connections)
             .write.format("jdbc")
             .options(**store.options(table))
             .option("createTableOptions", CLICKHOUSE_TABLE_OPTIONS)
             .option("batchsize", store.batch_size)
-            .option("numPartitions", MAX_CONNECTIONS)
             .mode("overwrite")
             .save()
         )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,31 +14,43 @@ class RangeSplit:
     """Read in slices of a numeric or date column."""
 
     column: str
-    partitions: int = 64
+    partitions: int
 
 
-def suffix_predicates(column: str, digits: int = 2) -> list[str]:
-    """Conditions that split a table by the last digits of a text column.
+@dataclass(frozen=True)
+class BlockSplit:
+    """Read in slices of consecutive disk blocks, of a store that can address them.
 
-    For tables that have numbers only as text. Every row meets exactly one condition:
-    rows whose text ends otherwise, or is missing, meet the last.
+    For tables without a numeric column. PostgreSQL (from version 14) reads a range of
+    row addresses without touching the other blocks, so all slices together scan the
+    table once.
     """
-    endings = [f"{n:0{digits}d}" for n in range(10**digits)]
-    matches = [f"{column} LIKE '%{ending}'" for ending in endings]
-    return [*matches, f"{column} IS NULL OR NOT ({' OR '.join(matches)})"]
+
+    partitions: int
+
+
+def block_conditions(blocks: int, partitions: int) -> list[str]:
+    """Ranges of row addresses that hold every row once; the last one has no end."""
+    slices = max(1, min(partitions, blocks))
+    starts = [blocks * n // slices for n in range(slices)]
+    bounds = [f"ctid >= '({start},0)'::tid" for start in starts]
+    ends = [f" AND ctid < '({start},0)'::tid" for start in starts[1:]]
+    return [bound + end for bound, end in zip(bounds, [*ends, ""], strict=True)]
 
 
 def read_table(
     spark: SparkSession,
     store: JdbcStore,
     table: str,
-    split: RangeSplit | None = None,
-    predicates: Sequence[str] | None = None,
+    split: RangeSplit | BlockSplit | None = None,
 ) -> DataFrame:
-    """One task per slice or condition; without either, one task reads the table."""
-    if predicates:
+    """One task per slice; without a split, one task reads the table."""
+    if isinstance(split, BlockSplit):
         return spark.read.jdbc(
-            store.url, table, predicates=list(predicates), properties=store.properties()
+            store.url,
+            table,
+            predicates=block_conditions(_blocks(spark, store, table), split.partitions),
+            properties=store.properties(),
         )
     reader = spark.read.format("jdbc").options(**store.options(table))
     if split is None:
@@ -60,3 +71,10 @@ def _bounds(spark: SparkSession, store: JdbcStore, table: str, column: str) -> t
     query = f"SELECT MIN({column}) AS lowest, MAX({column}) AS highest FROM {table}"
     row = spark.read.format("jdbc").options(**store.options(), query=query).load().first()
     return row[0], row[1]
+
+
+def _blocks(spark: SparkSession, store: JdbcStore, table: str) -> int:
+    query = (
+        f"SELECT pg_relation_size('{table}') / current_setting('block_size')::bigint AS blocks"
+    )
+    return spark.read.format("jdbc").options(**store.options(), query=query).load().first()[0]

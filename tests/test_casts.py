@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import date
 
 import pytest
@@ -107,11 +109,57 @@ def test_every_date_of_four_centuries(spark):
         assert wrong.count() == 0
 
 
-def test_date_key(spark):
-    frame = spark.createDataFrame([(date(2021, 5, 9),), (date(987, 12, 1),), (None,)], "d date")
+def random_dates(count):
+    chance = random.Random(4)
+    for _ in range(count):
+        month = chance.choice(["", "0", "00"]) + str(chance.randint(0, 13))
+        day = chance.choice(["", "0"]) + str(chance.randint(0, 32))
+        year = chance.choice([chance.randint(0, 99_999), chance.randint(0, 290_000), chance.randint(0, 10**19)])
+        sign = chance.choice(["", "+", "-", "--"])
+        yield f"{month}/{day}/{sign}{year:0{chance.choice([1, 4, 5, 6])}d}{chance.choice(['', '', '', ' ', 'x'])}"
+
+
+def test_signed_and_long_years_equal_to_date_without_ansi(spark, set_conf):
+    set_conf("spark.sql.ansi.enabled", "false")
+    texts = [t for t in random_dates(20_000) if not 294_247 <= abs(int(re.sub(r"\D", "", t.split("/")[2]) or 0)) < 10**7]
+    frame = spark.createDataFrame([(text,) for text in texts], "x string")
+    rows = frame.select(
+        "x", lenient_date("x", "M/d/yyyy").alias("ours"), F.to_date("x", "M/d/yyyy").alias("theirs")
+    )
+    assert rows.where("ours is not null and x like '%-%'").count() > 100
+    assert rows.where("ours is not null and x like '%+%'").count() > 100
+    assert rows.where(~F.col("ours").eqNullSafe(F.col("theirs"))).take(5) == []
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_no_text_stops_the_job(spark, set_conf, ansi):
+    set_conf("spark.sql.ansi.enabled", ansi)
+    texts = {
+        "5/9/+300000": None,
+        "5/9/-300000": None,
+        "1/10/+294247": "+294247-01-10",
+        "1/11/+294247": None,
+        "12/22/-290308": "-290308-12-22",
+        "12/21/-290308": None,
+        "5/9/+999999999999999999": None,
+        "5/9/-2021": "-2021-05-09",
+    }
+    frame = spark.createDataFrame([(text,) for text in texts], "x string")
+    day = lenient_date("x", "M/d/yyyy")
+    rows = frame.select("x", day.cast("string").alias("d"), date_key(day).alias("key")).collect()
+    assert {row.x: row.d for row in rows} == texts
+    assert {row.x: row.key for row in rows}["5/9/-2021"] == -20210509
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_date_key(spark, set_conf, ansi):
+    set_conf("spark.sql.ansi.enabled", ansi)
+    texts = ["2021-05-09", "0987-12-01", "0000-01-01", "-2021-05-09", "-0001-02-03", "+12021-05-09", None]
+    texts += ["+214748-03-06", "+214748-03-07", "+214748-12-31", "+250000-05-09", "-214748-03-06", "-250000-05-09"]
+    frame = spark.createDataFrame([(text,) for text in texts], "x string").select(F.col("x").cast("date").alias("d"))
     rows = frame.select(
         date_key(F.col("d")).alias("key"),
-        F.date_format("d", "yyyyMMdd").cast("int").alias("formatted"),
+        F.date_format("d", "yyyyMMdd").try_cast("int").alias("formatted"),
     ).collect()
-    assert [row.key for row in rows] == [20210509, 9871201, None]
+    assert [row.key for row in rows[:7]] == [20210509, 9871201, 101, -20210509, -10203, 120210509, None]
     assert all(row.key == row.formatted for row in rows)

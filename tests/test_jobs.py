@@ -4,6 +4,7 @@ import pytest
 
 from checks.fixture import flat_sales
 from starloom.__main__ import SPLIT_COLUMNS, main
+from starloom.plans.jobs import LOOKED_UP, load_star
 from starloom.plans.marts import TIME_REPORT, all_reports, build, PRODUCT_SALES
 from starloom.plans.star import Star
 from starloom.plans.typed import typed_sales
@@ -39,6 +40,21 @@ def test_jobs_from_csv_to_reports(spark, workspace, tmp_path):
     assert sorted(map(repr, documents.collect())) == sorted(map(repr, got.collect()))
 
 
+def test_each_star_table_is_written_once(spark, workspace, tmp_path, monkeypatch):
+    """To the workspace if another table looks it up, and to the target."""
+    saved, written = [], []
+    save = workspace.save
+    monkeypatch.setattr(workspace, "save", lambda rows, label: (saved.append(label), save(rows, label))[1])
+
+    def write(rows, table):
+        written.append(table)
+        rows.write.parquet(f"{tmp_path}/out/{table}")
+
+    load_star(flat_sales(spark, DATA), write, workspace)
+    assert written == list(STAR_TABLES)
+    assert sorted(label for label in saved if label in STAR_TABLES) == sorted(LOOKED_UP)
+
+
 def test_every_star_table_has_a_column_to_be_read_by(spark, workspace):
     star = Star.from_sales(typed_sales(flat_sales(spark, DATA)), workspace)
     assert set(SPLIT_COLUMNS) == set(STAR_TABLES)

@@ -27,10 +27,33 @@ def test_sum_keeps_six_decimals(spark):
     assert total(spark, [0.000001] * 10 + [1.5, -0.25]) == 1.25001
 
 
+def test_sum_keeps_what_lies_below_a_millionth(spark):
+    assert spark.range(1_000_000).select(exact_sum(F.lit(4e-7))).first()[0] == 0.4
+    assert total(spark, [1e-7, 2e-7, 3.0000004]) == 3.0000007
+    assert total(spark, [1.2345678901234567e-9] * 3) == pytest.approx(3.70370367037037e-9, rel=1e-15)
+    assert total(spark, [1e-20, 2e-20]) == 3e-20
+
+
+def test_sum_of_mixed_sizes_is_the_same_in_any_order(spark):
+    chance = random.Random(2)
+    values = [chance.uniform(-1, 1) * 10 ** chance.randint(-16, 24) for _ in range(5000)]
+    values += [2.0**53, 2.0**60 + 1024, 1e16 / 3, 0.1, 1e-9 / 3]
+    sums = set()
+    for partitions in (1, 7, 32):
+        chance.shuffle(values)
+        frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(partitions)
+        sums.add(frame.agg(exact_sum(F.col("x"))).first()[0])
+    assert len(sums) == 1
+    assert sums.pop() == pytest.approx(math.fsum(values), rel=1e-12)
+
+
 @pytest.mark.parametrize(
     "values, expected",
     [
         ([], None),
+        ([0.1] * 10, 1.0),
+        ([1e12, 0.5, -1e12], 0.5),
+        ([1e-9, 1e12], 1000000000000.0),
         ([None, None], None),
         ([1.1, None, 2.2], 3.3),
         ([1.0, math.inf], math.inf),

@@ -8,7 +8,7 @@ from starloom.operators.lookup import look_up, measured_bytes
 from starloom.operators.numbering import number_rows
 from starloom.operators.pick import lowest_row_per_key
 from starloom.operators.rollup import add_group_total
-from starloom.operators.topk import top_rows, top_rows_numbered
+from starloom.operators.topk import place_among, top_rows, top_rows_numbered
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 64])
@@ -137,12 +137,39 @@ def test_measured_bytes_grow_with_text(spark):
     assert measured_bytes(short.limit(0)) == 0
 
 
-def test_group_total_stays_null_for_rows_without_group(spark):
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_group_total_stays_null_for_rows_without_group(spark, workspace, set_conf, limit):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 5)], "g string, v long")
-    joined = add_group_total(rows, rows, "g", F.sum("v"), "total")
+    joined = add_group_total(rows, rows, "g", F.sum("v"), "total", workspace, limit)
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (limit > 0)
     assert sorted((row.v, row.total) for row in joined.collect()) == [(1, 3), (2, 3), (5, None)]
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_wide_rows_are_not_aggregated_before_they_are_few(spark, workspace, set_conf, limit):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    frame = workspace.save(spark.range(1000).selectExpr("id % 50 as k", "id", "'x' as a"), "wide")
+    kept = lowest_row_per_key(frame, "k", "id", ["a"], workspace, limit)
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    above, _, below = plan.partition("LeftSemi")
+    assert "Aggregate" in above and "Aggregate" not in below
+    assert kept.count() == 50
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_place_among_equals_the_row_number(spark, descending):
+    data = [(1, None), (2, 5), (3, 9), (4, 9), (5, 1), (None, 9), (6, None), (7, 0)]
+    frame = spark.createDataFrame(data, "k int, v int")
+    by = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    window = Window.orderBy(by, F.col("k").asc_nulls_last())
+    expected = {row.k: row.n for row in frame.withColumn("n", F.row_number().over(window)).collect()}
+    placed = place_among(frame, frame, "v", "k", descending, "n")
+    assert {row.k: row.n for row in placed.collect()} == expected
+    assert place_among(frame.limit(0), frame, "v", "k", descending, "n").collect() == []
+
+
 def test_top_rows(spark):
     frame = spark.createDataFrame([(1, None), (2, 5), (3, 9), (4, 9), (5, 1)], "k int, v int")
     order = [F.col("v").desc_nulls_last(), F.col("k").asc_nulls_last()]

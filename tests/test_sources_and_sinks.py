@@ -1,4 +1,5 @@
 import json
+import re
 from unittest.mock import MagicMock
 
 import pytest
@@ -13,7 +14,7 @@ from starloom.sinks.writers import (
     save_as,
     warehouse_writer,
 )
-from starloom.sources.jdbc import RangeSplit, read_table, suffix_predicates
+from starloom.sources.jdbc import BlockSplit, RangeSplit, block_conditions, read_table
 from starloom.sources.sales_csv import read_sales_csv
 from starloom.workspace import Workspace, shared_folder
 
@@ -107,16 +108,22 @@ def test_settings_come_from_the_environment():
     assert found.warehouse.password == ""
     assert found.reports.url == "jdbc:clickhouse:http://h:8123/default"
     assert (found.source_table, found.target_schema) == ("mock_data", "star")
+    assert (found.slices, found.warehouse.connections) == (64, 64)
+    assert settings({"JDBC_SLICES": "7", "JDBC_CONNECTIONS": "3"}).reports.connections == 3
     assert "secret" not in repr(STORE) and "secret" not in repr(found)
 
 
-def test_suffix_predicates_cover_every_row_once(spark):
-    texts = ["10", "7", "107", "abc", "", None, "00", "x99"]
-    rows = spark.createDataFrame([(text,) for text in texts], "id string")
-    parts = suffix_predicates("id", digits=1)
-    assert len(parts) == 11
-    matched = [row.id for part in parts for row in rows.where(part).collect()]
-    assert sorted(matched, key=str) == sorted(texts, key=str)
+@pytest.mark.parametrize(("blocks", "partitions"), [(0, 4), (1, 4), (7, 3), (100, 64), (64, 64)])
+def test_block_conditions_hold_every_row_once(spark, blocks, partitions):
+    conditions = block_conditions(blocks, partitions)
+    assert len(conditions) == max(1, min(blocks, partitions))
+    # a row address as a number; blocks may be added while the table is read
+    rows = spark.createDataFrame([(block * 1000 + 1,) for block in range(blocks + 3)], "place long")
+    numbers = [re.sub(r"'\((\d+),0\)'::tid", r"\g<1>000", c).replace("ctid", "place") for c in conditions]
+    matched = [row.place for condition in numbers for row in rows.where(condition).collect()]
+    assert sorted(matched) == [row.place for row in rows.collect()]
+    sizes = [rows.where(condition).count() for condition in numbers[:-1]]
+    assert not sizes or max(sizes) - min(sizes) <= 1
 
 
 def recorded_reader(bounds):
@@ -149,21 +156,27 @@ def test_a_table_is_read_in_slices_between_its_own_bounds():
 
 def test_an_empty_table_is_read_without_slices():
     spark, seen = recorded_reader((None, None))
-    read_table(spark, STORE, "t", split=RangeSplit("k"))
+    read_table(spark, STORE, "t", split=RangeSplit("k", 8))
     assert all("partitionColumn" not in given for given in seen)
 
 
-def test_a_table_is_read_by_conditions():
-    spark = MagicMock()
-    read_table(spark, STORE, "mock_data", predicates=["a", "b"])
+def test_a_table_is_read_by_blocks():
+    spark, seen = recorded_reader((10,))
+    read_table(spark, STORE, "mock_data", BlockSplit(2))
+    assert "pg_relation_size('mock_data')" in seen[0]["query"]
     (url, table), named = spark.read.jdbc.call_args
-    assert (url, table, named["predicates"]) == (STORE.url, "mock_data", ["a", "b"])
+    assert (url, table) == (STORE.url, "mock_data")
+    assert named["predicates"] == [
+        "ctid >= '(0,0)'::tid AND ctid < '(5,0)'::tid",
+        "ctid >= '(5,0)'::tid",
+    ]
     assert named["properties"]["user"] == "me"
 
 
 def recorded_writer():
     rows, seen = MagicMock(), {}
     rows.na.fill.return_value = rows
+    rows.repartition.side_effect = lambda n: (seen.update(tasks=n), rows)[1]
     writer = rows.write.format.return_value
     writer.options.side_effect = lambda **given: (seen.update(given), writer)[1]
     writer.option.side_effect = lambda name, value: (seen.update({name: value}), writer)[1]
@@ -176,9 +189,16 @@ def test_a_star_table_replaces_the_old_one():
     warehouse_writer(STORE, "star")(rows, "dim_date")
     rows.write.format.assert_called_once_with("jdbc")
     assert (seen["dbtable"], seen["mode"], seen["url"]) == ("star.dim_date", "overwrite", STORE.url)
+    assert (seen["truncate"], seen["tasks"]) == ("false", STORE.connections)
     rows.na.fill.assert_not_called()
 
 
+def test_a_star_table_can_be_emptied_instead():
+    rows, seen = recorded_writer()
+    warehouse_writer(STORE, "star", truncate=True)(rows, "dim_date")
+    assert (seen["truncate"], seen["mode"]) == ("true", "overwrite")
+
+
 def test_a_column_store_gets_filled_rows_and_its_table_options():
     rows, seen = recorded_writer()
     column_store_writer(STORE)(rows, "report_quality")
