@@ -1,8 +1,8 @@
 """Quality rules: base counts, and how far a document is from its language.
 
 A document's character classes and common words are counted into two histograms. The
-reference of a language is the mean of the normalised histograms of its documents that
-pass the base rules, over the whole table; the verdict compares a document with the
+reference of a language is the mean of the normalised histograms of its documents, over
+the whole table and without the far ones; the verdict compares a document with the
 reference of its own language by Jensen-Shannon distance (base 2, from 0 to 1). Short
 documents have ragged histograms, so each comparison has a least length below which it
 says nothing. All of it is built-in functions; one aggregate of as many rows as there are
@@ -21,12 +21,14 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-# Jensen-Shannon distances beyond which a document is not of its language, and the least
-# characters and words for which the distance is taken. A histogram of n words strays from
-# its language by chance alone, by some part of 1/sqrt(n).
+# A document is rejected if its characters alone are far from its language, or its words
+# are and its characters are not near (a clean text may quote another language). A
+# histogram of n words strays by chance alone, by some part of 1/sqrt(n). Below the least
+# numbers of characters and words a distance is not taken.
 MAX_CHARACTER_DISTANCE = 0.30
+NEAR_CHARACTER_DISTANCE = 0.12
 MAX_WORD_DISTANCE = 0.24
-WORD_CHANCE = 0.6
+WORD_CHANCE = 0.3
 LEAST_CHARACTERS = 300
 LEAST_WORDS = 80
 
@@ -47,6 +49,8 @@ CLASSES = {
     "mark": r"""[.,;:!?'"()\[\]{}\x2D/\\_@+=~^`]+""",
 }
 
+HISTOGRAM_COLUMNS = ("language", "n_words", "word_chars", "char_shares", "word_shares")
+
 
 def _count(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
@@ -163,36 +167,49 @@ def _base(docs: DataFrame, text_col: str, lang_col: str | None) -> DataFrame:
     )
 
 
-def _enough() -> Column:
-    return (F.col("n_words") >= LEAST_WORDS) & (F.col("word_chars") >= LEAST_CHARACTERS)
+def _distance(shares: str, reference: str) -> Column:
+    """Jensen-Shannon distance of two distributions."""
+
+    def part(p: Column, q: Column) -> Column:
+        return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
+
+    parts = F.zip_with(shares, reference, lambda p, q: (part(p, q) + part(q, p)) / 2)
+    total = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
+    return F.sqrt(F.greatest(total, F.lit(0.0)))
+
 
+def language_references(histograms: DataFrame) -> DataFrame:
+    """Mean shares per reference language, one row each, from the stored histograms.
 
-def language_references(measured: DataFrame) -> DataFrame:
-    """Mean shares per reference language, over the rows that pass the base rules."""
+    Documents that are long enough to be compared take part. As some of them may be junk,
+    the mean is taken twice: the second time over those that are not farther from the
+    first than the language's documents are on average.
+    """
 
     def means(name: str, size: int) -> Column:
         return F.array(*[F.avg(F.get(name, F.lit(k))) for k in range(size)])
 
-    return (
-        measured.filter(~F.col("base_failed") & _enough())
-        .filter(F.col("language").isin(list(COMMON_WORDS)))
-        .groupBy("language")
-        .agg(
+    def references(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("language").agg(
             means("char_shares", len(CLASSES) + 1).alias("char_reference"),
             means("word_shares", len(BINS) + 1).alias("word_reference"),
         )
-    )
-
-
-def _distance(shares: str, reference: str) -> Column:
-    """Jensen-Shannon distance of two distributions."""
-
-    def part(p: Column, q: Column) -> Column:
-        return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
 
-    parts = F.zip_with(shares, reference, lambda p, q: (part(p, q) + part(q, p)) / 2)
-    total = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
-    return F.sqrt(F.greatest(total, F.lit(0.0)))
+    rows = histograms.filter(
+        (F.col("n_words") >= LEAST_WORDS)
+        & (F.col("word_chars") >= LEAST_CHARACTERS)
+        & F.col("language").isin(list(COMMON_WORDS))
+    )
+    compared = rows.join(F.broadcast(references(rows)), "language").select(
+        *rows.columns,
+        (
+            _distance("char_shares", "char_reference") + _distance("word_shares", "word_reference")
+        ).alias("distance"),
+    )
+    usual = compared.groupBy("language").agg(F.avg("distance").alias("usual"))
+    # a little room, as all documents may be equally far
+    near = F.col("distance") <= F.col("usual") * (1 + 1e-9)
+    return references(compared.join(F.broadcast(usual), "language").filter(near))
 
 
 def _judged(measured: DataFrame, references: DataFrame) -> DataFrame:
@@ -206,9 +223,10 @@ def _judged(measured: DataFrame, references: DataFrame) -> DataFrame:
             ),
         }
     )
+    chance = F.try_divide(F.lit(WORD_CHANCE), F.sqrt("n_words"))
     far = (F.col("char_distance") > MAX_CHARACTER_DISTANCE) | (
-        F.col("word_distance")
-        > MAX_WORD_DISTANCE + F.try_divide(F.lit(WORD_CHANCE), F.sqrt("n_words"))
+        (F.col("word_distance") > MAX_WORD_DISTANCE + chance)
+        & (F.col("char_distance") > NEAR_CHARACTER_DISTANCE)
     )
     # without a reference or below the least length there is no distance, so no objection
     return compared.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
@@ -235,7 +253,8 @@ def quality_measures(
     measured = _base(docs.select(*columns), "text", "lang" if lang_col else None)
     measured = measured.withColumn("doc_id", F.col("row.doc_id")).drop("row")
     measured = workspace.save(measured, "quality")
-    references = workspace.save(language_references(measured), "references")
+    histograms = measured.select(*HISTOGRAM_COLUMNS)
+    references = workspace.save(language_references(histograms), "references")
     return _judged(measured, references).select(
         "doc_id",
         "n_words",
@@ -258,11 +277,12 @@ def drop_low_quality(
 ) -> DataFrame:
     """The rows of `docs`, with all their columns, that `quality_measures` keeps.
 
-    The texts are read twice, for the references and for the verdicts, and never shuffled.
+    The texts are read twice, for the histograms and for the verdicts, and never shuffled.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     measured = _base(docs, text_col, lang_col)
-    references = workspace.save(language_references(measured), "references")
+    histograms = workspace.save(measured.select(*HISTOGRAM_COLUMNS), "histograms")
+    references = workspace.save(language_references(histograms), "references")
     judged = _judged(measured, references).filter("kept")
     return judged.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
 
@@ -278,3 +298,101 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+def _oracle() -> str:
+    def listed(values: list[str]) -> str:
+        return "[" + ", ".join(values) + "]"
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    others = [f"n_{name}" for name in CLASSES]
+    removed = ", ".join(
+        f"length(body) - length(regexp_replace(body, {quoted(p)}, '', 'g')) AS n_{n}"
+        for n, p in CLASSES.items()
+    )
+    char_bins = [f"{n} / word_chars" for n in others]
+    char_bins.append(f"(word_chars - {' - '.join(others)}) / word_chars")
+    common = listed([quoted(word) for word in BINS])
+    word_bins = [f"len(list_filter(common, lambda w: w = {quoted(b)})) / n_words" for b in BINS]
+    word_bins.append("(n_words - len(common)) / n_words")
+
+    def means(name: str, size: int) -> str:
+        return listed([f"avg({name}[{k + 1}])" for k in range(size)])
+
+    references = f"""SELECT language, {means('char_shares', len(CLASSES) + 1)} AS char_reference,
+        {means('word_shares', len(BINS) + 1)} AS word_reference"""
+
+    def distance(p: str, q: str) -> str:
+        def part(a: int, b: int) -> str:
+            return f"CASE WHEN x[{a}] > 0 THEN x[{a}] * log2(2 * x[{a}] / (x[{a}] + x[{b}])) ELSE 0 END"
+
+        return f"""sqrt(greatest(0.0, list_sum(list_transform(list_zip({p}, {q}),
+            lambda x: ({part(1, 2)} + {part(2, 1)}) / 2))))"""
+
+    return f"""
+WITH bodies AS (
+    SELECT row_number() OVER () AS place, doc_id, lang AS language, coalesce(text, '') AS body
+    FROM documents
+), counted AS (
+    SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words, {removed},
+        list_filter(string_split(body, chr(10)),
+            lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM bodies
+), windows AS (
+    SELECT place, pos, count(*) OVER (PARTITION BY place, win) AS times
+    FROM (
+        SELECT place, pos, array_to_string(words[pos:pos + 4], ' ') AS win
+        FROM (SELECT place, words, unnest(range(1, len(words) - 3)) AS pos FROM counted)
+    )
+), covered AS (
+    SELECT place, sum(least(5, coalesce(pos - before, 5))) AS n_covered
+    FROM (
+        SELECT place, pos, lag(pos) OVER (PARTITION BY place ORDER BY pos) AS before
+        FROM windows WHERE times > 1
+    )
+    GROUP BY place
+), base AS (
+    SELECT place, doc_id, language, n_words, word_chars, n_symbol AS n_symbols, n_dup_lines,
+        n_repeat_words, n_words < {MIN_WORDS}
+            OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+        CASE WHEN n_words > 0 THEN {listed(char_bins)} END AS char_shares,
+        CASE WHEN n_words > 0 THEN {listed(word_bins)} END AS word_shares
+    FROM (
+        SELECT *, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+            coalesce(n_covered, 0)::BIGINT AS n_repeat_words,
+            list_filter(words, lambda w: list_contains({common}, w)) AS common
+        FROM (SELECT c.*, v.n_covered FROM counted c LEFT JOIN covered v USING (place))
+    )
+), long AS (
+    SELECT * FROM base
+    WHERE n_words >= {LEAST_WORDS} AND word_chars >= {LEAST_CHARACTERS}
+        AND language IN ({', '.join(map(quoted, COMMON_WORDS))})
+), first AS ({references} FROM long GROUP BY language
+), compared AS (
+    SELECT long.*, {distance('char_shares', 'char_reference')}
+        + {distance('word_shares', 'word_reference')} AS distance
+    FROM long JOIN first USING (language)
+), second AS (
+    {references}
+    FROM (SELECT *, avg(distance) OVER (PARTITION BY language) AS usual FROM compared)
+    WHERE distance <= usual * (1 + 1e-9) GROUP BY language
+), judged AS (
+    SELECT base.*,
+        CASE WHEN word_chars >= {LEAST_CHARACTERS}
+            THEN {distance('char_shares', 'char_reference')} END AS char_distance,
+        CASE WHEN n_words >= {LEAST_WORDS}
+            THEN {distance('word_shares', 'word_reference')} END AS word_distance
+    FROM base LEFT JOIN second USING (language)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT coalesce(char_distance > {MAX_CHARACTER_DISTANCE} OR
+        (word_distance > {MAX_WORD_DISTANCE} + {WORD_CHANCE} / sqrt(n_words)
+            AND char_distance > {NEAR_CHARACTER_DISTANCE}), false) AS kept
+FROM judged
+"""
+
+
+ORACLE = _oracle()

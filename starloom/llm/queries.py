@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact_dedup
+from starloom.llm import exact_dedup, quality, secret_scan
 from starloom.llm.chat import op1_chat_format
 from starloom.llm.exact_dedup import op2_exact_dedup
 from starloom.llm.html_text import op9_html_text
@@ -31,4 +31,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": exact_dedup.ORACLE}
+# The others need a tokenizer, XXH64, a parser or a dynamic program, which SQL has not; they
+# are tested against brute force or the library itself.
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.ORACLE,
+    "op7_secrets": secret_scan.ORACLE,
+    "op8_quality_rules": quality.ORACLE,
+}

@@ -262,3 +262,47 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(_listed(base, kinds), 256).alias("base_sha256"),
         _listed(spans, kinds).alias("spans"),
     )
+
+
+def _oracle() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def found(number: int, rule: Rule) -> str:
+        pattern = quoted(rule.pattern)
+        return f"""
+    SELECT place, {number} AS kind, unnest(list_filter(list_transform(range(1, len(found) + 1),
+        lambda i: {{'start': (list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+                + coalesce(list_sum(list_transform(found[1:i - 1], lambda g: length(g))), 0))::BIGINT,
+            'size': length(found[i]), 'checked': length(checked[i])}}),
+        lambda m: m.checked >= {rule.least})) AS span
+    FROM (
+        SELECT place, string_split_regex(body, {pattern}) AS gaps,
+            regexp_extract_all(body, {pattern}, 0) AS found,
+            regexp_extract_all(body, {pattern}, {rule.group}) AS checked
+        FROM bodies WHERE regexp_matches(body, {pattern})
+    )"""
+
+    kinds = "[" + ", ".join(quoted(rule.kind) for rule in RULES) + "]"
+    matches = " UNION ALL ".join(found(number, rule) for number, rule in enumerate(RULES))
+    counts = ", ".join(
+        f"count(*) FILTER (kind = {number}) AS n_{rule.kind}" for number, rule in enumerate(BASE_RULES)
+    )
+    text = f"{kinds}[kind + 1] || ':' || span.start || ':' || (span.start + span.size)"
+    order = "',' ORDER BY span.start, kind"
+    return f"""
+WITH bodies AS (
+    SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS body FROM documents
+), matches AS ({matches}
+), listed AS (
+    SELECT place, {counts}, string_agg({text}, {order}) AS spans,
+        string_agg({text}, {order}) FILTER (kind < {len(BASE_RULES)}) AS base
+    FROM matches GROUP BY place
+)
+SELECT doc_id, {', '.join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM bodies LEFT JOIN listed USING (place)
+"""
+
+
+ORACLE = _oracle()

@@ -60,12 +60,15 @@ def test_query_equals_brute_force(spark, folder):
     def enough(i):
         return counts[i][0] >= quality.LEAST_WORDS and counts[i][1] >= quality.LEAST_CHARACTERS
 
+    def mean(some):
+        return [np.mean([s[k] for s in some], axis=0) for k in (0, 1)]
+
     means = {}
     for lang in quality.COMMON_WORDS:
-        ids = [r.doc_id for r in docs if r.lang == lang and enough(r.doc_id)]
-        good = [shares[i] for i in ids if not counts[i][-1]]
-        if good:
-            means[lang] = [np.mean([s[k] for s in good], axis=0) for k in (0, 1)]
+        some = [shares[r.doc_id] for r in docs if r.lang == lang and enough(r.doc_id)]
+        if some:
+            far = [sum(distance(s, m) for s, m in zip(x, mean(some), strict=True)) for x in some]
+            means[lang] = mean([x for x, d in zip(some, far, strict=True) if d <= np.mean(far) * (1 + 1e-9)])
     rows = {r.doc_id: r for r in quality_measures(table(spark, folder, "documents")).collect()}
     assert len(rows) == len(docs)
     for r in docs:
@@ -77,10 +80,13 @@ def test_query_equals_brute_force(spark, folder):
             if mine[1] >= quality.LEAST_CHARACTERS:
                 assert ours.char_distance == pytest.approx(far[0], abs=1e-9)
                 kept &= far[0] <= quality.MAX_CHARACTER_DISTANCE
+            else:
+                assert ours.char_distance is None
             if mine[0] >= quality.LEAST_WORDS:
                 assert ours.word_distance == pytest.approx(far[1], abs=1e-9)
                 limit = quality.MAX_WORD_DISTANCE + quality.WORD_CHANCE / math.sqrt(mine[0])
-                kept &= far[1] <= limit
+                near = (ours.char_distance or 0) <= quality.NEAR_CHARACTER_DISTANCE
+                kept &= far[1] <= limit or near
         assert ours.kept == kept
 
 
