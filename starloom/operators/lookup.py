@@ -4,32 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from starloom.workspace import Workspace
+
 BROADCAST_BYTES = 128 * 1024 * 1024
 _ROW_OVERHEAD = 64
 _COLUMN_OVERHEAD = 8
 
 
-def measured_bytes(table: DataFrame) -> int:
-    """Size of the rows once in memory, by one aggregate over the table."""
+def _width(table: DataFrame) -> Column:
+    """Bytes of a row once in memory."""
     width = F.lit(_ROW_OVERHEAD + _COLUMN_OVERHEAD * len(table.columns))
     for name, kind in table.dtypes:
         if kind == "string":
             width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    return table.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return width.cast("long")
+
+
+def measured_bytes(table: DataFrame) -> int:
+    """Size of the rows once in memory, by one aggregate over the table."""
+    return table.agg(F.sum(_width(table))).first()[0] or 0
+
+
+def save_measured(
+    rows: DataFrame, label: str, workspace: Workspace
+) -> tuple[DataFrame, int]:
+    """Write rows and learn their size in memory on the way."""
+    seen = Observation()
+    saved = workspace.save(rows.observe(seen, F.sum(_width(rows)).alias("bytes")), label)
+    return saved, seen.get["bytes"] or 0
 
 
 def look_up(
-    rows: DataFrame, table: DataFrame, on: Sequence[str], limit: int = BROADCAST_BYTES
+    rows: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    limit: int = BROADCAST_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Left join on equal keys, where null matches nothing.
 
     A table measured to be within `limit` is sent to every executor, and the rows stay
     where they are. A larger one is joined by shuffle, where adaptive execution splits a
-    key that holds a large share of the rows.
+    key that holds a large share of the rows. `size` is given if it is known already.
     """
-    if measured_bytes(table) <= limit:
+    if (measured_bytes(table) if size is None else size) <= limit:
         table = F.broadcast(table)
     return rows.join(table, list(on), "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookup import BROADCAST_BYTES, measured_bytes
+from starloom.operators.lookup import BROADCAST_BYTES, save_measured
 from starloom.workspace import Workspace
 
 
@@ -34,13 +34,13 @@ def lowest_row_per_key(
     scans). The wide rows are never aggregated as a whole: what is left is one row per
     key, or a few that tie.
     """
-    lowest = workspace.save(
+    lowest, size = save_measured(
         rows.groupBy(F.col(key).alias("lowest_key")).agg(F.min(order).alias("lowest")),
         f"lowest-{key}",
+        workspace,
     )
-    small = measured_bytes(lowest) <= limit
     same_row = F.col(key).eqNullSafe(F.col("lowest_key")) & F.col(order).eqNullSafe(F.col("lowest"))
-    rows = rows.join(F.broadcast(lowest) if small else lowest, same_row, "left_semi")
+    rows = rows.join(F.broadcast(lowest) if size <= limit else lowest, same_row, "left_semi")
     candidate = F.struct(*[part for name in (order, *attributes) for part in _nulls_last(name)])
     return (
         rows.groupBy(key)

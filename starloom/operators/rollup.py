@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from starloom.operators.lookup import BROADCAST_BYTES, look_up
+from starloom.operators.lookup import BROADCAST_BYTES, look_up, save_measured
 from starloom.workspace import Workspace
 
 
@@ -24,8 +24,8 @@ def add_group_total(
     they are measured without being computed twice: within `limit` they are broadcast, and
     the rows stay where they are.
     """
-    totals = workspace.save(group_total(source, by, total, output), output)
-    return look_up(rows, totals, [by], limit)
+    totals, size = save_measured(group_total(source, by, total, output), output, workspace)
+    return look_up(rows, totals, [by], limit, size)
 
 
 def group_total(source: DataFrame, by: str, total: Column, output: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.measures import correlation, exact_mean, exact_sum
-from starloom.operators.lookup import look_up
+from starloom.operators.lookup import look_up, measured_bytes
 from starloom.operators.numbering import number_rows
 from starloom.operators.rollup import add_group_total, group_total
 from starloom.operators.topk import place_among, top_rows, top_rows_numbered
@@ -332,13 +332,14 @@ def time_sales(star: Star) -> DataFrame:
     year of their own.
     """
     days = star["dim_date"].select(F.col("date_id").alias("sale_date_id"), "year", "month")
+    size = measured_bytes(days)
     fact = star["fact_sales"]
     by_day = fact.groupBy("sale_date_id").agg(
         _revenue().alias("day_revenue"), F.count("sale_total_price").alias("priced_sales")
     )
     revenue = exact_sum(F.col("day_revenue"))
     amounts = (
-        look_up(by_day, days, ["sale_date_id"])
+        look_up(by_day, days, ["sale_date_id"], size=size)
         .groupBy("year", "month")
         .agg(
             revenue.alias("total_revenue"),
@@ -346,7 +347,7 @@ def time_sales(star: Star) -> DataFrame:
         )
     )
     orders = (
-        look_up(fact.select("sale_date_id", "sale_id"), days, ["sale_date_id"])
+        look_up(fact.select("sale_date_id", "sale_id"), days, ["sale_date_id"], size=size)
         .groupBy("year", "month")
         .agg(F.count_distinct("sale_id").alias("orders"))
     )
