@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -77,17 +78,20 @@ class WordCoder:
         text = text if b"<|" in text else text.lower()
         return self._before_mark.sub(rb" \1", text).split()
 
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids)
+
     def _learn(self, new: set[bytes]) -> None:
         # letters a-z need no normalising or splitting: the model alone gives their tokens
         plain = [word for word in new if word.isalpha() and word.islower()]
         for word in plain:
             tokens = self.tokenizer.model.tokenize(word.decode("ascii"))
-            self.codes[word] = np.array([t.id for t in tokens], dtype=self.kind).tobytes()
+            self.codes[word] = self._packed([token.id for token in tokens])
         for call in calls(new.difference(plain), _CALL_BYTES):
             texts = [word.decode("utf-8") for word in call]
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             for word, encoding in zip(call, found, strict=True):
-                self.codes[word] = np.array(encoding.ids, dtype=self.kind).tobytes()
+                self.codes[word] = self._packed(encoding.ids)
 
     def _coded(self, texts: Iterable[str]) -> Iterator[list[list[bytes]]]:
         """The texts' words, piece by piece, all of them known; a few MB at a time."""
