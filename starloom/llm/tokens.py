@@ -54,6 +54,19 @@ def load_tokenizer(vocabulary: str):
     )
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies.
+
+    Visible bytes stand for themselves, the others in order for U+0100 and on.
+    """
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [byte for byte in range(256) if byte not in visible]
+    return {byte: chr(0x100 + place) for place, byte in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordCoder:
     """Token ids of a vocabulary whose tokens never cross white space.
 
@@ -67,6 +80,7 @@ class WordCoder:
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.kind = np.dtype("<u2" if small else "<u4")
         self.codes: dict[bytes, bytes] = {}
+        self._small_letters = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
         self._before_mark = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
 
     @staticmethod
@@ -82,10 +96,12 @@ class WordCoder:
         return struct.pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids)
 
     def _learn(self, new: set[bytes]) -> None:
-        # letters a-z need no normalising or splitting: the model alone gives their tokens
-        plain = [word for word in new if word.isalpha() and word.islower()]
+        # small letters to U+00FF need no normalising or splitting: the model alone gives
+        # their tokens, from the characters that stand for their bytes
+        plain = [word for word in new if self._small_letters(word)]
+        model = self.tokenizer.model
         for word in plain:
-            tokens = self.tokenizer.model.tokenize(word.decode("ascii"))
+            tokens = model.tokenize(word.decode("latin-1").translate(_BYTE_LETTERS))
             self.codes[word] = self._packed([token.id for token in tokens])
         for call in calls(new.difference(plain), _CALL_BYTES):
             texts = [word.decode("utf-8") for word in call]

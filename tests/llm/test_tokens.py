@@ -74,6 +74,11 @@ def test_any_text(text):
 _loaded: list = []
 
 
+def test_every_letter_to_latin_small_y_with_diaeresis(words):
+    texts = [f"{chr(a)}{chr(b)} x{chr(a)}y" for a in range(0x41, 0x180) for b in (0x61, 0xE9, 0xDF, 0x301)]
+    assert [list(x) for x in WordCoder(WORD_VOCABULARY).encode(texts)] == ids_of(words, texts)
+
+
 def test_texts_longer_than_a_piece(words, pieces):
     text = "Hello world, it's  a long. test " * 50_000
     assert list(WordCoder(WORD_VOCABULARY).encode([text])[0]) == ids_of(words, [text])[0]
