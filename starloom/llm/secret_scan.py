@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import BROADCAST_BYTES, table, text_or_empty
+from starloom.llm.common import BROADCAST_BYTES, let, table, text_or_empty
 from starloom.operators.lookup import look_up
 from starloom.workspace import Workspace
 
@@ -175,10 +175,16 @@ def candidates(index: DataFrame, queries: list[Query]) -> DataFrame:
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
+# matches that are placed together: adding to an array copies it
+_MATCHES_AT_ONCE = 256
 
 
 def _spans(text: Column, rule: Rule, number: int) -> Column:
-    """The rule's matches in order: the text between them tells where they lie."""
+    """The rule's matches in order: the text between them tells where they lie.
+
+    Runs of matches are placed from their own beginning, then moved to where the runs
+    before them end, so that a text may hold any number of matches.
+    """
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     checked = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     gaps = F.split(text, rule.pattern, -1)
@@ -202,7 +208,36 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
         )
         return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(steps, begin, step, lambda done: done["spans"])
+    def runs(steps: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(steps) + 1, F.lit(_MATCHES_AT_ONCE))
+        return F.transform(
+            firsts, lambda at: F.aggregate(F.slice(steps, at, _MATCHES_AT_ONCE), begin, step)
+        )
+
+    def starts(runs: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        return F.aggregate(
+            runs,
+            none,
+            lambda done, run: F.struct(
+                (done["at"] + run["at"]).alias("at"),
+                F.concat(done["starts"], F.array(done["at"])).alias("starts"),
+            ),
+            lambda done: done["starts"],
+        )
+
+    def moved(run: Column, by: Column) -> Column:
+        return F.transform(
+            run["spans"],
+            lambda span: F.struct(
+                (span["start"] + by).alias("start"),
+                span["kind"].alias("kind"),
+                (span["end"] + by).alias("end"),
+            ),
+        )
+
+    placed = let(let(steps, runs), lambda runs: F.zip_with(runs, starts(runs), moved))
+    return F.flatten(placed)
 
 
 def scan_secrets(

@@ -58,6 +58,14 @@ def test_crafted_texts(spark, tmp_path):
     check(found, dict(rows))
 
 
+def test_many_matches_in_one_text(spark, tmp_path):
+    runs = [f"{n:016x}" for n in range(100_000)]
+    texts = {1: " ".join(runs), 2: "é".join(runs[:256]), 3: "é".join(runs[:257]) + " secret=" + "a" * 12}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    check(op7_secrets(spark, str(tmp_path)).collect(), texts)
+
+
 @pytest.mark.parametrize("rule", RULES, ids=lambda r: r.kind)
 def test_every_match_answers_its_query(rule):
     query = trigram_query(rule.pattern)
