@@ -72,26 +72,25 @@ class PageLines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # elements: name, parent; the open ones as (number, name, silent, furniture)
+        # elements: name, parent; the open ones as (number, name, silent, furniture, whether
+        # it is or lies in an article or main element)
         self.names = ["#page"]
         self.parents = [-1]
-        self.open = [(0, "#page", False, False)]
+        self.open = [(0, "#page", False, False, False)]
         self.lines: list[tuple[str, int, int, bool]] = []
         self._parts: list[str] = []
         self._tags = 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self._parts).split())
-        number, _, _, furniture = self.open[-1]
+        number, _, _, furniture, _ = self.open[-1]
         if text or self._tags:
             self.lines.append((text, self._tags, number, furniture))
         self._parts, self._tags = [], 0
 
-    def _within(self, names: frozenset[str]) -> bool:
-        return any(entry[1] in names for entry in self.open)
-
     def _is_furniture(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        if tag in FURNITURE or (tag == "header" and not self._within(_REGIONS)):
+        outside = not self.open[-1][4]
+        if tag in FURNITURE or (tag == "header" and outside):
             return True
         style = (attrs.get("style") or "").replace(" ", "").lower()
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style:
@@ -100,7 +99,7 @@ class PageLines(HTMLParser):
         words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()))
         if tag in ("html", "body", "main", "article"):
             return bool(words & _READER_NAMES)
-        if not self._within(_REGIONS) and words & _OUTSIDE_NAMES:
+        if outside and words & _OUTSIDE_NAMES:
             return True
         return bool(words & NAMES)
 
@@ -123,9 +122,10 @@ class PageLines(HTMLParser):
             self._parts.append(" ")
         if tag in VOID:
             return
-        _, _, silent, furniture = self.open[-1]
+        _, _, silent, furniture, inside = self.open[-1]
         furniture = furniture or self._is_furniture(tag, dict(attrs))
-        self.open.append((len(self.names), tag, silent or tag in SILENT, furniture))
+        inside = inside or tag in _REGIONS
+        self.open.append((len(self.names), tag, silent or tag in SILENT, furniture, inside))
         self.names.append(tag)
         self.parents.append(self.open[-2][0])
 

@@ -63,6 +63,12 @@ def test_unclosed_and_stray_tags():
     assert main_text(page) == f"{LONG}\nSecond part\ngoes on\nThird"
 
 
+def test_deep_pages():
+    depth = 20_000
+    assert main_text("<div>" * depth + f"<p>{LONG}</p>" + "</div>" * depth) == LONG
+    assert main_text("<article>" + f"<div><b>{LONG}" * depth) == "\n".join([LONG] * depth)
+
+
 def test_nulls_long_pages_other_columns_and_empty(spark):
     schema = "page_id long, url string, html string, text int, n_chars string"
     long = "<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>"
