@@ -156,6 +156,18 @@ _TABLES = {
         "select *, cast(sum(cast(total_revenue as decimal(18,2))) over (partition by year) "
         "as double) as year_total_revenue from month_base"
     ),
+    "period_changes": (
+        "select m.year, m.month, m.total_revenue, p.total_revenue as previous_month_revenue, "
+        "round(m.total_revenue - p.total_revenue, 2) as revenue_change, "
+        "round(case when p.total_revenue <> 0 then (m.total_revenue - p.total_revenue) "
+        "/ abs(p.total_revenue) end, 8) as revenue_growth, "
+        "y.total_revenue as previous_year_revenue, "
+        "round(m.total_revenue - y.total_revenue, 2) as year_revenue_change "
+        "from month_base m left join month_base p "
+        "on p.year * 12 + p.month = m.year * 12 + m.month - 1 "
+        "left join month_base y on y.year = m.year - 1 and y.month = m.month "
+        "where m.year is not null"
+    ),
     "store_base": (
         "select f.store_id, store_name, store_city, store_country, "
         f"{_sum('sale_total_price')} as total_revenue, {_mean('sale_total_price')} as avg_check "
@@ -305,6 +317,7 @@ _QUERIES = {
             "customer_sales",
             "customers_by_country",
             "time_sales",
+            "period_changes",
             "store_sales",
             "city_sales",
             "store_country_sales",

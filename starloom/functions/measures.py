@@ -29,20 +29,30 @@ _TOO_LARGE = 1e27
 _LOW_BITS = 20
 
 
+def _millionth() -> Column:
+    return F.lit("0.000001").cast("decimal(7,6)")
+
+
+def _in_millionths(amount: Column) -> tuple[Column, Column]:
+    """The amount in whole millionths, and whether these hold all its digits."""
+    millionths = F.when(F.abs(amount) < _MOST_MILLIONTHS, F.floor(amount * _MILLIONTHS + 0.5))
+    plain = F.coalesce(millionths / F.lit(float(_MILLIONTHS)) == amount, F.lit(False))
+    return millionths, plain
+
+
 def exact_sum(amount: Column, window: WindowSpec | None = None) -> Column:
     def total(aggregate: Column) -> Column:
         return aggregate.over(window) if window is not None else aggregate
 
     amount = amount.cast("double")
     size = F.abs(amount)
-    millionths = F.when(size < _MOST_MILLIONTHS, F.floor(amount * _MILLIONTHS + 0.5))
-    plain = F.coalesce(millionths / F.lit(float(_MILLIONTHS)) == amount, F.lit(False))
+    millionths, plain = _in_millionths(amount)
     high = F.when(plain, F.shiftright(millionths, _LOW_BITS))
     low = F.when(plain, millionths.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
     high_total = total(F.try_sum(high)).cast("decimal(20,0)")
     low_total = total(F.try_sum(low)).cast("decimal(20,0)")
     in_millionths = high_total * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low_total
-    money = in_millionths * F.lit("0.000001").cast("decimal(7,6)")
+    money = in_millionths * _millionth()
 
     twenty = F.when(~plain & (size < _LARGE), amount.try_cast("decimal(32,20)"))
     all_digits = (size >= _SMALL) | (twenty.cast("double") == amount)
@@ -64,6 +74,20 @@ def exact_sum(amount: Column, window: WindowSpec | None = None) -> Column:
     return F.coalesce(F.when(fits, added), total(F.sum(amount)))
 
 
+def exact_weighted_sum(amount: Column, weight: Column) -> Column:
+    """Sum of the amounts, each as often as its whole weight says.
+
+    A product of doubles has digits of its own, so amounts in whole millionths are multiplied
+    as whole numbers; only others are multiplied as doubles.
+    """
+    amount = amount.cast("double")
+    millionths, plain = _in_millionths(amount)
+    whole = F.when(plain, millionths.cast("decimal(20,0)") * weight.cast("decimal(18,0)"))
+    money = (F.try_sum(whole).try_cast("decimal(31,0)") * _millionth()).cast("double")
+    other = exact_sum(F.when(~plain, amount * weight))
+    return F.coalesce(money + other, money, other)
+
+
 def exact_mean(amount: Column) -> Column:
     return F.try_divide(exact_sum(amount), F.count(amount).cast("double"))
 

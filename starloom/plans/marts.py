@@ -13,7 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.measures import correlation, exact_mean, exact_sum
+from starloom.functions.measures import (
+    correlation,
+    exact_mean,
+    exact_sum,
+    exact_weighted_sum,
+)
 from starloom.operators.lookup import look_up, measured_bytes
 from starloom.operators.numbering import number_rows
 from starloom.operators.rollup import add_group_total, group_total
@@ -115,7 +120,7 @@ def _supplier_sales(star: Star) -> DataFrame:
         .agg(
             _total_of_totals().alias("total_revenue"),
             F.try_divide(
-                exact_sum(price * F.col("sales")), F.sum(priced_sales).cast("double")
+                exact_weighted_sum(price, F.col("sales")), F.sum(priced_sales).cast("double")
             ).alias("avg_product_price"),
         )
     )
@@ -364,6 +369,44 @@ def time_sales(star: Star) -> DataFrame:
     )
 
 
+def period_changes(star: Star) -> DataFrame:
+    """Months beside the month before and the same month of the year before, in order.
+
+    The calendar decides what the month before is: a month without sales leaves the next one
+    without a change, as does a missing revenue. Sales without a date have no period and no
+    row here. `revenue_growth` is the change over the size of the earlier revenue, null where
+    that is zero. The mart is written first: its rows are months, so the joins are small.
+    """
+    period = F.col("year") * 12 + F.col("month")
+    sold = star.workspace.save(
+        time_sales(star)
+        .where(F.col("year").isNotNull())
+        .select("year", "month", period.alias("period"), "total_revenue"),
+        "months",
+    )
+
+    def earlier(months: int, output: str) -> DataFrame:
+        return sold.select(
+            (F.col("period") + months).alias("period"), F.col("total_revenue").alias(output)
+        )
+
+    before, year_before = F.col("previous_month_revenue"), F.col("previous_year_revenue")
+    change = F.col("total_revenue") - before
+    size = measured_bytes(sold)
+    rows = look_up(sold, earlier(1, "previous_month_revenue"), ["period"], size=size)
+    rows = look_up(rows, earlier(12, "previous_year_revenue"), ["period"], size=size)
+    return rows.select(
+        "year",
+        "month",
+        "total_revenue",
+        before,
+        F.round(change, 2).alias("revenue_change"),
+        F.round(F.try_divide(change, F.abs(before)), 8).alias("revenue_growth"),
+        year_before,
+        F.round(F.col("total_revenue") - year_before, 2).alias("year_revenue_change"),
+    ).orderBy("year", "month")
+
+
 def all_reports(star: Star) -> dict[str, Callable[[], DataFrame]]:
     """Every report by its published name, built when asked for."""
     reports: dict[str, Callable[[], DataFrame]] = {

@@ -97,6 +97,27 @@ def test_months_count_ids_but_average_rows(star_of):
     ]
 
 
+def test_periods_are_compared_by_the_calendar(star_of):
+    star = star_of(
+        sale(1, "1", "1", "10", sale_date="12/5/2019"),
+        sale(2, "1", "1", "25", sale_date="1/5/2020"),
+        sale(3, "1", "1", "0", sale_date="2/5/2020"),
+        sale(4, "1", "1", "7", sale_date="3/5/2020"),
+        sale(5, "1", "1", "8", sale_date="12/7/2020"),
+        sale(6, "1", "1", "99", sale_date=None),
+        sale(7, "1", "1", None, sale_date="1/9/2021"),
+    )
+    rows = [tuple(row) for row in marts.period_changes(star).collect()]
+    assert rows == [
+        (2019, 12, 10.0, None, None, None, None, None),
+        (2020, 1, 25.0, 10.0, 15.0, 1.5, None, None),
+        (2020, 2, 0.0, 25.0, -25.0, -1.0, None, None),
+        (2020, 3, 7.0, 0.0, 7.0, None, None, None),
+        (2020, 12, 8.0, None, None, None, 10.0, -2.0),
+        (2021, 1, None, 8.0, None, None, 25.0, None),
+    ]
+
+
 def test_a_city_is_one_group_whatever_its_country(star_of):
     def store(n, **changes):
         return {name: f"{name}{n}" for name in STORE.columns} | {"store_city": "Ghent"} | changes

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.functions.measures import correlation, exact_mean, exact_sum
+from starloom.functions.measures import correlation, exact_mean, exact_sum, exact_weighted_sum
 
 
 def total(spark, values):
@@ -23,6 +23,30 @@ def test_sum_is_exact_whatever_the_order(spark):
         assert frame.agg(exact_sum(F.col("x"))).first()[0] == expected
 
 
+def weighted(spark, pairs):
+    frame = spark.createDataFrame(pairs, "x double, n long")
+    return frame.agg(exact_weighted_sum(F.col("x"), F.col("n"))).first()[0]
+
+
+def test_weighted_sum_is_the_sum_of_the_repeats(spark):
+    chance = random.Random(3)
+    pairs = [(chance.randint(-10**7, 10**7), chance.randint(0, 10**6)) for _ in range(5000)]
+    expected = sum(c * n for c, n in pairs) / 100
+    assert weighted(spark, [(c / 100, n) for c, n in pairs]) == expected
+    # the product of these doubles is 3150.2999999999997
+    assert weighted(spark, [(1050.1, 3)]) == 3150.3
+    assert weighted(spark, [(1050.1, 10**15)]) == 1.0501e18
+
+
+def test_weighted_sum_of_other_values(spark):
+    assert weighted(spark, [(1e-9, 2), (0.5, 4)]) == 2.000000002
+    assert weighted(spark, [(1e-9, 2), (2e12, 3)]) == 6e12
+    assert weighted(spark, [(None, 2), (1.5, None), (2.5, 2)]) == 5.0
+    assert weighted(spark, [(None, 2)]) is None
+    assert math.isnan(weighted(spark, [(float("nan"), 1), (1.0, 1)]))
+    assert weighted(spark, [(float("inf"), 1), (1.0, 1)]) == math.inf
+
+
 def test_sum_keeps_six_decimals(spark):
     assert total(spark, [0.000001] * 10 + [1.5, -0.25]) == 1.25001
 

@@ -14,9 +14,13 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "D
 
 @pytest.fixture(scope="module")
 def duck():
+    return connected(SMALL)
+
+
+def connected(folder):
     connection = duckdb.connect()
     for table in SOURCE_TABLES:
-        connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
+        connection.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
     return connection
 
 
@@ -40,6 +44,22 @@ def test_query_equals_its_check(spark, duck, name):
     assert values(ours.collect(), ours.columns) == values(check.fetchall(), columns)
 
 
+@pytest.fixture(scope="module")
+def medium_duck():
+    return connected(MEDIUM)
+
+
+REPORTS = sorted(name.removesuffix("_filled") for name in QUERIES if name.endswith("_filled"))
+
+
+@pytest.mark.parametrize("name", [*REPORTS, "period_changes"])
+def test_report_equals_its_check_with_more_sales(spark, medium_duck, name):
+    ours = registry.queries()[name](spark, MEDIUM)
+    check = medium_duck.execute(registry.oracle_sql()[name])
+    columns = [column[0] for column in check.description]
+    assert values(ours.collect(), ours.columns) == values(check.fetchall(), columns)
+
+
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(registry.oracle_sql()) - set(registry.TEXT_ORACLES)
 
