@@ -55,18 +55,27 @@ _NOT_BEYOND = frozenset("html body article section main div td th table li block
 # Words in a class, id or role that name furniture
 NAMES = frozenset(
     "nav navbar navigation menu footer sidebar aside ad ads advert advertisement adverts "
-    "banner sponsor sponsored promo promotion cookie cookies consent notice notices popup "
-    "modal overlay comment comments reply replies respond discussion disqus share sharing "
-    "social related recommended breadcrumb breadcrumbs newsletter subscribe subscription "
-    "login signup widget toolbar pagination pager search complementary contentinfo "
-    "masthead topbar".split()
+    "banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup "
+    "modal overlay comment comments commentlist reply replies respond responses discussion "
+    "disqus share sharing social related recommended trending teaser teasers breadcrumb "
+    "breadcrumbs crumbs newsletter subscribe subscription login signup widget toolbar "
+    "pagination pager search complementary contentinfo masthead topbar".split()
 )
 _OUTSIDE_NAMES = frozenset(["header"])
-_READER_NAMES = frozenset("comment comments reply replies discussion disqus".split())
+_READER_NAMES = frozenset("comment comments commentlist reply replies discussion disqus".split())
 _REGIONS = frozenset(["article", "main"])
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
 
+def _name_words(named: str) -> set[str]:
+    """The words of names, as they are divided and each name as one word: `side-bar`."""
+    if not named.strip():
+        return set()
+    divided = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()
+    whole = {re.sub(r"[^a-z]+", "", name) for name in named.lower().split()}
+    return whole.union(re.split(r"[^a-z]+", divided))
+
+
 class PageLines(HTMLParser):
     """Lines of a page: text, number of tags, element, and whether it is furniture."""
 
@@ -95,8 +104,7 @@ class PageLines(HTMLParser):
         style = (attrs.get("style") or "").replace(" ", "").lower()
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style:
             return True
-        named = " ".join(attrs.get(name) or "" for name in ("class", "id", "role"))
-        words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()))
+        words = _name_words(" ".join(attrs.get(name) or "" for name in ("class", "id", "role")))
         if tag in ("html", "body", "main", "article"):
             return bool(words & _READER_NAMES)
         if outside and words & _OUTSIDE_NAMES:
