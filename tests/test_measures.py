@@ -58,6 +58,43 @@ def test_sum_keeps_what_lies_below_a_millionth(spark):
     assert total(spark, [1e-20, 2e-20]) == 3e-20
 
 
+@pytest.mark.parametrize(
+    "rows, amount, expected",
+    [
+        # totals beyond 1e18 of decimals below 1e12, and beyond 1e20
+        (1_200_000, 9e11, 1.08e18),
+        (1_200_000, -9e11, -1.08e18),
+        (2_000_000, 123456789012.34567, 246913578024691340.0),
+        # beyond 1e4 of amounts with more than twenty decimals
+        (12_000_000, 0.0009123456789012345, 10948.148146814814),
+        # beyond 1e30 of amounts below 1e27
+        (2_000, 9e26, 1.8e30),
+        (200_000, 9e26, 1.8e32),
+    ],
+)
+def test_sum_of_many_amounts_of_a_form(spark, rows, amount, expected):
+    found = spark.range(rows).select(exact_sum(F.lit(amount))).first()[0]
+    assert found == pytest.approx(expected, rel=1e-15)
+
+
+def test_sum_of_many_amounts_with_money_and_fractions(spark):
+    frame = spark.range(1_200_000).select(
+        F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 3 == 1, 9.9e11).otherwise(1e-7).alias("x")
+    )
+    assert frame.agg(exact_sum(F.col("x"))).first()[0] == pytest.approx(3.96e17 + 200_000.04, rel=1e-15)
+
+
+def test_sum_in_windows_beyond_a_form(spark):
+    frame = spark.range(1_200_000).select((F.col("id") % 1).alias("k"), F.lit(9e11).alias("x"))
+    sums = frame.select(exact_sum(F.col("x"), Window.partitionBy("k")).alias("s"))
+    assert [row.s for row in sums.distinct().collect()] == [1.08e18]
+
+
+def test_weighted_sum_beyond_its_type(spark):
+    assert weighted(spark, [(1e9, 10**17)] * 3) == pytest.approx(3e26, rel=1e-15)
+    assert weighted(spark, [(1e9, 10**17), (1e-9, 1)]) == pytest.approx(1e26, rel=1e-15)
+
+
 def test_sum_of_mixed_sizes_is_the_same_in_any_order(spark):
     chance = random.Random(2)
     values = [chance.uniform(-1, 1) * 10 ** chance.randint(-16, 24) for _ in range(5000)]
