@@ -40,6 +40,10 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s "
     "samp small span strike strong sub sup time tt u var wbr br img".split()
 )
+# what may stand in a head; anything else closes it, as its end tag is optional
+_IN_HEAD = frozenset(
+    "base basefont bgsound link meta noframes noscript script style template title".split()
+)
 # what a start tag closes, and what it must not look beyond
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -87,6 +91,8 @@ class PageLines(HTMLParser):
         self.parents = [-1]
         self.open = [(0, "#page", False, False, False)]
         self.lines: list[tuple[str, int, int, bool]] = []
+        # place of the open head, 0 if none is known
+        self._head = 0
         self._parts: list[str] = []
         self._tags = 0
 
@@ -121,7 +127,19 @@ class PageLines(HTMLParser):
             if name in stop:
                 return
 
+    def _close_head(self, tag: str | None) -> None:
+        """Close an open head before what cannot stand in it; a body also ends its elements."""
+        last = len(self.open) - 1
+        if self._head > last or self.open[self._head][1] != "head":
+            self._head = 0
+        elif (tag not in _IN_HEAD and self._head == last) or tag in ("body", "frameset"):
+            self._end_line()
+            del self.open[self._head :]
+            self._head = 0
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self._head:
+            self._close_head(tag)
         if tag not in INLINE:
             self._end_line()
             self._close_implied(tag)
@@ -134,6 +152,8 @@ class PageLines(HTMLParser):
         furniture = furniture or self._is_furniture(tag, dict(attrs))
         inside = inside or tag in _REGIONS
         self.open.append((len(self.names), tag, silent or tag in SILENT, furniture, inside))
+        if tag == "head":
+            self._head = len(self.open) - 1
         self.names.append(tag)
         self.parents.append(self.open[-2][0])
 
@@ -154,6 +174,8 @@ class PageLines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self._head and not data.isspace():
+            self._close_head(None)
         if not self.open[-1][2]:
             self._parts.append(data)
 

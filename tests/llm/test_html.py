@@ -65,6 +65,24 @@ def test_unclosed_and_stray_tags():
     assert main_text(page) == f"{LONG}\nSecond part\ngoes on\nThird"
 
 
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<head><title>t</title>",
+        "<head><title>t</title><meta name=x><style>p {}</style><script>1</script><link rel=y>",
+        "<head><noscript><p>Switch scripts on.</p></noscript>",
+        "<head><title>t</title></head>",
+        "<head><noscript><img src=x>",
+        "<head>",
+    ],
+)
+def test_head_without_end_tag(head):
+    assert main_text(f"<html>{head}<body><p>{LONG}</p>") == LONG
+    if "img" not in head:
+        assert main_text(f"<html>{head}<p>{LONG}</p>") == LONG
+        assert main_text(f"<html>{head}\n{LONG}<p>{LONG}</p>") == f"{LONG}\n{LONG}"
+
+
 def test_deep_pages():
     depth = 20_000
     assert main_text("<div>" * depth + f"<p>{LONG}</p>" + "</div>" * depth) == LONG
