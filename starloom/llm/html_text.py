@@ -26,6 +26,8 @@ SIGMA = 1.0
 RADIUS = 2
 # share of the clusters' text that the content region must hold
 REGION_SHARE = 0.8
+# share of a page's ratios that a form or an element named as furniture holds if it is none
+MOST_SHARE = 0.5
 
 _FEED = 1 << 20
 
@@ -35,7 +37,7 @@ SILENT = frozenset(
     "head title script style noscript template svg math iframe object canvas audio video "
     "select textarea button datalist".split()
 )
-FURNITURE = frozenset("nav footer aside form menu dialog".split())
+FURNITURE = frozenset("nav footer aside menu dialog".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s "
     "samp small span strike strong sub sup time tt u var wbr br img".split()
@@ -56,6 +58,11 @@ _CLOSES = {
 }
 _NOT_BEYOND = frozenset("html body article section main div td th table li blockquote".split())
 
+# what an element is by itself: content; furniture unless it holds the content; readers'
+# texts, furniture unless it holds a main element or the page has nothing else; furniture
+# unless it holds a main element; furniture in any case
+CONTENT, BY_NAME, READERS, FIRM, HIDDEN = range(5)
+
 # Words in a class, id or role that name furniture
 NAMES = frozenset(
     "nav navbar navigation menu footer sidebar aside ad ads advert advertisement adverts "
@@ -65,32 +72,53 @@ NAMES = frozenset(
     "breadcrumbs crumbs newsletter subscribe subscription login signup widget toolbar "
     "pagination pager search complementary contentinfo masthead topbar".split()
 )
+# words that say what part of a page a named box is, but not of which kind
+PART_NAMES = frozenset(
+    "area bar block box button buttons card cards container form group icons inner item items "
+    "link links list outer panel post posts row section slot unit wrap wrapper".split()
+)
 _OUTSIDE_NAMES = frozenset(["header"])
 _READER_NAMES = frozenset("comment comments commentlist reply replies discussion disqus".split())
 _REGIONS = frozenset(["article", "main"])
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
 
+_HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_NAME_ENDS = re.compile(r"[^a-z]+")
+
+
 def _name_words(named: str) -> set[str]:
     """The words of names, as they are divided and each name as one word: `side-bar`."""
     if not named.strip():
         return set()
-    divided = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", named).lower()
-    whole = {re.sub(r"[^a-z]+", "", name) for name in named.lower().split()}
-    return whole.union(re.split(r"[^a-z]+", divided))
+    divided = _HUMPS.sub(" ", named).lower()
+    whole = {_NAME_ENDS.sub("", name) for name in named.lower().split()}
+    return whole.union(_NAME_ENDS.split(divided))
+
+
+def _is_named(names: str, words: frozenset[str]) -> bool:
+    """Whether a whole name is one of the words, or is made of them and words for parts."""
+    for name in names.split():
+        divided = [word for word in _NAME_ENDS.split(_HUMPS.sub(" ", name).lower()) if word]
+        if "".join(divided) in words:
+            return True
+        if words.intersection(divided) and (words | PART_NAMES).issuperset(divided):
+            return True
+    return False
 
 
 class PageLines(HTMLParser):
-    """Lines of a page: text, number of tags, element, and whether it is furniture."""
+    """Lines of a page: text, number of tags, and element."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # elements: name, parent; the open ones as (number, name, silent, furniture, whether
-        # it is or lies in an article or main element)
+        # elements: name, parent, kind of furniture; the open ones as (number, name, silent,
+        # whether it is or lies in an article or main element, whether in a form)
         self.names = ["#page"]
         self.parents = [-1]
+        self.kinds = [CONTENT]
         self.open = [(0, "#page", False, False, False)]
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int]] = []
         # place of the open head, 0 if none is known
         self._head = 0
         self._parts: list[str] = []
@@ -98,24 +126,32 @@ class PageLines(HTMLParser):
 
     def _end_line(self) -> None:
         text = " ".join("".join(self._parts).split())
-        number, _, _, furniture, _ = self.open[-1]
         if text or self._tags:
-            self.lines.append((text, self._tags, number, furniture))
+            self.lines.append((text, self._tags, self.open[-1][0]))
         self._parts, self._tags = [], 0
 
-    def _is_furniture(self, tag: str, attrs: dict[str, str | None]) -> bool:
-        outside = not self.open[-1][4]
-        if tag in FURNITURE or (tag == "header" and outside):
-            return True
+    def _kind(self, tag: str, attrs: dict[str, str | None]) -> int:
+        outside = not self.open[-1][3]
         style = (attrs.get("style") or "").replace(" ", "").lower()
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style:
-            return True
-        words = _name_words(" ".join(attrs.get(name) or "" for name in ("class", "id", "role")))
-        if tag in ("html", "body", "main", "article"):
-            return bool(words & _READER_NAMES)
-        if outside and words & _OUTSIDE_NAMES:
-            return True
-        return bool(words & NAMES)
+            return HIDDEN
+        if tag in FURNITURE or (tag == "header" and outside):
+            return FIRM
+        if tag in ("html", "body", "main"):
+            return CONTENT
+        names = " ".join(attrs.get(name) or "" for name in ("class", "role"))
+        named = attrs.get("id") or ""
+        if tag == "article":
+            return READERS if _is_named(f"{names} {named}", _READER_NAMES) else CONTENT
+        # ids in an article, and of headings and paragraphs, are often made from headings
+        if not outside or tag in _PARAGRAPHS:
+            if _is_named(names, _READER_NAMES):
+                return READERS
+            return BY_NAME if _is_named(names, NAMES) else CONTENT
+        words = _name_words(f"{names} {named}")
+        if words & _READER_NAMES:
+            return READERS
+        return BY_NAME if words & NAMES or words & _OUTSIDE_NAMES or tag == "form" else CONTENT
 
     def _close_implied(self, tag: str) -> None:
         closes, stop = _CLOSES.get(tag, (frozenset(["p"]), _NOT_BEYOND))
@@ -148,10 +184,12 @@ class PageLines(HTMLParser):
             self._parts.append(" ")
         if tag in VOID:
             return
-        _, _, silent, furniture, inside = self.open[-1]
-        furniture = furniture or self._is_furniture(tag, dict(attrs))
-        inside = inside or tag in _REGIONS
-        self.open.append((len(self.names), tag, silent or tag in SILENT, furniture, inside))
+        _, _, silent, inside, in_form = self.open[-1]
+        # the label of a control is part of it
+        silent = silent or tag in SILENT or (in_form and tag == "label")
+        self.kinds.append(self._kind(tag, dict(attrs)))
+        inside, in_form = inside or tag in _REGIONS, in_form or tag == "form"
+        self.open.append((len(self.names), tag, silent, inside, in_form))
         if tag == "head":
             self._head = len(self.open) - 1
         self.names.append(tag)
@@ -179,7 +217,7 @@ class PageLines(HTMLParser):
         if not self.open[-1][2]:
             self._parts.append(data)
 
-    def finish(self) -> list[tuple[str, int, int, bool]]:
+    def finish(self) -> list[tuple[str, int, int]]:
         self.close()
         self._end_line()
         return self.lines
@@ -191,8 +229,74 @@ def smooth(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel / kernel.sum(), mode="full")[RADIUS : RADIUS + len(ratios)]
 
 
+def _below(page: PageLines, sizes: list[float], places: list[int]) -> list[float]:
+    """Totals of the sizes in and below every element; children have higher numbers."""
+    totals = [0.0] * len(page.names)
+    for size, element in zip(sizes, places, strict=True):
+        totals[element] += size
+    for element in range(len(totals) - 1, 0, -1):
+        totals[page.parents[element]] += totals[element]
+    return totals
+
+
+def _inherited(page: PageLines, own: list[bool]) -> list[bool]:
+    found = list(own)
+    for element in range(1, len(found)):
+        found[element] = found[element] or found[page.parents[element]]
+    return found
+
+
+def furniture(page: PageLines) -> list[bool]:
+    """Whether an element is or lies in furniture.
+
+    A form, or an element with a name of furniture, is none if it holds the page's largest
+    main or article element, or most of the ratios of the page: then the name stands for
+    the layout (`content-with-sidebar`). A main element makes no part of other furniture.
+    """
+    kinds = page.kinds
+    if not any(kinds):
+        return kinds.copy()
+    places = [element for _, _, element in page.lines]
+    if "main" in page.names:
+        mains = [float(name == "main") for name in page.names]
+        holds_main = _below(page, mains, list(range(len(mains))))
+        kinds = [
+            BY_NAME if kind in (READERS, FIRM) and held else kind
+            for kind, held in zip(kinds, holds_main, strict=True)
+        ]
+    for least in (READERS, FIRM):
+        kinds = [BY_NAME if CONTENT < kind < least else kind for kind in kinds]
+        firm = _inherited(page, [kind >= least for kind in kinds])
+        ratios = [0.0 if firm[e] else len(text) / max(1, n) for text, n, e in page.lines]
+        below = _below(page, ratios, places)
+        if below[0]:
+            break
+    target = 0
+    for region in ("main", "article"):
+        for element, name in enumerate(page.names):
+            if name == region and below[element] > below[target] * (target > 0):
+                target = element
+        if target:
+            break
+    holds = set()
+    element = target
+    while element > 0:
+        holds.add(element)
+        element = page.parents[element]
+    least = (REGION_SHARE if target else MOST_SHARE) * below[0]
+    return _inherited(
+        page,
+        [
+            kind > BY_NAME or (kind == BY_NAME and e not in holds and not below[e] > least)
+            for e, kind in enumerate(kinds)
+        ],
+    )
+
+
 def content_lines(page: PageLines) -> list[str]:
-    lines = page.finish()
+    page.finish()
+    unwanted = furniture(page)
+    lines = [(text, n, element, unwanted[element]) for text, n, element in page.lines]
     ratios = np.array([0.0 if f else len(t) / max(1, n) for t, n, _, f in lines])
     if not ratios.any():
         return []

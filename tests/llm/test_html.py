@@ -83,6 +83,52 @@ def test_head_without_end_tag(head):
         assert main_text(f"<html>{head}\n{LONG}<p>{LONG}</p>") == f"{LONG}\n{LONG}"
 
 
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("<div class='content-with-sidebar'>", "</div>"),
+        ("<div class='page has-sidebar'><div id=search-page>", "</div></div>"),
+        ("<form action=x>", "</form>"),
+        ("<form><div class=widget>", "</div></form>"),
+    ],
+)
+@pytest.mark.parametrize("region", ["article", "main", "div"])
+def test_names_of_the_layout_are_no_furniture(start, end, region):
+    body = f"<{region}><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></{region}>"
+    beside = f"<div class=sidebar>{LONG}</div><nav>{LONG}</nav>"
+    page = f"<body>{start}{beside}<label>Name</label><input>{body}{end}<footer>{LONG}</footer>"
+    label = "" if "form" in start else "Name"
+    text = main_text(page)
+    assert text.removeprefix(label).strip() == f"Title\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("region", ["article", "main"])
+def test_names_made_from_headings_are_no_furniture(region):
+    body = (
+        f"<h1>Title</h1><p>{LONG}</p><h2 id=related-work>Related work</h2><p>{LONG}</p>"
+        f"<section id=discussion><h2 id='discussion'>Discussion</h2><p>{LONG}</p></section>"
+        f"<p class=notice-period>{LONG}</p>"
+    )
+    box = f"<div class='share-buttons'>{LONG}</div><div class=newsletter>{LONG}</div><div role=search>x</div>"
+    lines = ["Title", LONG, "Related work", LONG, "Discussion", LONG, LONG]
+    assert main_text(f"<body><{region}>{body}{box}</{region}>") == "\n".join(lines)
+
+
+def test_main_within_named_boxes():
+    page = f"<body class=comments-open><div class='has-comments'><main><p>{LONG}</p></main></div>"
+    assert main_text(page + f"<div id=comments><article>{LONG}</article></div>") == LONG
+
+
+def test_a_page_of_readers_texts_only():
+    page = f"<body><nav>{LONG}</nav><div class='comments-open'><article><p>{LONG}</p></article></div>"
+    assert main_text(page) == LONG
+
+
+def test_a_long_sidebar_stays_furniture():
+    side = f"<div class=sidebar><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(f"<body>{side}<article><p>{LONG}</p></article>") == LONG
+
+
 def test_deep_pages():
     depth = 20_000
     assert main_text("<div>" * depth + f"<p>{LONG}</p>" + "</div>" * depth) == LONG
