@@ -3,10 +3,10 @@
 The standard library's parser streams events; every block-level tag ends a line. A line's
 ratio is its characters over the tags that stand in it. The ratios, zero for lines that lie
 in page furniture (menus, footers, forms, adverts, ...), are smoothed with a Gaussian and
-cut at their standard deviation; what stays above are the clusters of content. The
-smallest element that holds nearly all text of the clusters is the content region, or the
-article or main element around it, and the result is every line of that region that is not
-furniture: so short paragraphs between long ones are kept, and lines elsewhere are not.
+cut at their standard deviation; what stays above are the clusters of content. The article
+or main element around nearly all text of the clusters is the content region, or, without
+one, the smallest element around all of it and all paragraphs. The result is every line of
+that region that is not furniture: so short paragraphs beside long ones are kept.
 """
 
 from __future__ import annotations
@@ -82,6 +82,8 @@ _READER_NAMES = frozenset("comment comments commentlist reply replies discussion
 _REGIONS = frozenset(["article", "main"])
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
+# elements that are one paragraph among others, or stand in one
+_SINGLE = _PARAGRAPHS | INLINE | frozenset("li dt dd td th tr thead tbody tfoot".split())
 
 _HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _NAME_ENDS = re.compile(r"[^a-z]+")
@@ -293,6 +295,27 @@ def furniture(page: PageLines) -> list[bool]:
     )
 
 
+def _region(page: PageLines, clusters: list[float], below: list[float]) -> int:
+    """The element that holds the content.
+
+    The outermost article or main element around nearly all text of the clusters; without
+    one, the smallest element around all of it and all paragraphs and headings, as a long
+    paragraph leaves the others below the cut. A paragraph alone is no region.
+    """
+    held = max(e for e, size in enumerate(clusters) if size >= REGION_SHARE * clusters[0])
+    region, around = -1, held
+    while around >= 0:
+        if page.names[around] in _REGIONS:
+            region = around
+        around = page.parents[around]
+    if region >= 0:
+        return region
+    region = max(e for e, size in enumerate(below) if size >= below[0])
+    while region > 0 and page.names[region] in _SINGLE:
+        region = page.parents[region]
+    return region
+
+
 def content_lines(page: PageLines) -> list[str]:
     page.finish()
     unwanted = furniture(page)
@@ -304,38 +327,22 @@ def content_lines(page: PageLines) -> list[str]:
     chosen = (smoothed >= smoothed.std()) & (ratios > 0)
     if not chosen.any():
         chosen = ratios > 0
-    # characters of the clusters below every element; children have higher numbers
-    below = np.zeros(len(page.names))
-    for (text, _, element, _), taken in zip(lines, chosen, strict=True):
-        if taken:
-            below[element] += len(text)
-    for element in range(len(below) - 1, 0, -1):
-        below[page.parents[element]] += below[element]
-    region = int(np.flatnonzero(below >= REGION_SHARE * below[0])[-1])
-    around = region
-    while around >= 0:
-        if page.names[around] in _REGIONS:
-            region = around
-        around = page.parents[around]
+    # characters of the clusters below every element, and of the clusters and paragraphs
+    places = [element for _, _, element, _ in lines]
+    paragraph = _inherited(page, [name in _PARAGRAPHS for name in page.names])
+    sizes = [
+        (len(text) if taken else 0.0, len(text) if taken or (paragraph[e] and not f) else 0.0)
+        for (text, _, e, f), taken in zip(lines, chosen, strict=True)
+    ]
+    region = _region(page, *(_below(page, size, places) for size in zip(*sizes, strict=True)))
     inside = np.zeros(len(page.names), dtype=bool)
     inside[region] = True
     for element in range(region + 1, len(inside)):
         inside[element] = inside[page.parents[element]]
-    whole = page.names[region] in _REGIONS
-
-    def belongs(element: int) -> bool:
-        """Outside an article, a box of its own needs text of the clusters in it."""
-        if whole or element == region:
-            return True
-        box = element
-        while page.parents[box] != region:
-            box = page.parents[box]
-        return below[box] > 0 or page.names[box] in _PARAGRAPHS
-
     return [
         text
         for text, _, element, furniture in lines
-        if text and not furniture and inside[element] and belongs(element)
+        if text and not furniture and inside[element]
     ]
 
 

@@ -119,6 +119,25 @@ def test_main_within_named_boxes():
     assert main_text(page + f"<div id=comments><article>{LONG}</article></div>") == LONG
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<div><h1>Title</h1><p>{intro}</p><p>{long}</p></div>",
+        "<div><h1>Title</h1></div><div><p>{intro}</p></div><div><p>{long}</p></div>",
+        "<section><h1>Title</h1><p>{long}</p></section><section><p>{intro}</p></section>",
+        "<h1>Title</h1><p>{intro}</p><div><b>{long}</b></div>",
+        "<div><h1>Title</h1><ul><li>{long}</li><li>{intro}</li></ul></div>",
+        "<div><section>{long}</section><section><p>Short.</p></section><section>{long}</section></div>",
+    ],
+)
+@pytest.mark.parametrize("times", [1, 3, 25])
+def test_a_long_paragraph_does_not_drop_the_others(body, times):
+    body = body.format(intro=LONG, long=" ".join([LONG] * times))
+    blocks = [block.strip() for block in re.sub(r"<[^>]+>", "\n", body).split("\n")]
+    page = f"<html><body><nav>{LONG}</nav>{body}<footer>{LONG}</footer></body></html>"
+    assert main_text(page) == "\n".join(block for block in blocks if block)
+
+
 def test_a_page_of_readers_texts_only():
     page = f"<body><nav>{LONG}</nav><div class='comments-open'><article><p>{LONG}</p></article></div>"
     assert main_text(page) == LONG
