@@ -81,15 +81,24 @@ class WordCoder:
         self.kind = np.dtype("<u2" if small else "<u4")
         self.codes: dict[bytes, bytes] = {}
         self._small_letters = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+        # U+0300 to U+037F start with these bytes; other marks may stand before them
+        self._capital_and_mark = re.compile(rb"[A-Z][\x80-\xff]*[\xcc\xcd]").search
+        self._word = re.compile(rb"\S+")
         self._before_mark = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
 
     @staticmethod
     def loaded(vocabulary: str) -> WordCoder:
         return per_worker(f"words {vocabulary}", lambda: WordCoder(vocabulary))
 
+    def _lower(self, word: re.Match) -> bytes:
+        return word[0] if self._capital_and_mark(word[0]) else word[0].lower()
+
     def _words(self, text: bytes) -> list[bytes]:
-        # the vocabulary is in lower case; only special strings must keep theirs
-        text = text if b"<|" in text else text.lower()
+        # the vocabulary is in lower case; only special strings must keep theirs, and words
+        # whose capitals a mark may follow: the vocabulary composes both before it lowers
+        if b"<|" not in text:
+            marks = b"\xcc" in text or b"\xcd" in text
+            text = self._word.sub(self._lower, text) if marks else text.lower()
         return self._before_mark.sub(rb" \1", text).split()
 
     def _packed(self, ids: list[int]) -> bytes:

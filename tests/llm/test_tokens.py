@@ -79,6 +79,15 @@ def test_every_letter_to_latin_small_y_with_diaeresis(words):
     assert [list(x) for x in WordCoder(WORD_VOCABULARY).encode(texts)] == ids_of(words, texts)
 
 
+@pytest.mark.parametrize("form", ["{}{}", "{}{}amad, x{}{}. B", "{}\u0316{}A", "{}\u0591{}a. {}{},"])
+def test_every_capital_with_every_mark(words, form):
+    pairs = [(chr(a), chr(b)) for a in range(0x41, 0x5B) for b in range(0x300, 0x370)]
+    texts = [form.format(*pair, *pair) for pair in pairs]
+    coder = WordCoder(WORD_VOCABULARY)
+    assert [list(x) for x in coder.encode(texts)] == ids_of(words, texts)
+    assert coder.count(texts) == [len(x) for x in ids_of(words, texts)]
+
+
 def test_texts_longer_than_a_piece(words, pieces):
     text = "Hello world, it's  a long. test " * 50_000
     assert list(WordCoder(WORD_VOCABULARY).encode([text])[0]) == ids_of(words, [text])[0]
