@@ -269,7 +269,10 @@ def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
             # a turn is a run of one role within a row
             turns: list[list] = []
-            for (row, line, _, _), role in zip(lines, roles, strict=True):
+            whole_lines = [line for text in texts.as_py() for line in text.split("\n")]
+            for (row, line, marker, _), whole, role in zip(lines, whole_lines, roles, strict=True):
+                # a marker that was outvoted is text
+                line = line if role == marker else whole
                 if turns and turns[-1][0] == row and turns[-1][1] == role:
                     turns[-1][3].append(line)
                 else:
@@ -302,8 +305,8 @@ def format_chat(
 
     A row gives one turn, or several if speaker markers in its lines (`User:`, `### AI:`,
     `[bot]`, ...) change the role; `piece` numbers them. `marker_col` names the speaker as
-    the source has it, or is None. `text` is without markers and outer white space;
-    `rendered` is the canonical form.
+    the source has it, or is None. `text` is without outer white space and without
+    the markers that name its role; other markers are text. `rendered` is the canonical form.
 
     A null or empty text gives one turn with an empty text. A null marker is a missing one,
     an unknown name an unknown one. Null conversations are one conversation; null places

@@ -111,3 +111,14 @@ def test_nulls_ties_repeats_other_columns_and_empty(spark):
     assert len(found) == 5
     assert sorted(len(r.text) for r in found) == [0, 0, 1, 1, 599_999]
     assert format_chat(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_an_outvoted_marker_is_text(spark):
+    text = "Context: is it so?\nand this?\nand that?\nand more?"
+    rows = [(1, 1, "user", text), (2, 1, None, "User: hi\nAI: yes")]
+    found = format_chat(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string"))
+    assert sorted((r.conv_id, r.piece, r.role, r.text, r.rendered) for r in found.collect()) == [
+        (1, 0, "user", text, f"<|user|>\n{text}\n<|end|>"),
+        (2, 0, "user", "hi", "<|user|>\nhi\n<|end|>"),
+        (2, 1, "assistant", "yes", "<|assistant|>\nyes\n<|end|>"),
+    ]
