@@ -10,6 +10,7 @@ from starloom.llm import exact_dedup, quality, secret_scan
 from starloom.llm.chat import op1_chat_format
 from starloom.llm.exact_dedup import op2_exact_dedup
 from starloom.llm.html_text import op9_html_text
+from starloom.llm.lm_scores import op11_lm_scores
 from starloom.llm.mixing import op10_mixing
 from starloom.llm.packing import op5_packing
 from starloom.llm.quality import op8_quality_rules
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
+    "op11_lm_scores": op11_lm_scores,
 }
 
 # The others need a tokenizer, XXH64, a parser or a dynamic program, which SQL has not; they

@@ -1,0 +1,188 @@
+"""Scores against a model held in dictionaries, and the Elias-Fano levels against plain arrays."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from starloom.llm.lm_scores import DISCOUNT, language_model_scores, op11_lm_scores
+from starloom.llm.ngram_trie import (
+    EliasFano,
+    NgramTrie,
+    probabilities,
+    quantised,
+    trie_bytes,
+)
+from starloom.llm.packed import pack, unpack
+
+FOLDER = "/root/testdata/sf0.001"
+SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+number = st.integers(0, 2**64 - 1)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(number, max_size=300), st.lists(number, max_size=50), st.integers(0, 63))
+def test_elias_fano(numbers, wanted, shift):
+    numbers = np.sort(np.array(numbers, dtype=np.uint64) >> np.uint64(shift))
+    level = EliasFano.of(numbers)
+    assert (level.at(np.arange(len(numbers))) == numbers).all()
+    wanted = np.concatenate([np.array(wanted, dtype=np.uint64) >> np.uint64(shift), numbers])
+    assert (level.successor(wanted) == np.searchsorted(numbers, wanted)).all()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(number, max_size=50), max_size=5))
+def test_packed_arrays(arrays):
+    arrays = [np.array(a, dtype=np.uint64) for a in arrays]
+    ascending = [place % 2 == 0 for place in range(len(arrays))]
+    arrays = [np.sort(a) if up else a for a, up in zip(arrays, ascending, strict=True)]
+    back = unpack(pack(arrays, ascending))
+    assert [a.tolist() for a in arrays] == [b.tolist() for b in back]
+
+
+@settings(max_examples=100, deadline=None)
+@given(
+    st.sets(number, min_size=1, max_size=40),
+    st.sets(st.tuples(st.integers(0, 39), st.integers(0, 39)), max_size=200),
+)
+def test_trie(words, pairs):
+    words = np.array(sorted(words), dtype=np.uint64)
+    pairs = sorted({(a % len(words), b % len(words)) for a, b in pairs})
+    context = np.array([a for a, _ in pairs], dtype=np.int64)
+    follower = np.array([b for _, b in pairs], dtype=np.int64)
+    codes = (np.arange(len(pairs)) % 255 + 1).astype(np.uint8)
+    trie = NgramTrie(trie_bytes(words, context, follower, codes))
+    every = np.arange(len(words))
+    assert (trie.place(words) == every).all()
+    assert (trie.types(every) == np.bincount(context, minlength=len(words))).all()
+    asked = [(a, b) for a in range(len(words)) for b in range(len(words))]
+    known = dict(zip(pairs, codes.tolist(), strict=True))
+    found = trie.code(np.array([a for a, _ in asked]), np.array([b for _, b in asked]))
+    assert found.tolist() == [known.get(pair, 0) for pair in asked]
+
+
+def test_quantised_probabilities():
+    wanted = 10.0 ** -np.linspace(0, 11, 1000)
+    error = np.abs(np.log10(probabilities()[quantised(wanted)] / wanted))
+    assert error.max() < 0.05 and error[wanted > 0.5].max() < 0.01
+
+
+def tokens(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(SMALL)) + [None]
+
+
+class Model:
+    def __init__(self, texts):
+        self.words, self.pairs, self.types = Counter(), Counter(), Counter()
+        for text in texts:
+            found = tokens(text)
+            self.words.update(found)
+            self.pairs.update(zip([None, *found], found, strict=False))
+        self.types.update(first for first, _ in self.pairs)
+        self.n, self.v = sum(self.words.values()), len(self.words)
+
+    def unigram(self, word):
+        return (self.words[word] + 1) / (self.n + self.v + 1)
+
+    def base(self, text):
+        return sum(math.log10(self.unigram(word)) for word in tokens(text))
+
+    def score(self, text):
+        total, before = 0.0, None
+        for word in tokens(text):
+            share, rest = 0.0, 1.0
+            if self.words[before]:
+                rest = DISCOUNT * self.types[before] / self.words[before]
+                count = self.pairs[before, word]
+                if count:
+                    exact = np.array([(count - DISCOUNT) / self.words[before]])
+                    share = probabilities()[quantised(exact)][0]
+            total += math.log10(share + rest * self.unigram(word))
+            before = word
+        return total
+
+
+def check(rows, learned, found):
+    model = Model([text for row, text in rows if learned(row)])
+    assert len(found) == len(rows)
+    by_id = {}
+    for row in found:
+        by_id.setdefault(row["doc_id"], []).append(row)
+    for row, text in rows:
+        own = min(by_id[row], key=lambda r: abs(r["base_score"] - model.base(text)))
+        assert own["held_out"] == (not learned(row))
+        assert own["n_tokens"] == len(tokens(text))
+        assert own["n_known"] == sum(model.words[word] > 0 for word in tokens(text))
+        assert own["train_tokens"] == model.n
+        assert own["base_score"] == pytest.approx(model.base(text), rel=1e-9, abs=1e-9)
+        assert own["score"] == pytest.approx(model.score(text), rel=1e-9, abs=1e-9)
+    return model
+
+
+def test_query_against_brute_force(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(row["doc_id"], row["text"]) for row in docs.select("doc_id", "text").collect()]
+
+    def learned(doc_id):
+        return zlib.crc32(str(doc_id).encode()) % 7 != 2
+
+    found = op11_lm_scores(spark, FOLDER).collect()
+    model = check(rows, learned, found)
+    out = [row for row in found if row["held_out"]]
+    assert sum(row["score"] for row in out) > sum(row["base_score"] for row in out)
+    # the probabilities of all words after one context add up to one
+    for before in list(model.words)[:20]:
+        rest = DISCOUNT * model.types[before] / model.words[before]
+        seen = sum(
+            (count - DISCOUNT) / model.words[before]
+            for (first, _), count in model.pairs.items()
+            if first == before
+        )
+        unigrams = sum(map(model.unigram, model.words)) + 1 / (model.n + model.v + 1)
+        assert seen + rest * unigrams == pytest.approx(1)
+
+
+@pytest.mark.parametrize("shard_tokens", [50, 400, 10**6])
+def test_shards_batches_and_hot_contexts(spark, shard_tokens):
+    """A word with a third of all tokens: its followers lie on several shards."""
+    rows = [
+        (k, " ".join(f"The w{(k * 7 + j) % 90} x{j % 5}" for j in range(20))) for k in range(60)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = language_model_scores(
+        docs, F.col("doc_id") % 3 != 0, shard_tokens=shard_tokens, batch_bytes=2000
+    ).collect()
+    check(rows, lambda doc_id: doc_id % 3 != 0, found)
+
+
+ODD = [
+    (1, None),
+    (2, ""),
+    (2, "repeated id"),
+    (None, "A null id, a null id"),
+    (3, "same row"),
+    (3, "same row"),
+    (4, "   \t\n"),
+    (5, "É é x İ \U0001f600 \u0000"),
+    (6, "long " * 30_000 + "y" * 200_000),
+]
+
+
+def test_odd_rows(spark):
+    schema = "doc_id long, text string, batch string, hashes map<string,int>, ids int"
+    docs = spark.createDataFrame([(*row, "x", {"a": 1}, 1) for row in ODD], schema)
+    found = language_model_scores(docs, F.lit(True), batch_bytes=1000).collect()
+    check(ODD, lambda doc_id: True, found)
+
+
+def test_nothing_learned_and_empty(spark):
+    docs = spark.createDataFrame([("a", "one two")], "doc_id string, text string")
+    (row,) = language_model_scores(docs, F.lit(None).cast("boolean")).collect()
+    assert row["held_out"] and row["n_known"] == 0 and row["score"] == row["base_score"] == 0
+    assert language_model_scores(docs.limit(0), F.lit(True)).collect() == []
