@@ -3,7 +3,7 @@
 No executor has to hold the model. Words are told apart by 64-bit hashes, shards are ranges
 of them, and the number of shards follows the number of words.
 
-1. Texts are read once, in batches of about 16 MB. A batch is written as its distinct
+1. Texts are read once, in batches of about 8 MB. A batch is written as its distinct
    hashes in order and its tokens as places among them.
 2. Each batch asks each shard for the words and bigrams it holds, every one once, with how
    often the batch learned it. A word with more than a shard's share of all words is a hot
@@ -38,8 +38,8 @@ from starloom.workspace import Workspace
 
 DISCOUNT = 0.75
 # bytes of text in a batch, and learned tokens of a shard
-BATCH_BYTES = 16 << 20
-SHARD_TOKENS = 2_000_000
+BATCH_BYTES = 8 << 20
+SHARD_TOKENS = 1_000_000
 _LOWER = bytes(byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
 # no word holds a blank
 _BOUNDARY = b" "

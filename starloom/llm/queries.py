@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact_dedup, quality, secret_scan
+from starloom.llm import exact_dedup, lexical_search, quality, secret_scan
 from starloom.llm.chat import op1_chat_format
 from starloom.llm.exact_dedup import op2_exact_dedup
 from starloom.llm.html_text import op9_html_text
+from starloom.llm.lexical_search import op12_ranked_search
 from starloom.llm.lm_scores import op11_lm_scores
 from starloom.llm.mixing import op10_mixing
 from starloom.llm.packing import op5_packing
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_mixing": op10_mixing,
     "op11_lm_scores": op11_lm_scores,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 # The others need a tokenizer, XXH64, a parser or a dynamic program, which SQL has not; they
@@ -39,4 +41,5 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op7_secrets": secret_scan.ORACLE,
     "op8_quality_rules": quality.ORACLE,
+    "op12_ranked_search": lexical_search.ORACLE,
 }
