@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import exact_dedup, lexical_search, quality, secret_scan
+from starloom.llm.alignment import op13_alignment
 from starloom.llm.chat import op1_chat_format
 from starloom.llm.exact_dedup import op2_exact_dedup
 from starloom.llm.html_text import op9_html_text
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_lm_scores": op11_lm_scores,
     "op12_ranked_search": op12_ranked_search,
+    "op13_alignment": op13_alignment,
 }
 
 # The others need a tokenizer, XXH64, a parser or a dynamic program, which SQL has not; they

@@ -177,6 +177,20 @@ def pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
     yield text[start:]
 
 
+def load_ranks(ranks: str):
+    """A byte-level vocabulary from its rank file; no string is special to it."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(vocabulary_path(ranks), "rb") as file:
+        merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding(
+        "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
+    )
+
+
 class ByteCoder:
     """Token ids of the byte-level vocabulary.
 
@@ -188,18 +202,9 @@ class ByteCoder:
     _SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
     def __init__(self, vocabulary: str, ranks: str):
-        import base64
-
-        import public_tokenizers
-        import tiktoken
-
-        with open(vocabulary_path(ranks), "rb") as file:
-            merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.tokenizer = load_tokenizer(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.fast = tiktoken.Encoding(
-            "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
-        )
+        self.fast = load_ranks(ranks)
 
     @staticmethod
     def loaded(vocabulary: str, ranks: str) -> ByteCoder:
