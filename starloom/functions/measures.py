@@ -1,136 +1,10 @@
-"""Aggregates that do not depend on the order in which rows arrive.
-
-A sum of doubles changes in its last digits with the order of its input, and with it
-the ranks made from it, so a retried task could give another report. Amounts are
-therefore summed as the decimal numbers they stand for (the shortest decimal that gives
-the double), each in the first of these forms that holds all its digits:
-
-- up to six decimals and below 9e9, as amounts of money are: whole millionths in two
-  longs, which cost no more than a sum of doubles;
-- up to twenty decimals and below 1e12: decimals;
-- smaller ones with more decimals: decimals to 1e-34, finer digits are rounded off;
-- from 1e12 to 1e27: decimals.
-
-The sums of the forms are added in this order, whatever the order of the rows. Only NaN,
-infinities, amounts from 1e27 and totals of a form beyond its type, which need more than
-1e10 rows in a group, leave a group to the sum of doubles.
-"""
+"""Aggregates over a whole table."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MILLIONTHS = 1_000_000
-# below it, an amount in millionths is a whole number that a double holds exactly
-_MOST_MILLIONTHS = 9e9
-_LARGE = 1e12
-_SMALL = 1e-3
-_TOO_LARGE = 1e27
-_LOW_BITS = 26
-
-
-def _millionth() -> Column:
-    return F.lit("0.000001").cast("decimal(7,6)")
-
-
-def _in_millionths(amount: Column) -> tuple[Column, Column]:
-    """The amount in whole millionths, and whether these hold all its digits."""
-    millionths = F.when(F.abs(amount) < _MOST_MILLIONTHS, F.floor(amount * _MILLIONTHS + 0.5))
-    plain = F.coalesce(millionths / F.lit(float(_MILLIONTHS)) == amount, F.lit(False))
-    return millionths, plain
-
-
-def _limbs(
-    amount: Column, coarse: str, rest: str, total: Callable[[Column], Column]
-) -> tuple[Column, Column]:
-    """Totals of the amounts rounded to a coarse type, and of what the rounding left."""
-    rounded = amount.cast(coarse)
-    return total(F.try_sum(rounded)), total(F.try_sum((amount - rounded).cast(rest)))
-
-
-def _or_zero(number: Column, kind: str) -> Column:
-    return F.coalesce(number.try_cast(kind), F.lit(0).cast(kind))
-
-
-def _added(coarse: Column, rest: Column, exact: str, wide: str) -> Column:
-    """The sum of both totals as a double, in the first type that holds it, or of doubles."""
-    sums = [(coarse.try_cast(kind) + rest.try_cast(kind)).cast("double") for kind in (exact, wide)]
-    return F.coalesce(*sums, coarse.cast("double") + rest.cast("double"))
-
-
-def exact_sum(amount: Column, window: WindowSpec | None = None) -> Column:
-    def total(aggregate: Column) -> Column:
-        return aggregate.over(window) if window is not None else aggregate
-
-    amount = amount.cast("double")
-    size = F.abs(amount)
-    millionths, plain = _in_millionths(amount)
-    high = F.when(plain, F.shiftright(millionths, _LOW_BITS))
-    low = F.when(plain, millionths.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
-    high_total = total(F.try_sum(high)).cast("decimal(20,0)")
-    low_total = total(F.try_sum(low)).cast("decimal(20,0)")
-    in_millionths = high_total * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low_total
-    money = (in_millionths * _millionth()).try_cast("decimal(36,6)")
-
-    # the decimals of a form are summed as coarse and remaining digits, so that no total of
-    # less than 1e10 rows leaves its type; the remaining digits are null without rows only
-    twenty = F.when(~plain & (size < _LARGE), amount.try_cast("decimal(32,20)"))
-    all_digits = (size >= _SMALL) | (twenty.cast("double") == amount)
-    fine, fine_rest = _limbs(F.when(all_digits, twenty), "decimal(13,0)", "decimal(21,20)", total)
-    finest, finest_rest = _limbs(
-        F.when(~plain & ~all_digits & (size < _SMALL), amount.try_cast("decimal(36,34)")),
-        "decimal(20,20)",
-        "decimal(34,34)",
-        total,
-    )
-    large, large_rest = _limbs(
-        F.when(~plain & (size >= _LARGE) & (size < _TOO_LARGE), amount.try_cast("decimal(32,4)")),
-        "decimal(28,0)",
-        "decimal(5,4)",
-        total,
-    )
-    whole = _or_zero(money, "decimal(36,6)") + _or_zero(fine, "decimal(36,6)")
-    parts = [
-        _added(whole, _or_zero(fine_rest, "decimal(31,20)"), "decimal(37,20)", "decimal(37,6)"),
-        _added(finest, finest_rest, "decimal(37,34)", "decimal(37,24)"),
-        _added(large, large_rest, "decimal(37,4)", "decimal(37,0)"),
-    ]
-    added = sum((F.coalesce(part, F.lit(0.0)) for part in parts), F.lit(0.0))
-    # max() puts NaN above every number, so one comparison excludes all special values
-    fits = total(F.max(size)) < _TOO_LARGE
-    limbs = [(high_total, low_total), (fine, fine_rest), (finest, finest_rest), (large, large_rest)]
-    for coarse, rest in limbs:
-        fits = fits & (coarse.isNull() == rest.isNull())
-    return F.coalesce(F.when(fits, added), total(F.sum(amount)))
-
-
-def exact_weighted_sum(amount: Column, weight: Column) -> Column:
-    """Sum of the amounts, each as often as its whole weight says.
-
-    A product of doubles has digits of its own, so amounts in whole millionths are multiplied
-    as whole numbers; only others are multiplied as doubles.
-    """
-    amount = amount.cast("double")
-    millionths, plain = _in_millionths(amount)
-    whole = F.when(plain, millionths.cast("decimal(20,0)") * weight.cast("decimal(18,0)"))
-    total = F.try_sum(whole)
-    money = F.coalesce(
-        (total.try_cast("decimal(31,0)") * _millionth()).cast("double"),
-        total.cast("double") / F.lit(float(_MILLIONTHS)),
-    )
-    other = exact_sum(F.when(~plain, amount * weight))
-    # a total beyond the type leaves all to the sum of doubles
-    held = total.isNotNull() | (F.count(whole) == 0)
-    exact = F.coalesce(money + other, money, other)
-    return F.coalesce(F.when(held, exact), F.sum(amount * weight))
-
-
-def exact_mean(amount: Column) -> Column:
-    return F.try_divide(exact_sum(amount), F.count(amount).cast("double"))
-
 
 def correlation(left: Column, right: Column) -> Column:
     """Pearson correlation over complete pairs; null where a side does not vary."""

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.operators.lookup import BROADCAST_BYTES, look_up, save_measured
 from starloom.workspace import Workspace
 
 # monotonically_increasing_id: partition number above 33 bits of place in the partition
@@ -46,3 +47,29 @@ def number_rows(
         .join(F.broadcast(offsets), "part", "left")
         .select(*rows.columns, (F.col("before") + place + 1).cast("int").alias(output))
     )
+
+
+def mirror_numbers(
+    rows: DataFrame,
+    by: str,
+    numbers: str,
+    output: str,
+    workspace: Workspace,
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Numbers in the opposite order of `by`, from those in one order, without a second sort.
+
+    In both orders rows without a value come last and ties go the same way. A row keeps its
+    place within its value; the rows before its value in one order, and as many as share it,
+    tell how many come before it in the other. One small row per value is written, measured
+    and joined.
+    """
+    valued = rows.where(F.col(by).isNotNull()).groupBy(by)
+    ends = valued.agg((F.min(numbers) - 1).alias("before"), F.count("*").alias("same"))
+    values, size = save_measured(ends, f"values-{by}", workspace)
+    total = values.agg(F.sum("same")).scalar()
+    behind = total - F.col("before") - F.col("same")
+    number = F.coalesce(behind + F.col(numbers) - F.col("before"), F.col(numbers))
+    return look_up(rows, values, [by], limit, size).select(
+        *rows.columns, number.cast("int").alias(output)
+    )

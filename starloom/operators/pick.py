@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,9 @@ from starloom.operators.lookup import BROADCAST_BYTES, save_measured
 from starloom.workspace import Workspace
 
 
+_KEPT = "kept_for_"
+
+
 def _nulls_last(name: str) -> list[Column]:
     return [F.col(name).isNull().alias(f"no_{name}"), F.col(name)]
 
@@ -41,9 +44,57 @@ def lowest_row_per_key(
     )
     same_row = F.col(key).eqNullSafe(F.col("lowest_key")) & F.col(order).eqNullSafe(F.col("lowest"))
     rows = rows.join(F.broadcast(lowest) if size <= limit else lowest, same_row, "left_semi")
+    return _settled(rows, key, order, attributes)
+
+
+def _settled(rows: DataFrame, key: str, order: str, attributes: Sequence[str]) -> DataFrame:
     candidate = F.struct(*[part for name in (order, *attributes) for part in _nulls_last(name)])
     return (
         rows.groupBy(key)
         .agg(F.min(candidate).alias("kept"))
         .select(key, *[F.col(f"kept.{name}").alias(name) for name in attributes])
     )
+
+
+def lowest_rows_per_keys(
+    rows: DataFrame,
+    attributes: Mapping[str, Sequence[str]],
+    order: str,
+    workspace: Workspace,
+    limit: int = BROADCAST_BYTES,
+) -> dict[str, DataFrame]:
+    """`lowest_row_per_key` for several keys of one type: key to the attributes it decides.
+
+    The lowest `order` value of every key of every kind comes from one aggregate over the keys
+    side by side, and one scan of the rows marks those that carry such a pair, if the pairs
+    are measured to be within `limit`. The marked rows, a few per key, are written for all
+    kinds. Above the limit each kind has a scan and a semi join of its own.
+    """
+    kinds = list(attributes)
+    sides = [F.struct(F.lit(k).alias("kind"), F.col(key).alias("value")) for k, key in enumerate(kinds)]
+    lowest, size = save_measured(
+        rows.select(F.col(order).alias("lowest"), F.inline(F.array(*sides)))
+        .groupBy("kind", "value")
+        .agg(F.min("lowest").alias("lowest")),
+        "lowest-keys",
+        workspace,
+    )
+    if size > limit:
+        return {
+            key: lowest_row_per_key(rows, key, order, own, workspace, limit)
+            for key, own in attributes.items()
+        }
+    columns = list(dict.fromkeys([order, *kinds, *(name for own in attributes.values() for name in own)]))
+    marked = rows.select(*columns)
+    for k, key in enumerate(kinds):
+        pairs = lowest.where(F.col("kind") == k).select(
+            F.col("value").alias(f"value{k}"), F.col("lowest").alias(f"lowest{k}"), F.lit(True).alias(f"{_KEPT}{k}")
+        )
+        same = F.col(key).eqNullSafe(F.col(f"value{k}")) & F.col(order).eqNullSafe(F.col(f"lowest{k}"))
+        marked = marked.join(F.broadcast(pairs), same, "left").drop(f"value{k}", f"lowest{k}")
+    marks = [F.col(f"{_KEPT}{k}") for k in range(len(kinds))]
+    few = workspace.save(marked.where(F.coalesce(*marks, F.lit(False))), "lowest-rows")
+    return {
+        key: _settled(few.where(f"{_KEPT}{k}"), key, order, attributes[key])
+        for k, key in enumerate(kinds)
+    }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from starloom.operators.lookup import BROADCAST_BYTES, look_up, save_measured
 from starloom.workspace import Workspace
@@ -10,23 +10,17 @@ from starloom.workspace import Workspace
 
 def add_group_total(
     rows: DataFrame,
-    source: DataFrame,
+    totals: DataFrame,
     by: str,
-    total: Column,
-    output: str,
     workspace: Workspace,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Aggregate `source` by a column and bring the result to the rows by left join.
+    """Bring the totals of the groups of a column to the rows by left join.
 
     A join on purpose, not a window: rows without a group get null although their group
     has a total, and no group has to fit into one task. The totals are written, so that
     they are measured without being computed twice: within `limit` they are broadcast, and
     the rows stay where they are.
     """
-    totals, size = save_measured(group_total(source, by, total, output), output, workspace)
-    return look_up(rows, totals, [by], limit, size)
-
-
-def group_total(source: DataFrame, by: str, total: Column, output: str) -> DataFrame:
-    return source.groupBy(by).agg(total.alias(output))
+    written, size = save_measured(totals, f"totals-{by}", workspace)
+    return look_up(rows, written, [by], limit, size)

@@ -10,19 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.measures import (
-    correlation,
-    exact_mean,
-    exact_sum,
-    exact_weighted_sum,
-)
+from starloom.functions.measures import correlation
 from starloom.operators.lookup import look_up, measured_bytes
-from starloom.operators.numbering import number_rows
-from starloom.operators.rollup import add_group_total, group_total
+from starloom.operators.numbering import mirror_numbers, number_rows
+from starloom.operators.rollup import add_group_total
 from starloom.operators.topk import place_among, top_rows, top_rows_numbered
+from starloom.operators.totals import Weighted, exact_totals
 from starloom.plans.star import Star
 
 
@@ -33,15 +29,21 @@ class Rank:
     output: str
     by: str
     descending: bool = True
+    # a rank by the same column in the opposite order, from which this one is derived
+    mirrors: str | None = None
 
 
 @dataclass(frozen=True)
 class Rollup:
-    """Total per value of `by`, over the mart's own rows or over a star table."""
+    """Total per value of `by`, over the mart's own rows or over a star table.
+
+    Either the sum of an amount, or the number of rows that have a value of `counted`.
+    """
 
     by: str
     output: str
-    total: Callable[[], Column]
+    amount: str | None = None
+    counted: str | None = None
     table: str | None = None
 
 
@@ -56,16 +58,11 @@ class Mart:
     overall: tuple[tuple[str, Callable[[], Column]], ...] = ()
 
 
-def _revenue() -> Column:
-    return exact_sum(F.col("sale_total_price"))
-
-
-def _mean_check() -> Column:
-    return exact_mean(F.col("sale_total_price"))
-
-
-def _total_of_totals() -> Column:
-    return exact_sum(F.col("total_revenue"))
+def _sums_and_means(rows: DataFrame, by: list[str], amount: str, total: str, mean: str) -> DataFrame:
+    present = f"cast({amount} is not null as bigint)"
+    totals = exact_totals(rows, by, {total: amount}, {"present": present})
+    share = F.try_divide(F.col(total), F.col("present").cast("double"))
+    return totals.select(*by, total, share.alias(mean))
 
 
 def _product_sales(star: Star) -> DataFrame:
@@ -86,8 +83,8 @@ def _product_sales(star: Star) -> DataFrame:
 
 
 def _customer_sales(star: Star) -> DataFrame:
-    totals = star["fact_sales"].groupBy("customer_id").agg(
-        _revenue().alias("total_spent"), _mean_check().alias("avg_check")
+    totals = _sums_and_means(
+        star["fact_sales"], ["customer_id"], "sale_total_price", "total_spent", "avg_check"
     )
     customers = star["dim_customer"].select(
         "customer_id",
@@ -100,8 +97,8 @@ def _customer_sales(star: Star) -> DataFrame:
 
 
 def _store_sales(star: Star) -> DataFrame:
-    totals = star["fact_sales"].groupBy("store_id").agg(
-        _revenue().alias("total_revenue"), _mean_check().alias("avg_check")
+    totals = _sums_and_means(
+        star["fact_sales"], ["store_id"], "sale_total_price", "total_revenue", "avg_check"
     )
     stores = star["dim_store"].select("store_id", "store_name", "store_city", "store_country")
     return totals.join(stores, "store_id", "left")
@@ -112,17 +109,17 @@ def _supplier_sales(star: Star) -> DataFrame:
     each product by its sales."""
     products = star["dim_product"].select("product_id", "supplier_id", "product_price")
     suppliers = star["dim_supplier"].select("supplier_id", "supplier_name", "supplier_country")
-    price = F.col("product_price")
-    priced_sales = F.when(price.isNotNull(), F.col("sales"))
-    totals = (
-        star.product_totals.join(products, "product_id", "left")
-        .groupBy("supplier_id")
-        .agg(
-            _total_of_totals().alias("total_revenue"),
-            F.try_divide(
-                exact_weighted_sum(price, F.col("sales")), F.sum(priced_sales).cast("double")
-            ).alias("avg_product_price"),
-        )
+    totals = exact_totals(
+        star.product_totals.join(products, "product_id", "left"),
+        ["supplier_id"],
+        {"total_revenue": "total_revenue", "price_of_sales": Weighted("product_price", "sales")},
+        {"priced_sales": "case when product_price is not null then sales end"},
+    ).select(
+        "supplier_id",
+        "total_revenue",
+        F.try_divide("price_of_sales", F.col("priced_sales").cast("double")).alias(
+            "avg_product_price"
+        ),
     )
     return totals.join(suppliers, "supplier_id", "left")
 
@@ -158,7 +155,7 @@ PRODUCT_SALES = Mart(
         "product_rank",
     ),
     ranks=(Rank("product_rank", by="total_sales_qty"),),
-    rollups=(Rollup("product_category", "category_revenue", _total_of_totals),),
+    rollups=(Rollup("product_category", "category_revenue", amount="total_revenue"),),
 )
 
 CUSTOMER_SALES = Mart(
@@ -182,7 +179,7 @@ CUSTOMER_SALES = Mart(
         Rollup(
             "customer_country",
             "country_customer_count",
-            lambda: F.count("customer_id"),
+            counted="customer_id",
             table="dim_customer",
         ),
     ),
@@ -205,8 +202,8 @@ STORE_SALES = Mart(
     ),
     ranks=(Rank("store_rank", by="total_revenue"),),
     rollups=(
-        Rollup("store_city", "city_total_revenue", _total_of_totals),
-        Rollup("store_country", "country_total_revenue", _total_of_totals),
+        Rollup("store_city", "city_total_revenue", amount="total_revenue"),
+        Rollup("store_country", "country_total_revenue", amount="total_revenue"),
     ),
 )
 
@@ -224,7 +221,7 @@ SUPPLIER_SALES = Mart(
         "supplier_rank",
     ),
     ranks=(Rank("supplier_rank", by="total_revenue"),),
-    rollups=(Rollup("supplier_country", "country_total_revenue", _total_of_totals),),
+    rollups=(Rollup("supplier_country", "country_total_revenue", amount="total_revenue"),),
 )
 
 PRODUCT_QUALITY = Mart(
@@ -244,7 +241,7 @@ PRODUCT_QUALITY = Mart(
     ),
     ranks=(
         Rank("rating_rank_desc", by="product_rating"),
-        Rank("rating_rank_asc", by="product_rating", descending=False),
+        Rank("rating_rank_asc", by="product_rating", descending=False, mirrors="rating_rank_desc"),
     ),
     overall=(
         (
@@ -266,13 +263,17 @@ def _order(mart: Mart, rank: Rank) -> list[Column]:
     ]
 
 
+def _group_total(source: DataFrame, rollup: Rollup) -> DataFrame:
+    if rollup.counted:
+        return source.groupBy(rollup.by).agg(F.count(rollup.counted).alias(rollup.output))
+    return exact_totals(source, [rollup.by], {rollup.output: rollup.amount})
+
+
 def _with_totals(rows: DataFrame, mart: Mart, source: DataFrame, star: Star) -> DataFrame:
     """Rollups and overall figures of `source`, next to rows that may be part of it."""
     for rollup in mart.rollups:
         over = source if rollup.table is None else star[rollup.table]
-        rows = add_group_total(
-            rows, over, rollup.by, rollup.total(), rollup.output, star.workspace
-        )
+        rows = add_group_total(rows, _group_total(over, rollup), rollup.by, star.workspace)
     for output, figure in mart.overall:
         # an aggregate without groups is one value, put into the plan as a scalar subquery
         rows = rows.withColumn(output, source.agg(figure()).scalar())
@@ -286,7 +287,10 @@ def build(mart: Mart, star: Star) -> DataFrame:
     """
     rows = mart.base(star)
     for rank in mart.ranks:
-        rows = number_rows(rows, _order(mart, rank), rank.output, star.workspace)
+        if rank.mirrors:
+            rows = mirror_numbers(rows, rank.by, rank.mirrors, rank.output, star.workspace)
+        else:
+            rows = number_rows(rows, _order(mart, rank), rank.output, star.workspace)
     return _with_totals(rows, mart, rows, star)
 
 
@@ -320,7 +324,7 @@ def rollup_alone(mart: Mart, output: str, star: Star) -> DataFrame:
     """One rollup of a mart as a table of its own."""
     (rollup,) = [r for r in mart.rollups if r.output == output]
     source = mart.base(star) if rollup.table is None else star[rollup.table]
-    return group_total(source, rollup.by, rollup.total(), rollup.output)
+    return _group_total(source, rollup)
 
 
 def overall_alone(mart: Mart, star: Star) -> DataFrame:
@@ -333,24 +337,22 @@ def time_sales(star: Star) -> DataFrame:
 
     The amounts are totalled by day before they meet the dates. Distinct sales are counted
     apart from them: that shuffle holds one row per sale, with the month and the id only.
-    Months are few, so the year total is a window, and the sales without a date form a
-    year of their own.
+    Months are few, and years fewer: their totals are joined to the months, where the sales
+    without a date form a year of their own.
     """
     days = star["dim_date"].select(F.col("date_id").alias("sale_date_id"), "year", "month")
     size = measured_bytes(days)
     fact = star["fact_sales"]
-    by_day = fact.groupBy("sale_date_id").agg(
-        _revenue().alias("day_revenue"), F.count("sale_total_price").alias("priced_sales")
-    )
-    revenue = exact_sum(F.col("day_revenue"))
-    amounts = (
-        look_up(by_day, days, ["sale_date_id"], size=size)
-        .groupBy("year", "month")
-        .agg(
-            revenue.alias("total_revenue"),
-            F.try_divide(revenue, F.sum("priced_sales").cast("double")).alias("avg_order_value"),
-        )
+    present = "cast(sale_total_price is not null as bigint)"
+    by_day = exact_totals(
+        fact, ["sale_date_id"], {"day_revenue": "sale_total_price"}, {"day_present": present}
     )
+    amounts = exact_totals(
+        look_up(by_day, days, ["sale_date_id"], size=size),
+        ["year", "month"],
+        {"total_revenue": "day_revenue"},
+        {"present": "day_present"},
+    ).withColumn("avg_order_value", F.try_divide("total_revenue", F.col("present").cast("double")))
     orders = (
         look_up(fact.select("sale_date_id", "sale_id"), days, ["sale_date_id"], size=size)
         .groupBy("year", "month")
@@ -359,12 +361,14 @@ def time_sales(star: Star) -> DataFrame:
     same_month = F.col("a.year").eqNullSafe(F.col("o.year")) & F.col("a.month").eqNullSafe(
         F.col("o.month")
     )
-    year_total = exact_sum(F.col("total_revenue"), Window.partitionBy("year"))
+    # the totals by day are shuffled once for both
+    years = exact_totals(amounts, ["year"], {"year_total_revenue": "total_revenue"})
+    same_year = F.col("a.year").eqNullSafe(F.col("y.year"))
     return (
         amounts.alias("a")
         .join(orders.alias("o"), same_month)
-        .select("a.year", "a.month", "total_revenue", "orders", "avg_order_value")
-        .withColumn("year_total_revenue", year_total)
+        .join(F.broadcast(years).alias("y"), same_year)
+        .select("a.year", "a.month", "total_revenue", "orders", "avg_order_value", "year_total_revenue")
         .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first())
     )
 

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.casts import date_key
-from starloom.functions.measures import exact_sum
 from starloom.operators.lookup import look_up
 from starloom.operators.numbering import number_rows
-from starloom.operators.pick import lowest_row_per_key
+from starloom.operators.pick import lowest_row_per_key, lowest_rows_per_keys
+from starloom.operators.totals import exact_totals
 from starloom.schema import (
     CUSTOMER,
     PRODUCT,
@@ -32,6 +32,24 @@ def keyed_dimension(
     return lowest_row_per_key(rows, layout.key, "id", layout.attributes, workspace)
 
 
+# products also carry the columns by which their supplier is found
+_PRODUCT_WITH_SUPPLIER = KeyedDimension(
+    PRODUCT.key, PRODUCT.source_key, PRODUCT.attributes + SUPPLIER.columns
+)
+
+
+def keyed_dimensions(sales: DataFrame, workspace: Workspace) -> dict[str, DataFrame]:
+    """Customers, sellers and products (with their supplier's columns) from the same scans."""
+    layouts = (CUSTOMER, SELLER, _PRODUCT_WITH_SUPPLIER)
+    kept = lowest_rows_per_keys(
+        sales, {layout.source_key: layout.attributes for layout in layouts}, "id", workspace
+    )
+    return {
+        layout.key: kept[layout.source_key].withColumnRenamed(layout.source_key, layout.key)
+        for layout in layouts
+    }
+
+
 def numbered_dimension(
     sales: DataFrame, layout: NumberedDimension, workspace: Workspace
 ) -> DataFrame:
@@ -48,10 +66,10 @@ def product_dimension(
 
     A supplier with a missing column is found by no product: the join is not null-safe.
     """
-    layout = KeyedDimension(
-        PRODUCT.key, PRODUCT.source_key, PRODUCT.attributes + SUPPLIER.columns
-    )
-    products = keyed_dimension(sales, layout, workspace)
+    return with_supplier(keyed_dimension(sales, _PRODUCT_WITH_SUPPLIER, workspace), suppliers)
+
+
+def with_supplier(products: DataFrame, suppliers: DataFrame) -> DataFrame:
     return look_up(products, suppliers, SUPPLIER.columns).select(
         PRODUCT.key, *PRODUCT.attributes, SUPPLIER.key
     )
@@ -109,12 +127,19 @@ class Star:
 
     @classmethod
     def from_sales(cls, sales: DataFrame, workspace: Workspace) -> Star:
+        keyed: dict[str, DataFrame] = {}
+
+        def by_key(key: str) -> DataFrame:
+            if not keyed:
+                keyed.update(keyed_dimensions(sales, workspace))
+            return keyed[key]
+
         def build(star: Star, name: str) -> DataFrame:
             match name:
                 case "dim_customer":
-                    table = keyed_dimension(sales, CUSTOMER, workspace)
+                    table = by_key(CUSTOMER.key)
                 case "dim_seller":
-                    table = keyed_dimension(sales, SELLER, workspace)
+                    table = by_key(SELLER.key)
                 case "dim_supplier":
                     table = numbered_dimension(sales, SUPPLIER, workspace)
                 case "dim_store":
@@ -149,10 +174,11 @@ class Star:
     def product_totals(self) -> DataFrame:
         """Quantity, revenue and number of sales per product; three marts start here."""
         if "product_totals" not in self._tables:
-            totals = self["fact_sales"].groupBy("product_id").agg(
-                F.sum("sale_quantity").alias("total_sales_qty"),
-                exact_sum(F.col("sale_total_price")).alias("total_revenue"),
-                F.count("*").alias("sales"),
+            totals = exact_totals(
+                self["fact_sales"],
+                ["product_id"],
+                {"total_revenue": "sale_total_price"},
+                {"total_sales_qty": "sale_quantity", "sales": "1"},
             )
             self._tables["product_totals"] = self.workspace.save(totals, "product_totals")
         return self._tables["product_totals"]

@@ -1,16 +1,32 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
-from pyspark.sql import Window
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starloom.functions.measures import correlation, exact_mean, exact_sum, exact_weighted_sum
+from starloom.functions.measures import correlation
+from starloom.operators.totals import Weighted, exact_totals
+
+
+MOST = Fraction(1.7976931348623157e308)
+
+
+def nearest(exact):
+    try:
+        return float(exact)
+    except OverflowError:
+        return math.inf if exact > 0 else -math.inf
+
+
+def summed(frame):
+    return exact_totals(frame, [], {"s": "x"}).first()[0]
 
 
 def total(spark, values):
-    frame = spark.createDataFrame([(value,) for value in values], "x double")
-    return frame.agg(exact_sum(F.col("x"))).first()[0]
+    return summed(spark.createDataFrame([(value,) for value in values], "x double"))
 
 
 def test_sum_is_exact_whatever_the_order(spark):
@@ -20,12 +36,12 @@ def test_sum_is_exact_whatever_the_order(spark):
     for partitions in (1, 7, 32):
         chance.shuffle(cents)
         frame = spark.createDataFrame([(c / 100,) for c in cents], "x double").repartition(partitions)
-        assert frame.agg(exact_sum(F.col("x"))).first()[0] == expected
+        assert summed(frame) == expected
 
 
 def weighted(spark, pairs):
     frame = spark.createDataFrame(pairs, "x double, n long")
-    return frame.agg(exact_weighted_sum(F.col("x"), F.col("n"))).first()[0]
+    return exact_totals(frame, [], {"s": Weighted("x", "n")}).first()[0]
 
 
 def test_weighted_sum_is_the_sum_of_the_repeats(spark):
@@ -52,7 +68,7 @@ def test_sum_keeps_six_decimals(spark):
 
 
 def test_sum_keeps_what_lies_below_a_millionth(spark):
-    assert spark.range(1_000_000).select(exact_sum(F.lit(4e-7))).first()[0] == 0.4
+    assert summed(spark.range(1_000_000).select(F.lit(4e-7).alias("x"))) == 0.4
     assert total(spark, [1e-7, 2e-7, 3.0000004]) == 3.0000007
     assert total(spark, [1.2345678901234567e-9] * 3) == pytest.approx(3.70370367037037e-9, rel=1e-15)
     assert total(spark, [1e-20, 2e-20]) == 3e-20
@@ -73,7 +89,7 @@ def test_sum_keeps_what_lies_below_a_millionth(spark):
     ],
 )
 def test_sum_of_many_amounts_of_a_form(spark, rows, amount, expected):
-    found = spark.range(rows).select(exact_sum(F.lit(amount))).first()[0]
+    found = summed(spark.range(rows).select(F.lit(amount).alias("x")))
     assert found == pytest.approx(expected, rel=1e-15)
 
 
@@ -81,13 +97,7 @@ def test_sum_of_many_amounts_with_money_and_fractions(spark):
     frame = spark.range(1_200_000).select(
         F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 3 == 1, 9.9e11).otherwise(1e-7).alias("x")
     )
-    assert frame.agg(exact_sum(F.col("x"))).first()[0] == pytest.approx(3.96e17 + 200_000.04, rel=1e-15)
-
-
-def test_sum_in_windows_beyond_a_form(spark):
-    frame = spark.range(1_200_000).select((F.col("id") % 1).alias("k"), F.lit(9e11).alias("x"))
-    sums = frame.select(exact_sum(F.col("x"), Window.partitionBy("k")).alias("s"))
-    assert [row.s for row in sums.distinct().collect()] == [1.08e18]
+    assert summed(frame) == pytest.approx(3.96e17 + 200_000.04, rel=1e-15)
 
 
 def test_weighted_sum_beyond_its_type(spark):
@@ -103,7 +113,7 @@ def test_sum_of_mixed_sizes_is_the_same_in_any_order(spark):
     for partitions in (1, 7, 32):
         chance.shuffle(values)
         frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(partitions)
-        sums.add(frame.agg(exact_sum(F.col("x"))).first()[0])
+        sums.add(summed(frame))
     assert len(sums) == 1
     assert sums.pop() == pytest.approx(math.fsum(values), rel=1e-12)
 
@@ -133,16 +143,67 @@ def test_sum_of_nan(spark):
     assert math.isnan(total(spark, [math.inf, -math.inf]))
 
 
-def test_sum_over_a_window(spark):
-    frame = spark.createDataFrame([("a", 0.1), ("a", 0.2), (None, 0.7), (None, 0.1)], "k string, x double")
-    rows = frame.select("k", exact_sum(F.col("x"), Window.partitionBy("k")).alias("s")).collect()
-    assert sorted((row.k or "", row.s) for row in rows) == [("", 0.8), ("", 0.8), ("a", 0.3), ("a", 0.3)]
-
-
-def test_mean_skips_nulls(spark):
-    frame = spark.createDataFrame([(1.0,), (None,), (2.0,)], "x double")
-    assert frame.agg(exact_mean(F.col("x"))).first()[0] == 1.5
-    assert frame.where("x is null").agg(exact_mean(F.col("x"))).first()[0] is None
+def test_sums_by_group_with_counts(spark):
+    data = [("a", 0.1, 1), ("a", 0.2, None), (None, 0.7, 2), (None, 0.1, 2), ("b", None, 5), ("c", 1e20, None)]
+    frame = spark.createDataFrame(data, "k string, x double, n int")
+    rows = exact_totals(frame, ["k"], {"s": "x"}, {"whole": "n", "rows": "1"}).collect()
+    assert sorted(tuple(row) for row in rows if row.k) == [
+        ("a", 0.3, 1, 2),
+        ("b", None, 5, 1),
+        ("c", 1e20, None, 1),
+    ]
+    assert [tuple(row) for row in rows if row.k is None] == [(None, 0.8, 4, 2)]
+
+
+def test_several_sums_at_once(spark):
+    data = [(1, 0.1, 2.5, 3), (1, 1e-30, None, 4), (2, None, 1e25, 2), (2, 7.0, 0.25, 10**12), (3, None, None, 1)]
+    frame = spark.createDataFrame(data, "k int, x double, y double, n long")
+    sums = {"sx": "x", "sy": "y", "sxn": Weighted("x", "n"), "twice": "x * 2"}
+    rows = exact_totals(frame, ["k"], sums, {"rows": "1", "n": "n"}).collect()
+    assert sorted(tuple(row) for row in rows) == [
+        (1, 0.1, 2.5, 0.3, 0.2, 2, 7),
+        (2, 7.0, 1e25, 7e12, 14.0, 2, 10**12 + 2),
+        (3, None, None, None, None, 1, 1),
+    ]
+    single = exact_totals(frame.where("k = 9"), [], sums, {"rows": "1"}).collect()
+    assert [tuple(row) for row in single] == [(None, None, None, None, None)]
+
+
+finite = st.floats(allow_nan=False, allow_infinity=False, allow_subnormal=False)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), finite), max_size=200), st.integers(-(10**12), 10**12))
+def test_sums_are_exact(spark, rows, weight):
+    """Against fractions of the shortest decimals, where a group spans 38 digits at most."""
+    frame = spark.createDataFrame([(k, x, weight) for k, x in rows], "k int, x double, w long")
+    found = exact_totals(frame.repartition(3), ["k"], {"s": "x", "w": Weighted("x", "w")}).collect()
+    assert len(found) == len({k for k, _ in rows})
+    for row in found:
+        amounts = [Fraction(repr(x)) for k, x in rows if k == row.k]
+        for got, exact in ((row.s, sum(amounts)), (row.w, weight * sum(amounts))):
+            scale = sum(map(abs, amounts)) * (1 if got is row.s else abs(weight))
+            assert got == pytest.approx(nearest(exact), rel=1e-15, abs=float(min(scale * Fraction(1, 10**15), MOST)))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(-(10**17), 10**17), min_size=1, max_size=60), st.integers(0, 12))
+def test_sums_of_near_sizes_are_rounded_once(spark, numbers, decimals):
+    values = [n / 10**decimals for n in numbers]
+    exact = sum(Fraction(repr(value)) for value in values)
+    assert total(spark, values) == float(exact)
+
+
+def test_small_and_large_amounts_are_kept(spark):
+    assert total(spark, [1e-40] * 3) == 3e-40
+    assert total(spark, [1e300, 1e-40, -1e300]) == 1e-40
+    assert total(spark, [1e27] * 3) == 3e27
+
+
+def test_three_aggregates_a_sum(spark):
+    frame = spark.createDataFrame([(1, 0.5)], "k int, x double")
+    plan = exact_totals(frame, ["k"], {"s": "x"})._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("partial_sum(") == 3 and len(plan) < 20_000
 
 
 def correlated(spark, pairs):

@@ -5,8 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom.operators.lookup import look_up, measured_bytes
-from starloom.operators.numbering import number_rows
-from starloom.operators.pick import lowest_row_per_key
+from starloom.operators.numbering import mirror_numbers, number_rows
+from starloom.operators.pick import lowest_row_per_key, lowest_rows_per_keys
 from starloom.operators.rollup import add_group_total
 from starloom.operators.topk import place_among, top_rows, top_rows_numbered
 
@@ -31,6 +31,30 @@ def test_numbers_equal_a_plain_window(spark, workspace, set_conf, partitions):
         assert sorted(ours.collect(), key=lambda r: r.n) == sorted(plain.collect(), key=lambda r: r.n)
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+@pytest.mark.parametrize("descending", [True, False])
+def test_mirrored_numbers_equal_a_plain_window(spark, workspace, set_conf, descending, limit):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    chance = random.Random(5)
+    values = [5.0, 5.0, None, float("nan"), 0.0, -0.0, -1.5, 2.25]
+    data = [(key, chance.choice(values)) for key in [None, *range(2000)]]
+    frame = spark.createDataFrame(data, "k long, v double").repartition(5)
+
+    def order(down):
+        return [F.col("v").desc_nulls_last() if down else F.col("v").asc_nulls_last(), F.col("k").asc_nulls_last()]
+
+    numbered = number_rows(frame, order(descending), "n", workspace)
+    both = mirror_numbers(numbered, "v", "n", "m", workspace, limit)
+    plain = frame.withColumn("n", F.row_number().over(Window.orderBy(*order(descending)))).withColumn(
+        "m", F.row_number().over(Window.orderBy(*order(not descending)))
+    )
+    assert both.schema["m"].dataType == plain.schema["m"].dataType
+    assert sorted(map(repr, both.select("k", "n", "m").collect())) == sorted(
+        map(repr, plain.select("k", "n", "m").collect())
+    )
+    assert mirror_numbers(numbered.limit(0), "v", "n", "m", workspace, limit).collect() == []
+
+
 def test_a_shared_value_is_spread_over_partitions(spark, workspace, set_conf):
     set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     frame = spark.range(20_000).withColumn("v", F.lit(1))
@@ -94,6 +118,33 @@ def test_lowest_row_equals_a_plain_window(spark, workspace, limit):
     assert sorted(map(repr, ours.collect())) == sorted(map(repr, plain.collect()))
 
 
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_lowest_rows_of_several_keys(spark, workspace, limit):
+    chance = random.Random(4)
+    data = [
+        (
+            chance.choice([1, None, chance.randint(0, 200)]),
+            chance.choice([7, chance.randint(0, 40)]),
+            chance.choice([None, chance.randint(0, 30)]),
+            chance.choice([None, "", "a", "b"]),
+            chance.choice([None, 0.5, -1.0]),
+        )
+        for _ in range(3000)
+    ]
+    frame = workspace.save(spark.createDataFrame(data, "k long, m long, id long, a string, x double"), "rows")
+    found = lowest_rows_per_keys(frame, {"k": ["a", "x"], "m": ["x"]}, "id", workspace, limit)
+    for key, names in (("k", ["a", "x"]), ("m", ["x"])):
+        alone = lowest_row_per_key(frame, key, "id", names, workspace)
+        assert found[key].columns == alone.columns
+        assert sorted(map(repr, found[key].collect())) == sorted(map(repr, alone.collect()))
+        if limit:
+            # the rows themselves were read before, by the scan that all kinds share
+            plan = found[key]._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan
+    none = lowest_rows_per_keys(frame.limit(0), {"k": ["a"], "m": ["x"]}, "id", workspace, limit)
+    assert [rows.count() for rows in none.values()] == [0, 0]
+
+
 @pytest.mark.parametrize("limit", [0, 10**9])
 def test_look_up_is_the_same_broadcast_or_shuffled(spark, set_conf, limit):
     set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -141,7 +192,8 @@ def test_measured_bytes_grow_with_text(spark):
 def test_group_total_stays_null_for_rows_without_group(spark, workspace, set_conf, limit):
     set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 5)], "g string, v long")
-    joined = add_group_total(rows, rows, "g", F.sum("v"), "total", workspace, limit)
+    totals = rows.groupBy("g").agg(F.sum("v").alias("total"))
+    joined = add_group_total(rows, totals, "g", workspace, limit)
     plan = joined._jdf.queryExecution().sparkPlan().toString()
     assert ("BroadcastHashJoin" in plan) == (limit > 0)
     assert sorted((row.v, row.total) for row in joined.collect()) == [(1, 3), (2, 3), (5, None)]
