@@ -1,10 +1,15 @@
 """Chat formatting: roles by a hidden Markov model, turns in one canonical form.
 
-A transcript is the lines of its rows in order. The states are the roles; a line emits a
-speaker marker (given with its row, written in front of the line, or none) and a few
-features of its text. Roles tend to alternate from row to row and to stay from line to
+A transcript is the lines of its rows in order. The states are the roles; a line emits the
+speaker given with its row, the marker written in front of it, each if there is one, and a
+few features of its text. Roles tend to alternate from row to row and to stay from line to
 line within a row. The most likely roles are found by Viterbi, so a missing or unknown
-marker is filled from its neighbours, and a wrong one can be outvoted by two.
+speaker is filled from its neighbours, and a wrong one can be outvoted by two.
+
+A row's known speaker and a marker in its text are separate evidence. Words that prompts
+also use (`Context:`, `Answer:`) say little, and a row with a known speaker is one turn
+unless much speaks against it. A marker is cut from the text only where it names the role
+that was found and opens a turn.
 
 A long conversation is not one task's work. Rows are range partitioned and sorted, and
 runs of one conversation are cut into blocks of at most `BLOCK_ROWS` rows. Viterbi is a
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -40,6 +46,8 @@ SPEAKERS = {
     "user": "user human customer client question prompter q you",
     "assistant": "assistant ai bot model gpt agent chatbot answer a",
 }
+# Those of them that are words of ordinary prompts too
+WORDS_TOO = frozenset("context question answer instruction instructions q a you model".split())
 _ROLE_OF = {name: place for place, role in enumerate(ROLES) for name in SPEAKERS[role].split()}
 _NAME = "(" + "|".join(sorted(_ROLE_OF, key=len, reverse=True)) + ")"
 # in front of a line: `User:`, `**Bot**:`, `>> AI:`; `[user]`; `<|user|>`; a heading
@@ -63,7 +71,7 @@ def _scores(probabilities) -> np.ndarray:
 START = _scores([0.3, 0.6, 0.1])
 NEXT_ROW = _scores([[0.05, 0.80, 0.15], [0.03, 0.12, 0.85], [0.03, 0.85, 0.12]])
 NEXT_LINE = _scores([[0.98, 0.01, 0.01], [0.01, 0.98, 0.01], [0.01, 0.01, 0.98]])
-# marker: names system, user, assistant, an unknown speaker, or is missing
+# speaker or marker: names system, user, assistant, an unknown speaker, or is missing
 MARKED = _scores(
     [
         [0.90, 0.015, 0.015, 0.02, 0.05],
@@ -71,6 +79,8 @@ MARKED = _scores(
         [0.003, 0.007, 0.93, 0.02, 0.04],
     ]
 )
+# a marker that is a word of prompts and answers as well
+HINTED = _scores([[0.60, 0.20, 0.20], [0.15, 0.70, 0.15], [0.10, 0.15, 0.75]])
 UNKNOWN, MISSING = len(ROLES), len(ROLES) + 1
 # features, present or not: a question, a long line, a list or code, an instruction
 _FEATURES = (
@@ -83,8 +93,25 @@ _PRESENT = [_scores(p) for _, p in _FEATURES]
 _ABSENT = [_scores([1 - x for x in p]) for _, p in _FEATURES]
 
 
-def lines_of(marker: str | None, text: str) -> list[tuple[str, int, bool]]:
-    """(line without its marker, marker, first of its row) of the lines of a row."""
+class Line(NamedTuple):
+    """A line of a row: without its marker and whole, and what it says about its speaker."""
+
+    text: str
+    whole: str
+    # the row's speaker, and the marker in front of the line
+    given: int
+    marker: int
+    # whether the marker is a word of prompts too
+    word: bool
+    first: bool
+
+    @property
+    def opens(self) -> bool:
+        """Whether a turn may well begin here, as with a new row."""
+        return self.first or (self.marker != MISSING and self.given >= UNKNOWN)
+
+
+def lines_of(marker: str | None, text: str) -> list[Line]:
     given = MISSING
     if marker is not None and marker.strip():
         given = _ROLE_OF.get(marker.strip().lower(), UNKNOWN)
@@ -92,32 +119,38 @@ def lines_of(marker: str | None, text: str) -> list[tuple[str, int, bool]]:
     for place, line in enumerate(text.split("\n")):
         found = next(filter(None, (form.match(line) for form in _MARKERS)), None)
         if found:
-            role, line = _ROLE_OF[found[1].lower()], line[found.end() :]
+            name = found[1].lower()
+            named = (line[found.end() :], line, given, _ROLE_OF[name], name in WORDS_TOO)
         else:
-            role = given if place == 0 else MISSING
-        lines.append((line, role, place == 0))
+            named = (line, line, given, MISSING, False)
+        lines.append(Line(*named, place == 0))
     return lines
 
 
-def emission(line: str, marker: int, first: bool) -> np.ndarray:
-    # within a row a missing marker is the rule and says nothing
-    scores = MARKED[:, marker].copy() if first or marker != MISSING else np.zeros(3, np.int64)
+def emission(line: Line) -> np.ndarray:
+    scores = np.zeros(len(ROLES), dtype=np.int64)
+    marked = line.marker != MISSING
+    if line.first or marked:
+        # within a row a missing marker is the rule and says nothing; where the line has one,
+        # that no speaker is given says nothing either
+        if line.given != MISSING or not marked:
+            scores += MARKED[:, line.given]
+        if marked:
+            scores += (HINTED if line.word else MARKED)[:, line.marker]
     for (pattern, _), present, absent in zip(_FEATURES, _PRESENT, _ABSENT, strict=True):
-        scores += present if pattern.search(line) else absent
+        scores += present if pattern.search(line.text) else absent
     return scores
 
 
-def _steps(markers: list, texts: list) -> tuple[list, list[np.ndarray]]:
+def _steps(markers: list, texts: list) -> tuple[list[tuple[int, Line]], list[np.ndarray]]:
     lines = [
-        (row, *line)
+        (row, line)
         for row, (marker, text) in enumerate(zip(markers, texts, strict=True))
         for line in lines_of(marker, text)
     ]
-    steps = []
-    for _, line, marker, first in lines:
-        # a marker in a line opens a turn, as a new row does
-        change = NEXT_ROW if first or marker != MISSING else NEXT_LINE
-        steps.append(change + emission(line, marker, first)[None, :])
+    steps = [
+        (NEXT_ROW if line.opens else NEXT_LINE) + emission(line)[None, :] for _, line in lines
+    ]
     return lines, steps
 
 
@@ -139,8 +172,7 @@ def decode(markers: list, texts: list, entering: np.ndarray | None, last: int |
     """
     lines, steps = _steps(markers, texts)
     if entering is None:
-        _, line, marker, first = lines[0]
-        scores = START + emission(line, marker, first)
+        scores = START + emission(lines[0][1])
     else:
         scores = (entering[:, None] + steps[0]).max(axis=0)
     back = []
@@ -225,7 +257,7 @@ def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for markers, texts in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
             lines, steps = _steps(markers, texts)
             matrices.append(block_matrix(markers, texts).reshape(-1).tolist())
-            scores = START + emission(*lines[0][1:])
+            scores = START + emission(lines[0][1])
             for step in steps[1:]:
                 scores = (scores[:, None] + step).max(axis=0)
             firsts.append(scores.tolist())
@@ -269,15 +301,16 @@ def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
             # a turn is a run of one role within a row
             turns: list[list] = []
-            whole_lines = [line for text in texts.as_py() for line in text.split("\n")]
-            for (row, line, marker, _), whole, role in zip(lines, whole_lines, roles, strict=True):
-                # a marker that was outvoted is text
-                line = line if role == marker else whole
-                if turns and turns[-1][0] == row and turns[-1][1] == role:
-                    turns[-1][3].append(line)
+            for (row, line), role in zip(lines, roles, strict=True):
+                goes_on = bool(turns) and turns[-1][0] == row and turns[-1][1] == role
+                # a word is text in a row whose speaker is known, and so is an outvoted marker
+                named = role == line.marker and not (line.word and line.given < UNKNOWN)
+                text = line.text if named and not goes_on else line.whole
+                if goes_on:
+                    turns[-1][3].append(text)
                 else:
                     piece = turns[-1][2] + 1 if turns and turns[-1][0] == row else 0
-                    turns.append([row, role, piece, [line]])
+                    turns.append([row, role, piece, [text]])
             rows = pa.array([turn[0] for turn in turns], pa.int64())
             bodies = ["\n".join(turn[3]).strip() for turn in turns]
             names = [ROLES[turn[1]] for turn in turns]
@@ -306,7 +339,8 @@ def format_chat(
     A row gives one turn, or several if speaker markers in its lines (`User:`, `### AI:`,
     `[bot]`, ...) change the role; `piece` numbers them. `marker_col` names the speaker as
     the source has it, or is None. `text` is without outer white space and without
-    the markers that name its role; other markers are text. `rendered` is the canonical form.
+    the marker that names its role and opens it; other markers are text, and so are words
+    like `Answer:` where the row's speaker is known. `rendered` is the canonical form.
 
     A null or empty text gives one turn with an empty text. A null marker is a missing one,
     an unknown name an unknown one. Null conversations are one conversation; null places

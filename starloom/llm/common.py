@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.operators.lookup import measured_bytes
 from starloom.workspace import Workspace
@@ -56,14 +57,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _hashes(kind: T.DataType) -> bool:
+    """Whether Spark hashes the type; it does not hash maps and variants."""
+    if isinstance(kind, T.ArrayType):
+        return _hashes(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashes(field.dataType) for field in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def row_key(rows: DataFrame) -> list[Column]:
     """128 bits over all columns: equal for rows equal in every column, else different.
 
-    Unlike a row number it is the same in every job that reads the rows.
+    Unlike a row number it is the same in every job that reads the rows. All columns are read
+    and hashed; those that hold a map or a variant by their JSON text, so maps with the same
+    entries in another order differ.
     """
-    columns = [F.col(f"`{name}`") for name in rows.columns]
+    columns = [
+        _named(field.name) if _hashes(field.dataType) else F.to_json(F.struct(_named(field.name)))
+        for field in rows.schema.fields
+    ]
     # a null adds nothing to a hash, so the hash also takes which columns are null
-    gaps = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    gaps = F.concat(*[F.when(_named(c).isNull(), "1").otherwise("0") for c in rows.columns])
     return [
         F.xxhash64(gaps, *columns).alias(_KEY_LOW),
         F.xxhash64(*columns, gaps, F.lit("high")).alias(_KEY_HIGH),
@@ -77,14 +96,16 @@ def keep_rows(docs: DataFrame, winners: DataFrame, limit: int = BROADCAST_BYTES)
     one of these rows stays. Winners measured to be small are broadcast, others joined by
     shuffle.
     """
+    # a row travels as one column, so its names cannot meet those of the key
+    rows = docs.select(F.struct(*[_named(name) for name in docs.columns]).alias("row"), *row_key(docs))
 
     def among(keys: DataFrame) -> DataFrame:
         keys = keys.select(*ROW_KEY)
         if measured_bytes(keys) <= limit:
             keys = F.broadcast(keys)
-        return docs.select("*", *row_key(docs)).join(keys, list(ROW_KEY), "left_semi")
+        return rows.join(keys, list(ROW_KEY), "left_semi")
 
-    columns = [F.col(f"`{name}`") for name in docs.columns]
+    columns = [F.col("row").getField(name).alias(name) for name in docs.columns]
     single = among(winners.filter("copies = 1")).select(*columns)
     repeated = winners.filter("copies > 1")
     if repeated.isEmpty():

@@ -14,7 +14,7 @@ written once; no later step touches the texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (
@@ -77,12 +77,9 @@ def heavy_winners(rows: DataFrame) -> DataFrame:
 def _decided(docs: DataFrame, id_col: str, text_col: str, workspace: Workspace) -> DataFrame:
     rows = workspace.save(digests(docs, id_col, text_col), "digests")
     heavy = F.broadcast(workspace.save(heavy_winners(rows), "heavy"))
-    group = Window.partitionBy("digest")
-    rest = rows.join(heavy.select("digest"), "digest", "left_anti").select(
-        *rows.columns,
-        F.max(F.struct("doc_id", *ROW_KEY)).over(group).alias("winner"),
-        F.count("*").over(group).alias("group_size"),
-    )
+    rest = rows.join(heavy.select("digest"), "digest", "left_anti")
+    # totals and a join, as a group need not fit into one task
+    rest = rest.join(rest.groupBy("digest").agg(*_winner()), "digest")
     return rows.join(heavy, "digest").unionByName(rest)
 
 
@@ -104,7 +101,7 @@ def exact_duplicates(
     with the same id and text but other columns that differ: the one with the largest hash
     of all columns stays. Rows equal in every column are all marked kept, as nothing tells
     them apart; `drop_exact_duplicates` leaves one of them. An empty table gives an empty
-    result; other columns of the input, whatever their names, are not read.
+    result. Other columns, whatever their names and types, are read for that hash alone.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     return _decided(docs, id_col, text_col, workspace).select(

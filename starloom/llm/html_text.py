@@ -1,11 +1,12 @@
 """Main text of web pages by text-to-tag ratio.
 
-The standard library's parser streams events; every block-level tag ends a line. A line's
+The standard library's parser streams events; every block-level tag ends a line, all others
+stand within one. A line's
 ratio is its characters over the tags that stand in it. The ratios, zero for lines that lie
 in page furniture (menus, footers, forms, adverts, ...), are smoothed with a Gaussian and
-cut at their standard deviation; what stays above are the clusters of content. The article
-or main element around nearly all text of the clusters is the content region, or, without
-one, the smallest element around all of it and all paragraphs. The result is every line of
+cut at their standard deviation; what stays above are the clusters of content. The content
+region are the outermost main and article elements that hold clusters, if these hold nearly
+all of their text, else the smallest element around all of it and all paragraphs. The result is every line of
 that region that is not furniture: so short paragraphs beside long ones are kept.
 """
 
@@ -38,6 +39,14 @@ SILENT = frozenset(
     "select textarea button datalist".split()
 )
 FURNITURE = frozenset("nav footer aside menu dialog".split())
+BLOCKS = frozenset(
+    "html head body frameset address article aside blockquote caption center dd details dialog "
+    "dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
+    "legend li listing main menu nav ol p plaintext pre search section summary table tbody td "
+    "tfoot th thead tr ul xmp".split()
+)
+CONTROLS = frozenset("input button select textarea".split())
+# elements whose end tag does not reach out of a block
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s "
     "samp small span strike strong sub sup time tt u var wbr br img".split()
@@ -58,10 +67,11 @@ _CLOSES = {
 }
 _NOT_BEYOND = frozenset("html body article section main div td th table li blockquote".split())
 
-# what an element is by itself: content; furniture unless it holds the content; readers'
-# texts, furniture unless it holds a main element or the page has nothing else; furniture
-# unless it holds a main element; furniture in any case
-CONTENT, BY_NAME, READERS, FIRM, HIDDEN = range(5)
+# what an element is by itself: content; a form, furniture if it has controls and does not hold
+# the content; furniture unless it holds a heading and a paragraph, or the content; furniture
+# unless it holds the content; readers' texts, furniture unless it holds a main element or
+# the page has nothing else; furniture unless it holds a main element; furniture in any case
+CONTENT, FORM, BY_TOPIC, BY_NAME, READERS, FIRM, HIDDEN = range(7)
 
 # Words in a class, id or role that name furniture
 NAMES = frozenset(
@@ -74,12 +84,25 @@ NAMES = frozenset(
 )
 # words that say what part of a page a named box is, but not of which kind
 PART_NAMES = frozenset(
-    "area bar block box button buttons card cards container form group icons inner item items "
-    "link links list outer panel post posts row section slot unit wrap wrapper".split()
+    "area bar block bottom box button buttons card cards container desktop fixed form global "
+    "group header icons inner item items left link links list main mobile outer page panel post "
+    "posts primary right row secondary section site slot sticky top unit wrap wrapper".split()
+)
+# words that name furniture also as part of another name, outside articles
+_IN_ANY_NAME = frozenset(
+    "navbar footer sidebar advert advertisement adverts breadcrumb breadcrumbs newsletter disqus "
+    "pagination masthead commentlist".split()
+)
+_READERS_IN_ANY_NAME = frozenset("comment comments".split())
+# words that name a topic as well: an id of one of them is no furniture around a heading and
+# a paragraph
+_TOPICS = frozenset(
+    "menu search login signup discussion social notice notices respond response responses "
+    "share sharing related promotion sponsor subscription".split()
 )
-_OUTSIDE_NAMES = frozenset(["header"])
 _READER_NAMES = frozenset("comment comments commentlist reply replies discussion disqus".split())
 _REGIONS = frozenset(["article", "main"])
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
 # elements that are one paragraph among others, or stand in one
@@ -90,12 +113,12 @@ _NAME_ENDS = re.compile(r"[^a-z]+")
 
 
 def _name_words(named: str) -> set[str]:
-    """The words of names, as they are divided and each name as one word: `side-bar`."""
-    if not named.strip():
-        return set()
-    divided = _HUMPS.sub(" ", named).lower()
-    whole = {_NAME_ENDS.sub("", name) for name in named.lower().split()}
-    return whole.union(_NAME_ENDS.split(divided))
+    """The words that names are made of."""
+    return set(_NAME_ENDS.split(_HUMPS.sub(" ", named).lower())) if named.strip() else set()
+
+
+def _is_topic(named: str) -> bool:
+    return "".join(_NAME_ENDS.split(named.strip().lower())) in _TOPICS
 
 
 def _is_named(names: str, words: frozenset[str]) -> bool:
@@ -115,11 +138,15 @@ class PageLines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         # elements: name, parent, kind of furniture; the open ones as (number, name, silent,
-        # whether it is or lies in an article or main element, whether in a form)
+        # whether it is or lies in an article or main element, the form it lies in or 0)
         self.names = ["#page"]
         self.parents = [-1]
         self.kinds = [CONTENT]
-        self.open = [(0, "#page", False, False, False)]
+        self.open = [(0, "#page", False, False, 0)]
+        # forms with controls, and what tells a topic: elements with a heading, a paragraph
+        self.controlled: set[int] = set()
+        self.headings: list[int] = []
+        self.paragraphs: list[int] = []
         self.lines: list[tuple[str, int, int]] = []
         # place of the open head, 0 if none is known
         self._head = 0
@@ -147,13 +174,18 @@ class PageLines(HTMLParser):
             return READERS if _is_named(f"{names} {named}", _READER_NAMES) else CONTENT
         # ids in an article, and of headings and paragraphs, are often made from headings
         if not outside or tag in _PARAGRAPHS:
-            if _is_named(names, _READER_NAMES):
+            named = ""
+        if _is_named(f"{names} {named}", _READER_NAMES):
+            return BY_TOPIC if _is_topic(named) and not _is_named(names, NAMES) else READERS
+        if _is_named(f"{names} {named}", NAMES):
+            return BY_TOPIC if _is_topic(named) and not _is_named(names, NAMES) else BY_NAME
+        if outside and tag not in _PARAGRAPHS:
+            words = _name_words(f"{names} {named}")
+            if words & _READERS_IN_ANY_NAME:
                 return READERS
-            return BY_NAME if _is_named(names, NAMES) else CONTENT
-        words = _name_words(f"{names} {named}")
-        if words & _READER_NAMES:
-            return READERS
-        return BY_NAME if words & NAMES or words & _OUTSIDE_NAMES or tag == "form" else CONTENT
+            if words & _IN_ANY_NAME or "header" in f"{names} {named}".lower().split():
+                return BY_NAME
+        return FORM if tag == "form" else CONTENT
 
     def _close_implied(self, tag: str) -> None:
         closes, stop = _CLOSES.get(tag, (frozenset(["p"]), _NOT_BEYOND))
@@ -178,20 +210,27 @@ class PageLines(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self._head:
             self._close_head(tag)
-        if tag not in INLINE:
-            self._end_line()
-            self._close_implied(tag)
+        # what is not shown parts nothing and closes nothing around it
+        if not self.open[-1][2]:
+            if tag in BLOCKS:
+                self._end_line()
+            if tag in BLOCKS or tag in _CLOSES:
+                self._close_implied(tag)
         self._tags += 1
         if tag == "br":
             self._parts.append(" ")
+        _, _, silent, inside, form = self.open[-1]
+        if form and tag in CONTROLS:
+            self.controlled.add(form)
         if tag in VOID:
             return
-        _, _, silent, inside, in_form = self.open[-1]
+        if tag in _HEADINGS or tag == "p":
+            (self.paragraphs if tag == "p" else self.headings).append(len(self.names))
         # the label of a control is part of it
-        silent = silent or tag in SILENT or (in_form and tag == "label")
+        silent = silent or tag in SILENT or (form > 0 and tag == "label")
         self.kinds.append(self._kind(tag, dict(attrs)))
-        inside, in_form = inside or tag in _REGIONS, in_form or tag == "form"
-        self.open.append((len(self.names), tag, silent, inside, in_form))
+        inside, form = inside or tag in _REGIONS, len(self.names) if tag == "form" else form
+        self.open.append((len(self.names), tag, silent, inside, form))
         if tag == "head":
             self._head = len(self.open) - 1
         self.names.append(tag)
@@ -203,14 +242,14 @@ class PageLines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in INLINE:
+        if tag in BLOCKS and not self.open[-1][2]:
             self._end_line()
         for place in range(len(self.open) - 1, 0, -1):
             if self.open[place][1] == tag:
                 del self.open[place:]
                 return
             # an inline end tag does not reach out of its block
-            if tag in INLINE and self.open[place][1] not in INLINE:
+            if tag in INLINE and self.open[place][1] in BLOCKS:
                 return
 
     def handle_data(self, data: str) -> None:
@@ -248,6 +287,28 @@ def _inherited(page: PageLines, own: list[bool]) -> list[bool]:
     return found
 
 
+def _resolved(page: PageLines) -> list[int]:
+    """The kinds, now that the contents of forms and of boxes named by a topic are known."""
+    kinds = list(page.kinds)
+    if BY_TOPIC in kinds:
+        none = [0.0] * len(kinds)
+        counted = (
+            _below(page, [1.0] * len(own), own) if own else none
+            for own in (page.headings, page.paragraphs)
+        )
+        held = [bool(a and b) for a, b in zip(*counted, strict=True)]
+        kinds = [
+            (CONTENT if topic else BY_NAME) if kind == BY_TOPIC else kind
+            for kind, topic in zip(kinds, held, strict=True)
+        ]
+    inside = _inherited(page, [name in _REGIONS for name in page.names]) if FORM in kinds else []
+    return [
+        # in an article, a form without controls is a frame
+        (CONTENT if inside[e] and e not in page.controlled else BY_NAME) if kind == FORM else kind
+        for e, kind in enumerate(kinds)
+    ]
+
+
 def furniture(page: PageLines) -> list[bool]:
     """Whether an element is or lies in furniture.
 
@@ -255,9 +316,9 @@ def furniture(page: PageLines) -> list[bool]:
     main or article element, or most of the ratios of the page: then the name stands for
     the layout (`content-with-sidebar`). A main element makes no part of other furniture.
     """
-    kinds = page.kinds
+    kinds = _resolved(page)
     if not any(kinds):
-        return kinds.copy()
+        return [False] * len(kinds)
     places = [element for _, _, element in page.lines]
     if "main" in page.names:
         mains = [float(name == "main") for name in page.names]
@@ -295,25 +356,26 @@ def furniture(page: PageLines) -> list[bool]:
     )
 
 
-def _region(page: PageLines, clusters: list[float], below: list[float]) -> int:
-    """The element that holds the content.
+def _regions(page: PageLines, clusters: list[float], below: list[float]) -> list[int]:
+    """The elements that hold the content.
 
-    The outermost article or main element around nearly all text of the clusters; without
-    one, the smallest element around all of it and all paragraphs and headings, as a long
-    paragraph leaves the others below the cut. A paragraph alone is no region.
+    The outermost article and main elements with clusters, if they hold nearly all text of
+    the clusters; otherwise the smallest element around all of it and all paragraphs and
+    headings, as a long paragraph leaves the others below the cut. A paragraph alone is no
+    region.
     """
-    held = max(e for e, size in enumerate(clusters) if size >= REGION_SHARE * clusters[0])
-    region, around = -1, held
-    while around >= 0:
-        if page.names[around] in _REGIONS:
-            region = around
-        around = page.parents[around]
-    if region >= 0:
-        return region
+    in_region = _inherited(page, [name in _REGIONS for name in page.names])
+    outermost = [
+        e
+        for e, name in enumerate(page.names)
+        if name in _REGIONS and not in_region[page.parents[e]] and clusters[e]
+    ]
+    if outermost and sum(clusters[e] for e in outermost) >= REGION_SHARE * clusters[0]:
+        return outermost
     region = max(e for e, size in enumerate(below) if size >= below[0])
-    while region > 0 and page.names[region] in _SINGLE:
+    while region > 0 and (page.names[region] in _SINGLE or page.names[region] not in BLOCKS):
         region = page.parents[region]
-    return region
+    return [region]
 
 
 def content_lines(page: PageLines) -> list[str]:
@@ -334,11 +396,11 @@ def content_lines(page: PageLines) -> list[str]:
         (len(text) if taken else 0.0, len(text) if taken or (paragraph[e] and not f) else 0.0)
         for (text, _, e, f), taken in zip(lines, chosen, strict=True)
     ]
-    region = _region(page, *(_below(page, size, places) for size in zip(*sizes, strict=True)))
-    inside = np.zeros(len(page.names), dtype=bool)
-    inside[region] = True
-    for element in range(region + 1, len(inside)):
-        inside[element] = inside[page.parents[element]]
+    regions = _regions(page, *(_below(page, size, places) for size in zip(*sizes, strict=True)))
+    inside = [False] * len(page.names)
+    for region in regions:
+        inside[region] = True
+    inside = _inherited(page, inside)
     return [
         text
         for text, _, element, furniture in lines

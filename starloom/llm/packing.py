@@ -1,7 +1,8 @@
 """Packing token ids into sequences of equal attention cost.
 
-Documents are tokenized and packed where they lie: each task takes its rows in blocks of
-bounded size, and no row is shuffled. Within a block
+Documents are tokenized and packed where they lie: small partitions are put together by
+their measured bytes, each task takes its rows in blocks of bounded size, and no row is
+shuffled. Within a block
 
 - a document longer than a sequence fills whole sequences first; what remains of it, and
   every shorter document, is a part to place;
@@ -30,8 +31,11 @@ from starloom.llm.tokens import BYTE_RANKS, BYTE_VOCABULARY, ByteCoder
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
-BLOCK_DOCUMENTS = 2048
+BLOCK_DOCUMENTS = 16384
 BLOCK_TOKENS = 4 << 20
+# bytes of text that a task has on average at least; a block leaves up to eleven sequences
+# that are shorter than the others, so tasks of a few documents would leave many
+TASK_BYTES = 8 << 20
 # quadratic cost of a token pair in units of the linear cost of a token: with d the width
 # of a model, a layer does about 12 d^2 work per token and 2 d per pair; here d = 2048
 PAIR_COST = 2 / (12 * 2048)
@@ -158,6 +162,9 @@ def pack_documents(
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long" + (", ids binary" if with_ids else "")
     )
+    size = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    # puts partitions together without a shuffle; more of them than that stay as they are
+    slim = slim.coalesce(max(1, -(-size // TASK_BYTES)))
     return slim.mapInArrow(_packed(vocabulary, ranks, sequence_tokens, end_id, with_ids), schema)
 
 

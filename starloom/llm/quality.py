@@ -31,6 +31,8 @@ MAX_WORD_DISTANCE = 0.24
 WORD_CHANCE = 0.3
 LEAST_CHARACTERS = 300
 LEAST_WORDS = 80
+# share of the long documents that makes a language a reference without common words
+LEAST_SHARE = 0.001
 
 # The most common words of the reference languages
 COMMON_WORDS = {
@@ -167,20 +169,30 @@ def _base(docs: DataFrame, text_col: str, lang_col: str | None) -> DataFrame:
     )
 
 
-def _distance(shares: str, reference: str) -> Column:
-    """Jensen-Shannon distance of two distributions."""
+def _distance(shares: str, reference: str | Column) -> Column:
+    """Jensen-Shannon distance of two distributions, null without one of them."""
 
     def part(p: Column, q: Column) -> Column:
         return F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(0.0)
 
     parts = F.zip_with(shares, reference, lambda p, q: (part(p, q) + part(q, p)) / 2)
     total = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
-    return F.sqrt(F.greatest(total, F.lit(0.0)))
+    # rounding may leave a little below zero; greatest() alone would make a number of a null
+    return F.when(total.isNotNull(), F.sqrt(F.greatest(total, F.lit(0.0))))
 
 
-def language_references(histograms: DataFrame) -> DataFrame:
+def _language(name: str) -> Column:
+    """`EN`, `en-GB` and ` en` are one language."""
+    return F.lower(F.trim(F.split(F.col(name), "[-_]")[0]))
+
+
+def language_references(histograms: DataFrame, every: bool = False) -> DataFrame:
     """Mean shares per reference language, one row each, from the stored histograms.
 
+    Reference languages are those with common words here; with `every`, also all others
+    that have at least one in `1 / LEAST_SHARE` of the documents long enough, so there are
+    never more than that.
+
     Documents that are long enough to be compared take part. As some of them may be junk,
     the mean is taken twice: the second time over those that are not farther from the
     first than the language's documents are on average.
@@ -196,10 +208,15 @@ def language_references(histograms: DataFrame) -> DataFrame:
         )
 
     rows = histograms.filter(
-        (F.col("n_words") >= LEAST_WORDS)
-        & (F.col("word_chars") >= LEAST_CHARACTERS)
-        & F.col("language").isin(list(COMMON_WORDS))
+        (F.col("n_words") >= LEAST_WORDS) & (F.col("word_chars") >= LEAST_CHARACTERS)
     )
+    known = F.col("language").isin(list(COMMON_WORDS))
+    if every:
+        sizes = rows.groupBy("language").agg(F.count("*").alias("size"))
+        enough = F.col("size") >= LEAST_SHARE * sizes.agg(F.sum("size")).scalar()
+        rows = rows.join(F.broadcast(sizes.filter(known | enough)), "language", "left_semi")
+    else:
+        rows = rows.filter(known)
     compared = rows.join(F.broadcast(references(rows)), "language").select(
         *rows.columns,
         (
@@ -212,8 +229,35 @@ def language_references(histograms: DataFrame) -> DataFrame:
     return references(compared.join(F.broadcast(usual), "language").filter(near))
 
 
-def _judged(measured: DataFrame, references: DataFrame) -> DataFrame:
-    compared = measured.join(F.broadcast(references), "language", "left").withColumns(
+def _listed(references: DataFrame) -> Column:
+    """The references with common words, at most as many as there are such languages."""
+    named = references.filter(F.col("language").isin(list(COMMON_WORDS)))
+    return named.agg(F.collect_list(F.struct("char_reference", "word_reference"))).scalar()
+
+
+def _nearest(listed: str) -> Column:
+    """The listed reference that a document is nearest to."""
+
+    def placed(reference: Column) -> Column:
+        chars, words = reference["char_reference"], reference["word_reference"]
+        far = _distance("char_shares", chars) + _distance("word_shares", words)
+        return F.struct(far.alias("far"), chars.alias("char"), words.alias("word"))
+
+    return F.array_min(F.transform(listed, placed))
+
+
+def _judged(measured: DataFrame, references: DataFrame, nearest: bool) -> DataFrame:
+    compared = measured.join(F.broadcast(references), "language", "left")
+    if nearest:
+        own = F.col("char_reference").isNotNull()
+        compared = compared.withColumn("listed", _listed(references))
+        compared = compared.withColumn("near", F.when(~own, _nearest("listed"))).withColumns(
+            {
+                f"{kind}_reference": F.coalesce(f"{kind}_reference", f"near.{kind}")
+                for kind in ("char", "word")
+            }
+        )
+    compared = compared.withColumns(
         {
             "char_distance": F.when(
                 F.col("word_chars") >= LEAST_CHARACTERS, _distance("char_shares", "char_reference")
@@ -232,20 +276,31 @@ def _judged(measured: DataFrame, references: DataFrame) -> DataFrame:
     return compared.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
 
 
+def _measured_and_judged(measured: DataFrame, nearest: bool, workspace: Workspace) -> DataFrame:
+    """The verdicts on the stored counts: nothing of a text is counted twice."""
+    if nearest:
+        measured = measured.withColumn("language", _language("language"))
+    references = language_references(measured.select(*HISTOGRAM_COLUMNS), every=nearest)
+    return _judged(measured, workspace.save(references, "references"), nearest)
+
+
 def quality_measures(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str | None = "lang",
     workspace: Workspace | None = None,
+    nearest: bool = False,
 ) -> DataFrame:
     """One row per document: the base counts, the two distances and the verdict `kept`.
 
     A null text has no words and fails the base rules, as an empty one does. A null
-    language, or one without a reference, leaves only the base rules. Repeated rows are
-    judged alike. An empty table gives an empty result; other columns are not read. The
-    counts are written once, without the texts, and both the references and the verdicts
-    are computed from there.
+    language, or one without a reference, leaves only the base rules and null distances. With
+    `nearest`, languages are compared without case and region, every language with enough
+    documents has a reference, and a document without one is compared with the nearest of
+    those with common words. Repeated rows are judged alike. An empty table gives an empty
+    result; other columns are not read. The counts are written once, without the texts, and
+    both the references and the verdicts are computed from there.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     columns = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
@@ -253,9 +308,7 @@ def quality_measures(
     measured = _base(docs.select(*columns), "text", "lang" if lang_col else None)
     measured = measured.withColumn("doc_id", F.col("row.doc_id")).drop("row")
     measured = workspace.save(measured, "quality")
-    histograms = measured.select(*HISTOGRAM_COLUMNS)
-    references = workspace.save(language_references(histograms), "references")
-    return _judged(measured, references).select(
+    return _measured_and_judged(measured, nearest, workspace).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -274,16 +327,16 @@ def drop_low_quality(
     text_col: str = "text",
     lang_col: str | None = "lang",
     workspace: Workspace | None = None,
+    nearest: bool = False,
 ) -> DataFrame:
     """The rows of `docs`, with all their columns, that `quality_measures` keeps.
 
-    The texts are read twice, for the histograms and for the verdicts, and never shuffled.
+    The rows are written once beside their counts; the verdicts are taken from there, so a
+    text is counted once and never shuffled.
     """
     workspace = workspace or Workspace(docs.sparkSession)
-    measured = _base(docs, text_col, lang_col)
-    histograms = workspace.save(measured.select(*HISTOGRAM_COLUMNS), "histograms")
-    references = workspace.save(language_references(histograms), "references")
-    judged = _judged(measured, references).filter("kept")
+    measured = workspace.save(_base(docs, text_col, lang_col), "measured")
+    judged = _measured_and_judged(measured, nearest, workspace).filter("kept")
     return judged.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
 
 

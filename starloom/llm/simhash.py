@@ -200,11 +200,13 @@ def components(edges: DataFrame, workspace: Workspace) -> DataFrame:
             .distinct()
         )
         # small star: a node and its smaller neighbours go to the smallest of them
-        small = star(workspace.save(large, "large-star"))
+        large = workspace.save(large, "large-star")
+        small = star(large)
         small = small.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
             small.select("a", F.col("low").alias("b"))
         )
-        current = workspace.save(small.filter("a > b").distinct(), "small-star")
+        last, current = current, workspace.save(small.filter("a > b").distinct(), "small-star")
+        workspace.release(last, large)
         after = state(current)
         if after == before:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -217,13 +219,17 @@ def _grouped(
     """Every row with its fingerprint and its group's first row (lowest id, null last)."""
     rows = workspace.save(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEY)
-    nodes = workspace.save(rows.groupBy("fp").agg(F.min(first).alias("first")), "nodes")
-    roots = components(links(nodes.select("fp"), workspace), workspace)
+    # what only the way to the groups needs goes with it
+    steps = Workspace(docs.sparkSession, workspace.root)
+    nodes = steps.save(rows.groupBy("fp").agg(F.min(first).alias("first")), "nodes")
+    roots = components(links(nodes.select("fp"), steps), steps)
     members = look_up(nodes, roots.withColumnRenamed("node", "fp"), ["fp"], BROADCAST_BYTES)
     members = members.withColumn("root", F.coalesce("root", "fp"))
     groups = members.groupBy("root").agg(F.min("first").alias("group_first"))
     members = members.join(groups, "root").select("fp", "group_first")
-    return look_up(rows, workspace.save(members, "members"), ["fp"], BROADCAST_BYTES)
+    members = workspace.save(members, "members")
+    steps.discard()
+    return look_up(rows, members, ["fp"], BROADCAST_BYTES)
 
 
 def simhash_groups(
@@ -239,7 +245,8 @@ def simhash_groups(
     links reach, the document's own included. A null text counts as empty; a text without
     words has fingerprint zero and links like any other. Rows with a null id take part and
     get the id of their group, null if the whole group has none. Repeated rows stay
-    repeated. An empty table gives an empty result; other columns are not read.
+    repeated. An empty table gives an empty result. Other columns, whatever their names and
+    types, are read for the hash by which rows with the same id are told apart.
     """
     workspace = workspace or Workspace(docs.sparkSession)
     return _grouped(docs, id_col, text_col, workspace, shingle_words).select(

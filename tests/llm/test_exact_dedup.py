@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from starloom.llm import exact_dedup
+from starloom.llm.common import table
 from starloom.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 
 SMALL = "/root/testdata/sf0.001"
@@ -84,3 +85,42 @@ def test_rows_equal_in_every_column_leave_one(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], COLUMNS)
     assert exact_duplicates(docs).count() == drop_exact_duplicates(docs).count() == 0
+
+
+AWKWARD = """doc_id long, text string, attributes map<string,int>, nested array<struct<m:map<int,string>>>,
+    __row_key_low int, __row_key_high int, `a``b` int, row string, copies int, digest string"""
+
+
+def test_columns_of_any_type_and_name(spark):
+    from starloom.llm.simhash import drop_near_duplicates, simhash_groups
+
+    text = "the same words in the same order here"
+    rows = [
+        (1, text, {"a": 1}, [({1: "x"},)], 1, 1, 1, "r", 1, "d"),
+        (2, text.upper(), {"a": 2}, None, 1, 1, 1, "r", 1, "d"),
+        (2, text, None, [], None, None, None, None, None, None),
+        (2, text, None, [], None, None, None, None, None, None),
+        (None, "other", {}, [(None,)], 1, 1, 1, "r", 1, "d"),
+    ]
+    docs = spark.createDataFrame(rows, AWKWARD).selectExpr("*", "parse_json('{\"v\": [1, 2]}') as v")
+    assert sorted(r.group_size for r in exact_duplicates(docs).collect()) == [1, 4, 4, 4, 4]
+    kept = drop_exact_duplicates(docs)
+    assert kept.columns == docs.columns and kept.count() == 2
+    assert len({r.fingerprint for r in simhash_groups(docs).collect()}) == 2
+    near = drop_near_duplicates(docs)
+    assert near.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in near.collect()) == [0, 1]
+
+
+def test_work_folders_are_released(spark, tmp_path):
+    import os
+
+    from starloom.llm.simhash import simhash_groups
+    from starloom.workspace import Workspace
+
+    workspace = Workspace(spark, str(tmp_path))
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    simhash_groups(docs, workspace=workspace)
+    left = sorted(name.rsplit("-", 1)[0] for name in os.listdir(workspace.root))
+    # the rows and their groups are read by the result, the others by nothing any more
+    assert left == ["fingerprints", "members"]

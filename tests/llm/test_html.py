@@ -138,6 +138,81 @@ def test_a_long_paragraph_does_not_drop_the_others(body, times):
     assert main_text(page) == "\n".join(block for block in blocks if block)
 
 
+@pytest.mark.parametrize(
+    "section",
+    [
+        "<section id=search>{}</section>",
+        "<div id=login>{}</div>",
+        "<section id=discussion>{}</section>",
+        "<div class='social-science'>{}</div>",
+        "<div class='story-notice-board'>{}</div>",
+        "<section id='related-to-search-engines'>{}</section>",
+    ],
+)
+def test_sections_named_by_their_topic(section):
+    body = f"<h2>Topic</h2><p>{LONG}</p>"
+    page = f"<body><nav>{LONG}</nav>{section.format(body)}<div><p>{LONG}</p><p>{LONG}</p></div><footer>{LONG}</footer>"
+    assert main_text(page) == "\n".join(["Topic", LONG, LONG, LONG])
+
+
+@pytest.mark.parametrize(
+    "box",
+    [
+        "<div id=search><input><button>Go</button> search the site</div>",
+        "<div id=login>{0} {0}</div>",
+        "<div id=comments><h3>3 comments</h3><p>{0}</p></div>",
+        "<div class=site-footer><h3>About</h3><p>{0}</p></div>",
+        "<div id=sidebar><h3>About</h3><p>{0}</p></div>",
+        "<div class='user-comments'><h3>Replies</h3><p>{0}</p></div>",
+        "<div id='cookie-notice'><h3>Cookies</h3><p>{0}</p></div>",
+        "<ul id=menu><li>{0}<li>{0}</ul>",
+        "<form><p>{0}</p><input></form>",
+    ],
+)
+def test_boxes_that_are_furniture(box):
+    page = f"<body>{box.format(LONG)}<div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(page) == f"Title\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    ("inner", "line"),
+    [
+        ("Press <button>OK</button> to go", "Press to go"),
+        ("one <svg/> two", "one two"),
+        ("one <svg><text>x</text></svg> two", "one two"),
+        ("a <input> b", "a b"),
+        ("a <picture><source><img></picture> b", "a b"),
+        ("a <script>var p = '<p>';</script> b", "a b"),
+        ("<ruby>kan<rp>(</rp><rt>ji</rt><rp>)</rp></ruby> b", "kan(ji) b"),
+        ("the <output>7</output> and <my-mark>own</my-mark> b", "the 7 and own b"),
+        ("a <select><option>x<option>y</select> b", "a b"),
+        ("a <noscript><p>x</noscript> b", "a b"),
+    ],
+)
+@pytest.mark.parametrize("region", ["article", "div"])
+def test_only_blocks_part_lines(inner, line, region):
+    page = f"<body><{region}><p>{LONG}</p><p>{inner}</p><p>{LONG}</p></{region}></body>"
+    assert main_text(page) == f"{LONG}\n{line}\n{LONG}"
+
+
+def test_a_form_in_an_article_goes_unless_it_holds_it():
+    form = "<form><p>Subscribe here</p><input name=mail><button>Go</button></form>"
+    assert main_text(f"<article><p>{LONG}</p>{form}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+    frame = f"<form><p>{LONG}</p></form>"
+    assert main_text(f"<article><p>{LONG}</p>{frame}</article>") == f"{LONG}\n{LONG}"
+    whole = f"<article><form><p>{LONG}</p><p>{LONG}</p><input></form></article>"
+    assert main_text(whole) == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("times", [1, 4, 20])
+@pytest.mark.parametrize("around", ["{}", "<main>{}</main>", "<div>{}</div>"])
+def test_articles_beside_each_other(times, around):
+    first = "<article><h2>One</h2>" + f"<p>{LONG}</p>" * times + "</article>"
+    second = f"<article><h2>Two</h2><p>{LONG}</p></article>"
+    page = f"<body><nav>{LONG}</nav>{around.format(first + second)}<footer>{LONG}</footer>"
+    assert main_text(page) == "\n".join(["One", *[LONG] * times, "Two", LONG])
+
+
 def test_a_page_of_readers_texts_only():
     page = f"<body><nav>{LONG}</nav><div class='comments-open'><article><p>{LONG}</p></article></div>"
     assert main_text(page) == LONG

@@ -21,7 +21,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_registered():
     names = registry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(names)
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in registry.oracle_sql()
 
@@ -45,7 +45,7 @@ def test_columns(stages):
 
 def test_stages_take_effect(stages):
     reports = [
-        {r.doc_id for r in quality_measures(stages[0]).collect() if r.kept},
+        {r.doc_id for r in quality_measures(stages[0], nearest=True).collect() if r.kept},
         {r.doc_id for r in exact_duplicates(stages[1]).collect() if r.kept},
         {r.doc_id for r in simhash_groups(stages[2]).collect() if r.doc_id == r.component_id},
     ]

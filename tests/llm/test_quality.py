@@ -138,3 +138,46 @@ def test_same_verdicts_in_report_and_filter(spark):
     docs = table(spark, SMALL, "documents")
     kept = {r.doc_id for r in quality_measures(docs).collect() if r.kept}
     assert {r.doc_id for r in drop_low_quality(docs).collect()} == kept
+
+
+def _junk(i):
+    return " ".join(f"{i}#{k}%$" + "&|" * (k % 3) for k in range(120))
+
+
+def test_every_language_with_nearest_references(spark):
+    """Junk goes and clean text stays whatever its language is called."""
+    docs = table(spark, MEDIUM, "documents").filter("lang = 'en'")
+    good = {r.doc_id for r in quality_measures(docs).collect() if r.kept and r.n_words >= 200}
+    clean = [r.text for r in docs.collect() if r.doc_id in good][:60]
+    names = ["en", "EN", "en-GB", " En", None, "it", ""]
+    rows = [(i, t, "en") for i, t in enumerate(clean)]
+    rows += [(10_000 + n, clean[n], lang) for n, lang in enumerate(names)]
+    rows += [(20_000 + n, _junk(n), lang) for n, lang in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in quality_measures(docs, nearest=True).collect()}
+    plain = {r.doc_id: r for r in quality_measures(docs).collect()}
+    for n, lang in enumerate(names):
+        assert found[10_000 + n].kept and not found[20_000 + n].kept
+        assert found[20_000 + n].char_distance == pytest.approx(found[20_000].char_distance)
+        # the plain rule knows a language by its exact name; without one there is no distance
+        assert plain[20_000 + n].kept == (lang != "en")
+        assert (plain[20_000 + n].char_distance is None) == (lang != "en")
+    kept = {r.doc_id for r in drop_low_quality(docs, nearest=True).collect()}
+    assert kept == {i for i, r in found.items() if r.kept}
+
+
+def test_a_language_of_the_table_has_a_reference(spark):
+    words = " ".join(f"slovo{k % 40}, {k}" for k in range(100))
+    rows = [(i, f"{words} {i}", "cs") for i in range(20)] + [(99, _junk(1), "CS")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in quality_measures(docs, nearest=True).collect()}
+    # no reference with common words is here, but the documents' own
+    assert found[0].char_distance < 0.05 and found[99].char_distance > quality.MAX_CHARACTER_DISTANCE
+    empty = quality_measures(docs.filter("doc_id < 0"), nearest=True)
+    assert empty.count() == 0
+
+
+def test_texts_are_counted_once(spark):
+    docs = table(spark, SMALL, "documents")
+    plan = drop_low_quality(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" not in plan and "regexp_replace" not in plan

@@ -185,6 +185,19 @@ def test_packing(spark, pieces):
     check_pieces(op5_packing(spark, SMALL).collect(), docs, pieces)
 
 
+@pytest.mark.parametrize("partitions", [1, 8, 200])
+def test_packing_does_not_depend_on_the_partitions(spark, partitions):
+    """Hardly any sequence is short and hardly any fitting document cut."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").repartition(partitions)
+    rows = pack_documents(docs, with_ids=False).collect()
+    filled, cut = {}, 0
+    for r in rows:
+        filled[r.sequence_id] = filled.get(r.sequence_id, 0) + r.length
+        cut += r.start == 0 and r.length < r.doc_tokens <= 2048
+    assert sum(n < 2048 for n in filled.values()) <= 0.03 * len(filled)
+    assert cut <= 0.2 * len({r.doc_id for r in rows})
+
+
 def test_packing_of_odd_rows(spark, pieces):
     docs = odd_rows(spark).filter("doc_id is null or doc_id > 2").coalesce(2)
     rows = pack_documents(docs).collect()
