@@ -19,8 +19,11 @@ from starloom.workspace import Workspace
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; a null text is rejected."""
-    return drop_low_quality(docs)
+    """Documents that the quality rules reject go; a null text is rejected.
+
+    A document of a language without a reference is compared with the nearest one.
+    """
+    return drop_low_quality(docs, nearest=True)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

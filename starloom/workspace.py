@@ -35,6 +35,7 @@ class Workspace:
         parent = (folder or shared_folder(spark)).rstrip("/")
         application = spark.sparkContext.applicationId
         self.root = f"{parent}/starloom-{application}-{uuid.uuid4().hex}"
+        self._saved: dict[int, tuple[DataFrame, str]] = {}
         files, path = self._files()
         files.mkdirs(path)
         files.deleteOnExit(path)
@@ -45,7 +46,16 @@ class Workspace:
     def save(self, rows: DataFrame, label: str) -> DataFrame:
         path = self.fresh_path(label)
         rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        saved = self.spark.read.schema(rows.schema).parquet(path)
+        self._saved[id(saved)] = saved, path
+        return saved
+
+    def release(self, *tables: DataFrame) -> None:
+        """Remove tables that `save` gave, once nothing reads from them any more."""
+        files, _ = self._files()
+        for table in tables:
+            _, path = self._saved.pop(id(table))
+            files.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
 
     def discard(self) -> None:
         """Remove this workspace's own folder once nothing reads from it any more."""
