@@ -152,7 +152,7 @@ def test_every_language_with_nearest_references(spark):
     names = ["en", "EN", "en-GB", " En", None, "it", ""]
     rows = [(i, t, "en") for i, t in enumerate(clean)]
     rows += [(10_000 + n, clean[n], lang) for n, lang in enumerate(names)]
-    rows += [(20_000 + n, _junk(n), lang) for n, lang in enumerate(names)]
+    rows += [(20_000 + n, _junk(1), lang) for n, lang in enumerate(names)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = {r.doc_id: r for r in quality_measures(docs, nearest=True).collect()}
     plain = {r.doc_id: r for r in quality_measures(docs).collect()}
