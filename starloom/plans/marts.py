@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.measures import correlation
+from starloom.operators.distinct import count_distinct_numbers
 from starloom.operators.lookup import look_up, measured_bytes
 from starloom.operators.numbering import mirror_numbers, number_rows
 from starloom.operators.rollup import add_group_total
@@ -336,7 +337,7 @@ def time_sales(star: Star) -> DataFrame:
     """Months with their sales and the total of their year, in order.
 
     The amounts are totalled by day before they meet the dates. Distinct sales are counted
-    apart from them: that shuffle holds one row per sale, with the month and the id only.
+    apart from them, in bitmaps where the ids lie close enough.
     Months are few, and years fewer: their totals are joined to the months, where the sales
     without a date form a year of their own.
     """
@@ -353,11 +354,8 @@ def time_sales(star: Star) -> DataFrame:
         {"total_revenue": "day_revenue"},
         {"present": "day_present"},
     ).withColumn("avg_order_value", F.try_divide("total_revenue", F.col("present").cast("double")))
-    orders = (
-        look_up(fact.select("sale_date_id", "sale_id"), days, ["sale_date_id"], size=size)
-        .groupBy("year", "month")
-        .agg(F.count_distinct("sale_id").alias("orders"))
-    )
+    dated = look_up(fact.select("sale_date_id", "sale_id"), days, ["sale_date_id"], size=size)
+    orders = count_distinct_numbers(dated, ["year", "month"], "sale_id", "orders")
     same_month = F.col("a.year").eqNullSafe(F.col("o.year")) & F.col("a.month").eqNullSafe(
         F.col("o.month")
     )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from starloom.operators.distinct import count_distinct_numbers
 from starloom.operators.lookup import look_up, measured_bytes
 from starloom.operators.numbering import mirror_numbers, number_rows
 from starloom.operators.pick import lowest_row_per_key, lowest_rows_per_keys
@@ -118,6 +119,38 @@ def test_lowest_row_equals_a_plain_window(spark, workspace, limit):
     assert sorted(map(repr, ours.collect())) == sorted(map(repr, plain.collect()))
 
 
+@pytest.mark.parametrize("least", [0, 10**9])
+def test_distinct_numbers(spark, least):
+    """In bitmaps and as rows: negative and missing ids, both ends of the longs, a hot id."""
+    chance = random.Random(6)
+    edges = [None, 0, -1, 1, -32768, -32767, 32767, 32768, 32769, 2**63 - 1, -(2**63)]
+    data = [
+        (chance.choice([1, 1, 2, None]), chance.choice([*edges, 7, 7, 7, chance.randint(-(10**5), 10**5)]))
+        for _ in range(5000)
+    ]
+    data += [(3, None), (3, None), (4, -5)]
+    expected = {
+        k: len({n for key, n in data if key == k and n is not None}) for k in {key for key, _ in data}
+    }
+    frame = spark.createDataFrame(data, "k int, n long").repartition(6)
+    found = count_distinct_numbers(frame, ["k"], "n", "distinct", least)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("bitmap_construct_agg" in plan) == (least == 0)
+    assert {row.k: row.distinct for row in found.collect()} == expected
+    assert found.schema["distinct"].dataType.simpleString() == "bigint"
+    assert count_distinct_numbers(frame.limit(0), ["k"], "n", "distinct", least).collect() == []
+
+
+def test_dense_numbers_travel_as_bitmaps(spark):
+    dense = spark.range(200_000).selectExpr("id div 100000 as k", "id as n")
+    sparse = spark.range(2000).selectExpr("id % 2 as k", "id * 1000003 as n")
+    for frame, bitmaps, expected in ((dense, True, [100_000] * 2), (sparse, False, [1000] * 2)):
+        found = count_distinct_numbers(frame, ["k"], "n", "distinct")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("bitmap_construct_agg" in plan) == bitmaps
+        assert [row.distinct for row in found.collect()] == expected
+
+
 @pytest.mark.parametrize("limit", [0, 10**9])
 def test_lowest_rows_of_several_keys(spark, workspace, limit):
     chance = random.Random(4)
