@@ -31,8 +31,9 @@ MAX_WORD_DISTANCE = 0.24
 WORD_CHANCE = 0.3
 LEAST_CHARACTERS = 300
 LEAST_WORDS = 80
-# share of the long documents that makes a language a reference without common words
+# share and number of the long documents that make a language a reference without common words
 LEAST_SHARE = 0.001
+LEAST_DOCUMENTS = 20
 
 # The most common words of the reference languages
 COMMON_WORDS = {
@@ -190,8 +191,8 @@ def language_references(histograms: DataFrame, every: bool = False) -> DataFrame
     """Mean shares per reference language, one row each, from the stored histograms.
 
     Reference languages are those with common words here; with `every`, also all others
-    that have at least one in `1 / LEAST_SHARE` of the documents long enough, so there are
-    never more than that.
+    that have `LEAST_DOCUMENTS` and a share of `LEAST_SHARE` of the documents long enough, so
+    there are never more than `1 / LEAST_SHARE`.
 
     Documents that are long enough to be compared take part. As some of them may be junk,
     the mean is taken twice: the second time over those that are not farther from the
@@ -213,7 +214,8 @@ def language_references(histograms: DataFrame, every: bool = False) -> DataFrame
     known = F.col("language").isin(list(COMMON_WORDS))
     if every:
         sizes = rows.groupBy("language").agg(F.count("*").alias("size"))
-        enough = F.col("size") >= LEAST_SHARE * sizes.agg(F.sum("size")).scalar()
+        share = LEAST_SHARE * sizes.agg(F.sum("size")).scalar()
+        enough = F.col("size") >= F.greatest(share, F.lit(LEAST_DOCUMENTS))
         rows = rows.join(F.broadcast(sizes.filter(known | enough)), "language", "left_semi")
     else:
         rows = rows.filter(known)
