@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starloom.functions.measures import correlation
+from starloom.operators.correlation import exact_correlation
 from starloom.operators.totals import Weighted, exact_totals
 
 
@@ -208,7 +208,7 @@ def test_three_aggregates_a_sum(spark):
 
 def correlated(spark, pairs):
     frame = spark.createDataFrame(pairs, "a double, b long")
-    return frame.agg(correlation(F.col("a"), F.col("b")).alias("c")).first().c
+    return exact_correlation(frame, "a", "b", "c").first().c
 
 
 def test_correlation_is_null_where_undefined(spark):
@@ -224,3 +224,23 @@ def test_correlation_uses_complete_pairs_only(spark):
     frame = spark.createDataFrame(pairs, "a double, b long")
     expected = frame.agg(F.corr("a", "b")).first()[0]
     assert correlated(spark, pairs + gaps) == pytest.approx(expected, abs=1e-12)
+
+
+def test_correlation_of_a_constant_decimal(spark):
+    assert correlated(spark, [(0.1, 2), (0.1, 3), (0.1, 9)]) is None
+
+
+def test_correlation_has_the_same_bits_in_any_order(spark):
+    chance = random.Random(8)
+    # far from zero beside their spread, and some that have no partner
+    pairs = [(1e6 + chance.gauss(0, 1) / 3, 10**9 + chance.randint(0, 1000)) for _ in range(4000)]
+    pairs = [(a, b + int(200 * (a - 1e6))) for a, b in pairs] + [(None, 5), (7.5, None)]
+    found = set()
+    for partitions in (1, 7, 32):
+        chance.shuffle(pairs)
+        frame = spark.createDataFrame(pairs, "a double, b long").repartition(partitions)
+        found.add(exact_correlation(frame, "a", "b", "c").first().c)
+    assert len(found) == 1
+    whole = frame.where("a is not null and b is not null").agg(F.corr("a", "b")).first()[0]
+    assert found.pop() == pytest.approx(whole, abs=1e-9)
+    assert correlated(spark, [(n / 10, -3 * n) for n in range(50)]) == pytest.approx(-1, abs=1e-12)
