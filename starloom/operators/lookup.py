@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -53,3 +53,54 @@ def look_up(
     if (measured_bytes(table) if size is None else size) <= limit:
         table = F.broadcast(table)
     return rows.join(table, list(on), "left")
+
+
+_DIGEST = ("__digest_low", "__digest_high")
+
+
+def text_digest(on: Sequence[str]) -> list[Column]:
+    """128 bits over the columns, which are not null; their borders count."""
+    return [F.xxhash64(*on), F.xxhash64(F.lit("high"), *on)]
+
+
+def look_up_covered(
+    rows: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    limit: int = BROADCAST_BYTES,
+    digest: Callable[[Sequence[str]], list[Column]] = text_digest,
+) -> DataFrame:
+    """As `look_up`, for a table that holds all values of `on` the rows have without nulls.
+
+    Beyond `limit` the rows meet the table by a digest of the `on` columns, so only the
+    digest and the columns that the reader goes on to use are shuffled. As the table covers
+    the rows, a digest that one row of the table has stands for that row's values alone.
+    This is verified by counting the digests of the table; where several rows of it share
+    one, the rows with that digest are joined by the values themselves.
+    """
+    if measured_bytes(table) <= limit:
+        return rows.join(F.broadcast(table), list(on), "left")
+    whole = F.lit(True)
+    for name in on:
+        whole = whole & F.col(name).isNotNull()
+
+    def digested(side: DataFrame) -> DataFrame:
+        parts = zip(_DIGEST, digest(on), strict=True)
+        return side.withColumns({name: F.when(whole, part) for name, part in parts})
+
+    keyed, known = digested(rows), digested(table.where(whole))
+    shared = known.groupBy(*_DIGEST).count().where("count > 1").select(*_DIGEST)
+    values = [name for name in table.columns if name not in on]
+    columns = [*on, *[name for name in rows.columns if name not in on], *values]
+
+    def by_digest(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.join(right.select(*_DIGEST, *values), list(_DIGEST), "left").select(*columns)
+
+    if shared.isEmpty():
+        return by_digest(keyed, known)
+    if measured_bytes(shared) <= limit:
+        shared = F.broadcast(shared)
+    apart, together = list(_DIGEST), keyed.join(shared, list(_DIGEST), "left_semi")
+    return by_digest(
+        keyed.join(shared, apart, "left_anti"), known.join(shared, apart, "left_anti")
+    ).unionByName(together.drop(*_DIGEST).join(table, list(on), "left").select(*columns))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.casts import date_key
-from starloom.operators.lookup import look_up
+from starloom.operators.lookup import look_up_covered
 from starloom.operators.numbering import number_rows
 from starloom.operators.pick import lowest_row_per_key, lowest_rows_per_keys
 from starloom.operators.totals import exact_totals
@@ -64,13 +64,13 @@ def product_dimension(
 ) -> DataFrame:
     """Products with the id of the supplier on the row that was kept.
 
-    A supplier with a missing column is found by no product: the join is not null-safe.
+    `suppliers` holds all that the sales name. A supplier with a missing column is found by no product: the join is not null-safe.
     """
     return with_supplier(keyed_dimension(sales, _PRODUCT_WITH_SUPPLIER, workspace), suppliers)
 
 
 def with_supplier(products: DataFrame, suppliers: DataFrame) -> DataFrame:
-    return look_up(products, suppliers, SUPPLIER.columns).select(
+    return look_up_covered(products, suppliers, SUPPLIER.columns).select(
         PRODUCT.key, *PRODUCT.attributes, SUPPLIER.key
     )
 
@@ -93,8 +93,11 @@ def date_dimension(sales: DataFrame) -> DataFrame:
 
 
 def sales_fact(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    """One row per sale. The date key is computed, so the dates need no join."""
-    return look_up(sales, stores, STORE.columns).select(
+    """One row per sale. The date key is computed, so the dates need no join.
+
+    `stores` holds all that the sales name.
+    """
+    return look_up_covered(sales, stores, STORE.columns).select(
         F.col("id").alias("sale_id"),
         date_key(F.col("sale_date")).alias("sale_date_id"),
         F.col("sale_customer_id").alias("customer_id"),

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom.operators.distinct import count_distinct_numbers
-from starloom.operators.lookup import look_up, measured_bytes
+from starloom.operators.lookup import look_up, look_up_covered, measured_bytes, text_digest
 from starloom.operators.numbering import mirror_numbers, number_rows
 from starloom.operators.pick import lowest_row_per_key, lowest_rows_per_keys
 from starloom.operators.rollup import add_group_total
@@ -214,6 +214,46 @@ def test_a_hot_key_is_split_in_a_shuffled_look_up(spark, workspace, set_conf):
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def colliding_digest(on):
+    """Texts with the same first letter share a digest."""
+    first = F.substring(F.col(on[0]), 1, 1)
+    return [F.xxhash64(first), F.xxhash64(F.lit("high"), first)]
+
+
+@pytest.mark.parametrize("digest", [text_digest, colliding_digest])
+@pytest.mark.parametrize("limit", [0, 300, 10**9])
+def test_a_covered_look_up_equals_the_plain_one(spark, set_conf, limit, digest):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    chance = random.Random(5)
+    texts = [None, "", "a", "ab", "abc", "b", "bc", "c", "é"]
+    data = [(n, chance.choice(texts), chance.choice(texts)) for n in range(400)]
+    rows = spark.createDataFrame(data, "id int, p string, q string")
+    table = rows.select("p", "q").distinct().withColumn("n", F.concat_ws("|", "p", "q"))
+    expected = rows.join(table, ["p", "q"], "left")
+    joined = look_up_covered(rows, table, ["p", "q"], limit, digest)
+    assert joined.columns == expected.columns
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, expected.collect()))
+    none = look_up_covered(rows.limit(0), table.limit(0), ["p", "q"], limit, digest)
+    assert none.collect() == [] and none.columns == expected.columns
+
+
+def test_borders_of_columns_count_in_a_digest(spark):
+    rows = spark.createDataFrame([("ab", "c"), ("a", "bc"), ("", "abc")], "p string, q string")
+    assert rows.select(*text_digest(["p", "q"])).distinct().count() == 3
+
+
+def test_a_covered_look_up_beyond_the_limit_shuffles_digests_not_texts(spark, workspace, set_conf):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = workspace.save(spark.range(100).selectExpr("id", "cast(id % 7 as string) p"), "rows")
+    table = workspace.save(rows.select("p").distinct().withColumn("n", F.length("p")), "table")
+    joined = look_up_covered(rows, table, ["p"], 0).select("id", "n")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join LeftOuter")
+    projected = [line for line in plan[join:].splitlines() if "Project" in line]
+    assert projected and all("p#" not in line.split("CASE")[0] for line in projected)
+    assert joined.agg(F.sum("n")).first()[0] == 100
+
+
 def test_measured_bytes_grow_with_text(spark):
     short = spark.createDataFrame([("a", 1)] * 10, "t string, n int")
     long = spark.createDataFrame([("a" * 1000, 1)] * 10, "t string, n int")
