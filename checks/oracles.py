@@ -341,6 +341,7 @@ _QUERIES = {
     "json_round_trip": "select * from product_sales",
     "first_documents": _first("product_sales", "product_rank", 5),
     "parquet_round_trip": "select * from fact_sales",
+    "published_star": "select * from fact_sales",
 }
 
 

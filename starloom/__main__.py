@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import argparse
+from contextlib import nullcontext
 
 from starloom.config import Settings, open_session, settings
 from starloom.plans.jobs import load_star, publish_marts
+from starloom.sinks.published import PublishedReader, PublishedTables, is_published
 from starloom.sinks.writers import (
     Writer,
     column_store_writer,
@@ -43,6 +45,13 @@ def _writer(target: str, options: Settings, truncate: bool = False) -> Writer:
     return file_writer(kind, folder)
 
 
+def _file_target(target: str) -> tuple[str, str]:
+    kind, _, folder = target.partition(":")
+    if not folder or target in ("warehouse", "column-store", "documents"):
+        raise SystemExit(f"only files can be replaced together, not {target}")
+    return kind, folder
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="starloom")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -56,6 +65,9 @@ def main(arguments: list[str] | None = None) -> None:
     marts.add_argument("--star", help="folder of Parquet star tables instead of the database")
     marts.add_argument("--to", required=True)
     for job in (star, marts):
+        job.add_argument(
+            "--together", action="store_true", help="file tables replace the old ones all at once"
+        )
         job.add_argument("--slices", type=int, help="tasks per database table (JDBC_SLICES)")
     chosen = parser.parse_args(arguments)
 
@@ -63,9 +75,17 @@ def main(arguments: list[str] | None = None) -> None:
     slices = chosen.slices or options.slices
     spark = open_session(f"starloom-{chosen.job}")
     workspace = Workspace(spark)
-    write = _writer(chosen.to, options, getattr(chosen, "truncate", False))
+    if chosen.together:
+        target = PublishedTables(spark, *_file_target(chosen.to))
+    else:
+        target = nullcontext(_writer(chosen.to, options, getattr(chosen, "truncate", False)))
+    published = None
+    if getattr(chosen, "star", None) and is_published(spark, chosen.star):
+        published = PublishedReader(spark, chosen.star)
 
     def star_table(name: str):
+        if published:
+            return published(name)
         if chosen.star:
             return spark.read.parquet(f"{chosen.star.rstrip('/')}/{name}")
         # several marts read each table: it leaves the database once
@@ -86,9 +106,11 @@ def main(arguments: list[str] | None = None) -> None:
                 column = chosen.slice_column
                 split = RangeSplit(column, slices) if column else BlockSplit(slices)
                 raw = read_table(spark, options.warehouse, options.source_table, split)
-            load_star(raw, write, workspace)
+            with target as write:
+                load_star(raw, write, workspace)
         else:
-            publish_marts(star_table, write, workspace)
+            with target as write:
+                publish_marts(star_table, write, workspace)
     finally:
         workspace.discard()
 
