@@ -338,6 +338,11 @@ _QUERIES = {
     ),
     **{f"{report}_filled": _filled(report) for report in _TEXT_COLUMNS},
     "csv_round_trip": "select * from flat_sales",
+    "split_csv_round_trip": (
+        f"select {_listed(name for name in SALES_COLUMNS if name != 'product_description')}, "
+        "product_description || chr(10) || '\"' || product_name || '\"' as product_description "
+        "from flat_sales"
+    ),
     "json_round_trip": "select * from product_sales",
     "first_documents": _first("product_sales", "product_rank", 5),
     "parquet_round_trip": "select * from fact_sales",

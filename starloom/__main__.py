@@ -7,6 +7,7 @@ from contextlib import nullcontext
 
 from starloom.config import Settings, open_session, settings
 from starloom.plans.jobs import load_star, publish_marts
+from starloom.schema import RAW_SALES
 from starloom.sinks.published import PublishedReader, PublishedTables, is_published
 from starloom.sinks.writers import (
     Writer,
@@ -17,6 +18,7 @@ from starloom.sinks.writers import (
 )
 from starloom.sources.jdbc import BlockSplit, RangeSplit, read_table
 from starloom.sources.sales_csv import read_sales_csv
+from starloom.sources.split_csv import read_split_csv
 from starloom.workspace import Workspace
 
 # the key each star table is read by in slices
@@ -58,6 +60,9 @@ def main(arguments: list[str] | None = None) -> None:
     star = jobs.add_parser("star", help="flat sales rows to star tables")
     star.add_argument("--csv", nargs="+", help="read these files instead of the source table")
     star.add_argument("--multi-line", action="store_true", help="fields hold line breaks")
+    star.add_argument(
+        "--split-multi-line", action="store_true", help="the same, with several tasks a file"
+    )
     star.add_argument("--to", default="warehouse")
     star.add_argument("--truncate", action="store_true", help="empty the old tables, keep them")
     star.add_argument("--slice-column", help="numeric or date column to read the source by")
@@ -99,7 +104,9 @@ def main(arguments: list[str] | None = None) -> None:
 
     try:
         if chosen.job == "star":
-            if chosen.csv:
+            if chosen.csv and chosen.split_multi_line:
+                raw = read_split_csv(spark, chosen.csv, RAW_SALES, workspace)
+            elif chosen.csv:
                 raw = read_sales_csv(spark, chosen.csv, chosen.multi_line)
             else:
                 # the source has text only: by default its slices are disk blocks

@@ -1,6 +1,7 @@
 """The two jobs from text files to report files, by their command line."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.fixture import flat_sales
 from starloom.__main__ import SPLIT_COLUMNS, main
@@ -40,6 +41,21 @@ def test_jobs_from_csv_to_reports(spark, workspace, tmp_path):
     assert sorted(map(repr, documents.collect())) == sorted(map(repr, got.collect()))
 
 
+def test_the_star_from_csv_with_line_breaks(spark, tmp_path):
+    lines = F.concat("product_description", F.lit("\n"), "product_name")
+    flat = flat_sales(spark, DATA).withColumn("product_description", lines)
+    save_as(flat, "csv", path=f"{tmp_path}/csv")
+    for option in ("--multi-line", "--split-multi-line"):
+        target = f"{tmp_path}/star{option}"
+        main(["star", "--csv", f"{tmp_path}/csv", option, "--to", f"parquet:{target}"])
+    for table in STAR_TABLES:
+        left, right = (
+            sorted(map(repr, spark.read.parquet(f"{tmp_path}/star{option}/{table}").collect()))
+            for option in ("--multi-line", "--split-multi-line")
+        )
+        assert left == right and left
+
+
 def test_each_star_table_is_written_once(spark, workspace, tmp_path, monkeypatch):
     """To the workspace if another table looks it up, and to the target."""
     saved, written = [], []
