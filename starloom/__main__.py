@@ -16,7 +16,7 @@ from starloom.sinks.writers import (
     file_writer,
     warehouse_writer,
 )
-from starloom.sources.jdbc import BlockSplit, RangeSplit, read_table
+from starloom.sources.jdbc import BlockSplit, QuantileSplit, RangeSplit, read_table
 from starloom.sources.sales_csv import read_sales_csv
 from starloom.sources.split_csv import read_split_csv
 from starloom.workspace import Workspace
@@ -65,6 +65,9 @@ def main(arguments: list[str] | None = None) -> None:
     )
     star.add_argument("--to", default="warehouse")
     star.add_argument("--truncate", action="store_true", help="empty the old tables, keep them")
+    star.add_argument(
+        "--slice-quantiles", action="store_true", help="slices of equal rows, not equal width"
+    )
     star.add_argument("--slice-column", help="numeric or date column to read the source by")
     marts = jobs.add_parser("marts", help="star tables to reports")
     marts.add_argument("--star", help="folder of Parquet star tables instead of the database")
@@ -111,7 +114,8 @@ def main(arguments: list[str] | None = None) -> None:
             else:
                 # the source has text only: by default its slices are disk blocks
                 column = chosen.slice_column
-                split = RangeSplit(column, slices) if column else BlockSplit(slices)
+                by_column = QuantileSplit if chosen.slice_quantiles else RangeSplit
+                split = by_column(column, slices) if column else BlockSplit(slices)
                 raw = read_table(spark, options.warehouse, options.source_table, split)
             with target as write:
                 load_star(raw, write, workspace)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,40 @@ class BlockSplit:
     partitions: int
 
 
+@dataclass(frozen=True)
+class QuantileSplit:
+    """Read in slices of equal numbers of rows, by the quantiles of a numeric or date column.
+
+    For a sparse or skewed column, where equal widths would leave most rows to a few
+    slices. The store sorts the column once to find its quantiles (an index spares that).
+    Rows that share one value stay in one slice; for those, read by blocks.
+    """
+
+    column: str
+    partitions: int
+
+
+def quantile_conditions(column: str, quantiles: Sequence) -> list[str]:
+    """Ranges between the quantiles that hold every row once, nulls in the first one.
+
+    The quantiles are numbers, dates or timestamps, ascending.
+    """
+    bounds = [_literal(bound) for bound in dict.fromkeys(quantiles) if bound is not None]
+    if not bounds:
+        return ["1 = 1"]
+    between = [
+        f"{column} >= {low} AND {column} < {high}"
+        for low, high in zip(bounds, bounds[1:], strict=False)
+    ]
+    return [f"{column} < {bounds[0]} OR {column} IS NULL", *between, f"{column} >= {bounds[-1]}"]
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def block_conditions(blocks: int, partitions: int) -> list[str]:
     """Ranges of row addresses that hold every row once; the last one has no end."""
     slices = max(1, min(partitions, blocks))
@@ -42,15 +78,16 @@ def read_table(
     spark: SparkSession,
     store: JdbcStore,
     table: str,
-    split: RangeSplit | BlockSplit | None = None,
+    split: RangeSplit | BlockSplit | QuantileSplit | None = None,
 ) -> DataFrame:
     """One task per slice; without a split, one task reads the table."""
-    if isinstance(split, BlockSplit):
+    if isinstance(split, BlockSplit | QuantileSplit):
+        if isinstance(split, BlockSplit):
+            conditions = block_conditions(_blocks(spark, store, table), split.partitions)
+        else:
+            conditions = quantile_conditions(split.column, _quantiles(spark, store, table, split))
         return spark.read.jdbc(
-            store.url,
-            table,
-            predicates=block_conditions(_blocks(spark, store, table), split.partitions),
-            properties=store.properties(),
+            store.url, table, predicates=conditions, properties=store.properties()
         )
     reader = spark.read.format("jdbc").options(**store.options(table))
     if split is None:
@@ -73,6 +110,20 @@ def _bounds(spark: SparkSession, store: JdbcStore, table: str, column: str) -> t
     return row[0], row[1]
 
 
+def _quantiles(spark: SparkSession, store: JdbcStore, table: str, split: QuantileSplit) -> list:
+    """The values that part the rows into slices, found by the database in one sort."""
+    shares = ", ".join(str(n / split.partitions) for n in range(1, split.partitions))
+    if not shares:
+        return []
+    query = (
+        f"SELECT unnest(percentile_disc(ARRAY[{shares}]::float8[]) "
+        f"WITHIN GROUP (ORDER BY {split.column})) AS bound FROM {table}"
+    )
+    found = spark.read.format("jdbc").options(**store.options(), query=query).load().collect()
+    # the database gives them in order; the rows of a query have none
+    return sorted(row[0] for row in found if row[0] is not None)
+
+
 def _blocks(spark: SparkSession, store: JdbcStore, table: str) -> int:
     query = (
         f"SELECT pg_relation_size('{table}') / current_setting('block_size')::bigint AS blocks"

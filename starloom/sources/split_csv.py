@@ -14,18 +14,23 @@ The records are then parsed by Spark's own CSV functions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.lookup import BROADCAST_BYTES, measured_bytes
 from starloom.workspace import Workspace
 
+# executors need no copy of this package: what runs there travels by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _BLOCK = ["file", "start"]
 _WHOLE = "text string, header boolean"
 _CUT = "file string, start long, text string, header boolean, piece int"
@@ -48,7 +53,7 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def _blocks(lines: DataFrame) -> DataFrame:
     """Per block whether it begins within a quoted field."""
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("line") - F.octet_length(F.replace("line", F.lit('"'), F.lit("")))
     counted = lines.groupBy(*_BLOCK).agg(F.sum(quotes.cast("long")).alias("quotes"))
     before = (
         Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -136,12 +141,42 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield block, None
 
 
+def _check(texts: pa.Array) -> None:
+    """Quotes open after a comma or another quote, and close before one.
+
+    In a text with an even number of quotes every other one opens; a doubled quote closes
+    and opens again.
+    """
+    _, offsets, data = texts.buffers()
+    if data is None:
+        return
+    offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)
+    quotes = np.flatnonzero(data[offsets[0] : offsets[-1]] == ord('"')) + offsets[0]
+    if not len(quotes):
+        return
+    record = np.searchsorted(offsets, quotes, side="right") - 1
+    first = np.searchsorted(quotes, offsets[:-1])
+    opens = (np.arange(len(quotes)) - first[record]) % 2 == 0
+    begin, end = offsets[record], offsets[record + 1]
+    before = np.where(quotes > begin, data[quotes - 1], ord(","))
+    after = np.where(quotes + 1 < end, data[np.minimum(quotes + 1, len(data) - 1)], ord(","))
+    at_end = (after == ord("\r")) & (quotes + 2 == end)
+    borders = [ord(","), ord('"')]
+    sound = np.where(opens, np.isin(before, borders), np.isin(after, borders) | at_end)
+    if not sound.all():
+        text = texts[int(record[np.argmin(sound)])].as_py()
+        raise ValueError(f"malformed CSV record: {text[:200]}")
+
+
 def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, lines in _by_block(batches):
         texts = [] if lines is None else block.add(lines)
         block.cut.clear()
         if len(texts):
-            columns = [pa.array(texts, pa.string()), pa.array(block.headers(texts))]
+            texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+            _check(texts)
+            columns = [texts, pa.array(block.headers(texts))]
             yield pa.RecordBatch.from_arrays(columns, ["text", "header"])
 
 
@@ -168,6 +203,22 @@ def _cut_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+def _without_return(name: str) -> Column:
+    text = F.col(name)
+    return F.when(F.endswith(text, F.lit("\r")), F.left(text, F.length(text) - 1)).otherwise(text)
+
+
+def _checked(text: Column) -> Column:
+    """The same for a stitched record, which may also end within a field."""
+    # without its quoted parts a sound record has quotes at the borders of fields alone;
+    # two quoted parts in a row are one field with a doubled quote
+    bare = F.regexp_replace(F.regexp_replace(text, '"[^"]*"', '"'), '"+', '"')
+    even = F.length(F.regexp_replace(text, '[^"]', "")) % 2 == 0
+    message = F.concat(F.lit("malformed CSV record: "), F.left(text, F.lit(200)))
+    unsound = bare.rlike('[^,]"|"[^,]') | ~even
+    return F.when(unsound, F.raise_error(message)).otherwise(text)
+
+
 def _records(
     spark: SparkSession, paths: list[str], workspace: Workspace, limit: int
 ) -> DataFrame:
@@ -202,6 +253,7 @@ def _records(
         )
         .select(F.array_join(F.col("parts.text"), "\n").alias("text"), "header")
     )
+    stitched = stitched.select(_checked(_without_return("text")).alias("text"), "header")
     return whole.unionByName(stitched)
 
 
@@ -222,19 +274,8 @@ def read_split_csv(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     records = _records(spark, paths, workspace, limit)
-    records = records.where(~F.col("header")).select(
-        F.regexp_replace("text", r"\r\z", "").alias("text")
-    )
+    records = records.where(~F.col("header")).select(_without_return("text").alias("text"))
     records = records.where("text != ''")
-    # without its quoted parts a sound record has quotes at the borders of fields alone
-    bare = F.regexp_replace("text", '"[^"]*"', '"')
-    # two quoted parts in a row are one field with a doubled quote
-    unsound = F.regexp_replace(bare, '"+', '"').rlike('[^,]"|"[^,]') | (
-        F.length(F.regexp_replace("text", '[^"]', "")) % 2 == 1
-    )
-    checked = F.when(
-        unsound, F.raise_error(F.concat(F.lit("malformed CSV record: "), F.left("text", F.lit(200))))
-    ).otherwise(F.col("text"))
     options = {
         "quote": '"',
         "escape": '"',
@@ -245,5 +286,5 @@ def read_split_csv(
         "maxCharsPerColumn": "-1",
     }
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv(checked, columns, options)
+    parsed = F.from_csv("text", columns, options)
     return records.select(parsed.alias("row")).select("row.*")

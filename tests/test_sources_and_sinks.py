@@ -14,7 +14,14 @@ from starloom.sinks.writers import (
     save_as,
     warehouse_writer,
 )
-from starloom.sources.jdbc import BlockSplit, RangeSplit, block_conditions, read_table
+from starloom.sources.jdbc import (
+    BlockSplit,
+    QuantileSplit,
+    RangeSplit,
+    block_conditions,
+    quantile_conditions,
+    read_table,
+)
 from starloom.sources.sales_csv import read_sales_csv
 from starloom.workspace import Workspace, shared_folder
 
@@ -126,6 +133,47 @@ def test_block_conditions_hold_every_row_once(spark, blocks, partitions):
     assert not sizes or max(sizes) - min(sizes) <= 1
 
 
+@pytest.mark.parametrize("kind", ["long", "decimal(20,0)", "date", "timestamp"])
+def test_quantile_conditions_hold_every_row_once(spark, kind):
+    # sparse and skewed: squares of squares, a third of the rows share one value, some have none
+    numbers = [n**4 for n in range(60)] + [81] * 30 + [None] * 5
+    rows = spark.createDataFrame([(n,) for n in numbers], "n long")
+    values = {"date": "date_add(date'1970-01-01', cast(n div 1000 as int))", "timestamp": "timestamp_seconds(n)"}
+    rows = rows.selectExpr(f"{values.get(kind, f'cast(n as {kind})')} as k").cache()
+    ordered = sorted(row.k for row in rows.collect() if row.k is not None)
+    bounds = [ordered[len(ordered) * n // 8] for n in range(1, 8)]
+    conditions = quantile_conditions("k", bounds)
+    parts = [rows.where(condition).collect() for condition in conditions]
+    assert sorted(map(repr, sum(parts, []))) == sorted(map(repr, rows.collect()))
+    # a slice holds its share, beside the rows of one value
+    common = max(ordered.count(bound) for bound in bounds)
+    assert max(map(len, parts)) <= len(numbers) // 8 + common + 5
+    rows.unpersist()
+
+
+def test_quantile_conditions_without_bounds(spark):
+    assert quantile_conditions("k", []) == ["1 = 1"] == quantile_conditions("k", [None])
+    assert quantile_conditions("k", [4, 4]) == ["k < 4 OR k IS NULL", "k >= 4"]
+
+
+def test_a_table_is_read_by_quantiles():
+    spark, seen = recorded_reader(None)
+    found = spark.read.format.return_value.load.return_value.collect
+    found.return_value = [(30,), (10,), (None,)]
+    read_table(spark, STORE, "star.fact_sales", QuantileSplit("sale_id", 4))
+    assert seen[0]["query"] == (
+        "SELECT unnest(percentile_disc(ARRAY[0.25, 0.5, 0.75]::float8[]) "
+        "WITHIN GROUP (ORDER BY sale_id)) AS bound FROM star.fact_sales"
+    )
+    (url, table), named = spark.read.jdbc.call_args
+    assert (url, table) == (STORE.url, "star.fact_sales")
+    assert named["predicates"] == [
+        "sale_id < 10 OR sale_id IS NULL",
+        "sale_id >= 10 AND sale_id < 30",
+        "sale_id >= 30",
+    ]
+
+
 def recorded_reader(bounds):
     """A session whose reader notes its options; there is no database to read from."""
     spark, seen = MagicMock(), []

@@ -91,7 +91,12 @@ def test_a_record_over_many_blocks(spark, workspace, tmp_path, set_conf):
         '1,"a\n2,b,c\n3,d,e',
     ],
 )
-def test_rows_that_cannot_be_told_apart_stop_the_job(spark, workspace, tmp_path, body):
+@pytest.mark.parametrize("block", ["8B", "1MB"])
+def test_rows_that_cannot_be_told_apart_stop_the_job(
+    spark, workspace, tmp_path, set_conf, body, block
+):
+    set_conf("spark.sql.files.maxPartitionBytes", block)
+    set_conf("spark.sql.files.openCostInBytes", "0")
     (tmp_path / "a.csv").write_text(f"{HEADER}\n{body}\n")
     with pytest.raises(Exception, match="(?i)malformed"):
         read_split_csv(spark, str(tmp_path), SCHEMA, workspace).collect()
