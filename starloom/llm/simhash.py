@@ -14,6 +14,11 @@ that many different fingerprints share (near copies by the thousand) are looked
 finer key: the other half is split in two quarters, of which one again differs in at most
 one bit, and the key carries that quarter's value.
 
+Fingerprints that differ in one bit are put together first, by an equi-join on the whole
+value, and what follows looks for links between these clusters alone: keys that hold one
+cluster are left out before the join, and a pair of clusters is one link. So near copies by
+the thousand, which are mostly one bit from each other, do not make links in pairs.
+
 Links between fingerprints become groups by alternating large-star and small-star steps,
 each written to the shared folder, until nothing changes.
 """
@@ -104,9 +109,15 @@ def _piece(fp: Column, shift: int, bits: int) -> Column:
 
 def _ball(value: Column, bits: int) -> Column:
     """The value itself and every value with one of its 0 bits set."""
-    ones = F.array(*[F.lit(1 << bit) for bit in range(bits)])
+    return F.concat(F.array(value), _one_more(value, range(bits)))
+
+
+def _one_more(value: Column, bits: range) -> Column:
+    """Every value with one more of these bits set."""
+    # bit 63 is the sign of a long
+    ones = F.array(*[F.lit(1 << bit if bit < 63 else -(1 << 63)) for bit in bits])
     unset = F.filter(ones, lambda one: value.bitwiseAND(one) == 0)
-    return F.concat(F.array(value), F.transform(unset, lambda one: value + one))
+    return F.transform(unset, lambda one: value.bitwiseOR(one))
 
 
 def _both_ways(value: Column, bits: int) -> Column:
@@ -115,58 +126,112 @@ def _both_ways(value: Column, bits: int) -> Column:
     return F.concat(F.array(value), F.transform(ones, lambda one: value.bitwiseXOR(one)))
 
 
+def _entries(nodes: DataFrame, *others: str) -> DataFrame:
+    """Both indexes: a row for each half of each fingerprint."""
+    fp = F.col("fp")
+    halves = F.explode(F.array(F.lit(0), F.lit(1))).alias("half")
+    value = F.when(F.col("half") == 0, _piece(fp, 32, 32)).otherwise(_piece(fp, 0, 32))
+    return nodes.select("fp", *others, halves).withColumn("value", value)
+
+
+def shared_values(nodes: DataFrame, workspace: Workspace) -> DataFrame:
+    """half, value, count: half values that several fingerprints have."""
+    counts = _entries(nodes).groupBy("half", "value").count()
+    return workspace.save(counts.filter("count > 1"), "shared")
+
+
+def one_bit_links(nodes: DataFrame, shared: DataFrame) -> DataFrame:
+    """The pairs (a, b) of fingerprints that differ in one bit, each once.
+
+    The half without that bit is a shared value, so other fingerprints need no probes. One
+    of the two has a 0 there: at most 32 links a fingerprint, however many are alike.
+    """
+    alike = _entries(nodes).join(shared, ["half", "value"], "left_semi").select("fp", "half")
+    fp = F.col("fp")
+    lower, upper = _one_more(fp, range(32)), _one_more(fp, range(32, 64))
+    probes = alike.select(
+        fp.alias("a"), "half", F.explode(F.when(F.col("half") == 0, lower).otherwise(upper)).alias("fp")
+    )
+    return probes.join(alike, ["half", "fp"]).select("a", fp.alias("b"))
+
+
 def links(nodes: DataFrame, workspace: Workspace, crowded: int = CROWDED) -> DataFrame:
     """All pairs (a, b) of different fingerprints of `nodes` within 3 bits, unordered.
 
     A pair may come more than once.
     """
-    fp = F.col("fp")
-    halves = F.explode(F.array(F.lit(0), F.lit(1))).alias("half")
-    entries = workspace.save(
-        nodes.select("fp", halves).select(
-            "fp",
-            "half",
-            F.when(F.col("half") == 0, _piece(fp, 32, 32)).otherwise(_piece(fp, 0, 32)).alias("value"),
-        ),
-        "entries",
-    )
+    alone = nodes.select("fp", F.col("fp").alias("cluster"))
+    return cluster_links(alone, shared_values(nodes, workspace), workspace, crowded)
+
+
+def cluster_links(
+    nodes: DataFrame, shared: DataFrame, workspace: Workspace, crowded: int = CROWDED
+) -> DataFrame:
+    """Pairs (a, b) of clusters of which some fingerprints are within 3 bits, unordered.
+
+    `nodes` has fingerprints and their clusters. Every such pair comes, maybe more than once.
+    """
+    entries = _entries(nodes, "cluster")
     probes = entries.select(
-        F.col("fp").alias("other"), "half", F.explode(_ball(F.col("value"), 32)).alias("value")
-    )
-    dense = workspace.save(
-        entries.groupBy("half", "value").count().filter(F.col("count") > crowded).drop("count"),
-        "crowded",
+        F.col("fp").alias("other"),
+        F.col("cluster").alias("other_cluster"),
+        "half",
+        F.explode(_ball(F.col("value"), 32)).alias("value"),
     )
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))).between(1, MAX_BITS)
     key = ["half", "value"]
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= MAX_BITS
+    dense = shared.filter(F.col("count") > crowded).select(*key)
     has_dense = not dense.isEmpty()
     sparse = entries.join(dense, key, "left_anti") if has_dense else entries
-    found = sparse.join(probes, key).filter(close).select("fp", "other")
+    found = sparse.join(probes, key)
     if has_dense:
-        found = found.unionByName(_crowded_links(entries, probes, dense).filter(close))
-    return found.select(F.col("fp").alias("a"), F.col("other").alias("b"))
+        found = found.select(*_FOUND).unionByName(
+            _crowded_pairs(entries, probes, dense, workspace).select(*_FOUND)
+        )
+    return found.filter(close & (F.col("cluster") != F.col("other_cluster"))).select(
+        F.col("cluster").alias("a"), F.col("other_cluster").alias("b")
+    )
+
+
+_FOUND = ("fp", "other", "cluster", "other_cluster")
 
 
-def _crowded_links(entries: DataFrame, probes: DataFrame, dense: DataFrame) -> DataFrame:
+def _mixed(
+    entries: DataFrame, probes: DataFrame, key: list[str], workspace: Workspace
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides at the keys where they hold more than one cluster; others link nothing."""
+    seen = entries.select(*key, "cluster").unionByName(
+        probes.select(*key, F.col("other_cluster").alias("cluster"))
+    )
+    spread = seen.groupBy(*key).agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
+    keys = workspace.save(spread.filter("low < high").select(*key), "mixed")
+    return entries.join(keys, key, "left_semi"), probes.join(keys, key, "left_semi")
+
+
+def _crowded_pairs(
+    entries: DataFrame, probes: DataFrame, dense: DataFrame, workspace: Workspace
+) -> DataFrame:
     key = ["half", "value"]
+    entries, probes = (side.join(dense, key, "left_semi") for side in (entries, probes))
+    entries, probes = _mixed(entries, probes, key, workspace)
 
     def quarters(rows: DataFrame, name: str, both: bool) -> DataFrame:
         fp = F.col(name)
         rest = F.when(F.col("half") == 0, _piece(fp, 0, 32)).otherwise(_piece(fp, 32, 32))
-        rows = rows.join(dense, key, "left_semi").withColumn("rest", rest)
+        rows = rows.withColumn("rest", rest)
         rows = rows.withColumn("quarter", F.explode(F.array(F.lit(0), F.lit(16))))
         fine = F.when(F.col("quarter") == 0, F.col("rest").bitwiseAND(F.lit(0xFFFF))).otherwise(
             F.shiftright("rest", 16)
         )
         values = F.explode(_both_ways(fine, 16)) if both else fine
-        return rows.select(name, *key, "quarter", values.alias("fine"))
+        return rows.withColumn("fine", values).drop("rest")
 
     # which side has the 0 in the half says nothing about the quarter: both ways here
-    return (
-        quarters(entries, "fp", False)
-        .join(quarters(probes, "other", True), [*key, "quarter", "fine"])
-        .select("fp", "other")
+    finer = [*key, "quarter", "fine"]
+    entries, probes = _mixed(
+        quarters(entries, "fp", False), quarters(probes, "other", True), finer, workspace
     )
+    return entries.join(probes, finer)
 
 
 def components(edges: DataFrame, workspace: Workspace) -> DataFrame:
@@ -222,9 +287,15 @@ def _grouped(
     # what only the way to the groups needs goes with it
     steps = Workspace(docs.sparkSession, workspace.root)
     nodes = steps.save(rows.groupBy("fp").agg(F.min(first).alias("first")), "nodes")
-    roots = components(links(nodes.select("fp"), steps), steps)
-    members = look_up(nodes, roots.withColumnRenamed("node", "fp"), ["fp"], BROADCAST_BYTES)
-    members = members.withColumn("root", F.coalesce("root", "fp"))
+    shared = shared_values(nodes, steps)
+    near = components(one_bit_links(nodes, shared), steps)
+    near = near.withColumnsRenamed({"node": "fp", "root": "cluster"})
+    nodes = look_up(nodes, near, ["fp"], BROADCAST_BYTES)
+    nodes = steps.save(nodes.withColumn("cluster", F.coalesce("cluster", "fp")), "clusters")
+    roots = components(cluster_links(nodes, shared, steps), steps)
+    roots = roots.withColumnRenamed("node", "cluster")
+    members = look_up(nodes, roots, ["cluster"], BROADCAST_BYTES)
+    members = members.withColumn("root", F.coalesce("root", "cluster"))
     groups = members.groupBy("root").agg(F.min("first").alias("group_first"))
     members = members.join(groups, "root").select("fp", "group_first")
     members = workspace.save(members, "members")

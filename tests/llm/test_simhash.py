@@ -5,7 +5,16 @@ import pytest
 from xxhash import xxh64_intdigest
 
 from starloom.llm import simhash
-from starloom.llm.simhash import components, drop_near_duplicates, fingerprint, links, simhash_groups
+from starloom.llm.simhash import (
+    cluster_links,
+    components,
+    drop_near_duplicates,
+    fingerprint,
+    links,
+    one_bit_links,
+    shared_values,
+    simhash_groups,
+)
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -78,6 +87,62 @@ def test_links_are_all_close_pairs(spark, workspace, crowded):
     assert pairs == expected
 
 
+def cloud(count, bits, seed):
+    """Different fingerprints at most `bits` bits from a centre."""
+    draw = random.Random(seed)
+    centre, prints = draw.getrandbits(64), set()
+    while len(prints) < count:
+        value = centre
+        for bit in draw.sample(range(64), draw.randint(1, bits)):
+            value ^= 1 << bit
+        prints.add(value)
+    return sorted(prints)
+
+
+def test_one_bit_links(spark, workspace):
+    prints = sorted({*near_prints(300, 9), *cloud(200, 2, 3), 1, 1 << 63, 3 << 62})
+    expected = {
+        frozenset((p, p ^ (1 << bit))) for p in prints for bit in range(64) if p ^ (1 << bit) in prints
+    }
+    nodes = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    found = one_bit_links(nodes, shared_values(nodes, workspace)).collect()
+    mask = (1 << 64) - 1
+    assert len(found) == len(expected)
+    assert {frozenset((r.a & mask, r.b & mask)) for r in found} == expected
+
+
+@pytest.mark.parametrize("crowded", [0, 2, 64])
+def test_clusters_are_linked_as_their_fingerprints(spark, workspace, crowded):
+    # clusters that are no components of one bit, so that every kind of key is mixed
+    prints = sorted({*near_prints(200, 4), *cloud(200, 4, 8), *cloud(150, 3, 9)})
+    cluster = {p: signed(prints[i - i % 3]) for i, p in enumerate(prints)}
+    expected = {
+        frozenset((cluster[p], cluster[q]))
+        for i, p in enumerate(prints)
+        for q in prints[:i]
+        if (p ^ q).bit_count() <= 3 and cluster[p] != cluster[q]
+    }
+    nodes = spark.createDataFrame([(signed(p), cluster[p]) for p in prints], "fp long, cluster long")
+    found = cluster_links(nodes, shared_values(nodes, workspace), workspace, crowded).collect()
+    assert {frozenset((r.a, r.b)) for r in found} == expected
+
+
+def test_near_copies_make_links_in_proportion(spark, workspace):
+    counts = []
+    for count in (1000, 4000):
+        nodes = spark.createDataFrame([(signed(p),) for p in cloud(count, 3, count)], "fp long")
+        shared = shared_values(nodes, workspace)
+        near = one_bit_links(nodes, shared)
+        roots = components(near, workspace).withColumnsRenamed({"node": "fp", "root": "cluster"})
+        nodes = nodes.join(roots, "fp", "left").selectExpr("fp", "coalesce(cluster, fp) as cluster")
+        apart = cluster_links(nodes, shared, workspace).distinct()
+        counts.append((near.count(), apart.count()))
+    (few_near, few_apart), (many_near, many_apart) = counts
+    # all pairs within three bits would be sixteen times as many
+    assert many_near <= 32 * 4000
+    assert many_near + many_apart <= 8 * (few_near + few_apart)
+
+
 def test_components_of_chains_and_stars(spark, workspace):
     draw = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 200) if i % 50 != 49]
