@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.measures import correlation
+from starloom.operators.correlation import correlation
 from starloom.operators.distinct import count_distinct_numbers
 from starloom.operators.lookup import look_up, measured_bytes
 from starloom.operators.numbering import mirror_numbers, number_rows
@@ -56,7 +56,8 @@ class Mart:
     columns: tuple[str, ...]
     ranks: tuple[Rank, ...] = ()
     rollups: tuple[Rollup, ...] = ()
-    overall: tuple[tuple[str, Callable[[], Column]], ...] = ()
+    # a figure over all rows: a table of one row and the column named first
+    overall: tuple[tuple[str, Callable[[DataFrame, str], DataFrame]], ...] = ()
 
 
 def _sums_and_means(rows: DataFrame, by: list[str], amount: str, total: str, mean: str) -> DataFrame:
@@ -247,7 +248,7 @@ PRODUCT_QUALITY = Mart(
     overall=(
         (
             "rating_sales_corr",
-            lambda: correlation(F.col("product_rating"), F.col("total_sales_qty")),
+            lambda rows, output: correlation(rows, "product_rating", "total_sales_qty", output),
         ),
     ),
 )
@@ -276,8 +277,8 @@ def _with_totals(rows: DataFrame, mart: Mart, source: DataFrame, star: Star) ->
         over = source if rollup.table is None else star[rollup.table]
         rows = add_group_total(rows, _group_total(over, rollup), rollup.by, star.workspace)
     for output, figure in mart.overall:
-        # an aggregate without groups is one value, put into the plan as a scalar subquery
-        rows = rows.withColumn(output, source.agg(figure()).scalar())
+        # a table of one value is put into the plan as a scalar subquery
+        rows = rows.withColumn(output, figure(source, output).scalar())
     return rows.select(*mart.columns)
 
 
@@ -328,9 +329,10 @@ def rollup_alone(mart: Mart, output: str, star: Star) -> DataFrame:
     return _group_total(source, rollup)
 
 
-def overall_alone(mart: Mart, star: Star) -> DataFrame:
-    """The overall figures of a mart as one row."""
-    return mart.base(star).agg(*[figure().alias(output) for output, figure in mart.overall])
+def overall_alone(mart: Mart, output: str, star: Star) -> DataFrame:
+    """One figure over all rows of a mart; they are written, as it reads them several times."""
+    (figure,) = [f for name, f in mart.overall if name == output]
+    return figure(star.workspace.save(mart.base(star), mart.table), output)
 
 
 def time_sales(star: Star) -> DataFrame:

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starloom.functions.measures import correlation
+from starloom.operators.correlation import correlation
 from starloom.operators.totals import Weighted, exact_totals
 
 
@@ -206,9 +206,13 @@ def test_three_aggregates_a_sum(spark):
     assert plan.count("partial_sum(") == 3 and len(plan) < 20_000
 
 
+def correlated_frame(frame):
+    return correlation(frame, "a", "b", "c").first().c
+
+
 def correlated(spark, pairs):
     frame = spark.createDataFrame(pairs, "a double, b long")
-    return frame.agg(correlation(F.col("a"), F.col("b")).alias("c")).first().c
+    return correlated_frame(frame)
 
 
 def test_correlation_is_null_where_undefined(spark):
@@ -224,3 +228,51 @@ def test_correlation_uses_complete_pairs_only(spark):
     frame = spark.createDataFrame(pairs, "a double, b long")
     expected = frame.agg(F.corr("a", "b")).first()[0]
     assert correlated(spark, pairs + gaps) == pytest.approx(expected, abs=1e-12)
+
+
+def exact_correlation(pairs):
+    xs, ys = ([Fraction(p[side]) for p in pairs] for side in (0, 1))
+    mean_x, mean_y = sum(xs) / len(xs), sum(ys) / len(ys)
+    xx, yy = sum((x - mean_x) ** 2 for x in xs), sum((y - mean_y) ** 2 for y in ys)
+    xy = sum((x - mean_x) * (y - mean_y) for x, y in zip(xs, ys, strict=True))
+    return math.sqrt(xy * xy / (xx * yy)) * (1 if xy > 0 else -1)
+
+
+@pytest.mark.parametrize("kind", ["plain", "far from zero", "one far away", "huge", "tiny"])
+def test_correlation_of_any_size_has_the_same_bits_in_any_order(spark, kind):
+    draw = random.Random(kind)
+    pairs = []
+    for _ in range(500):
+        x = draw.gauss(0, 1)
+        y = x + draw.gauss(0, 2)
+        if kind == "far from zero":
+            x, y = x + 1e9, y - 1e7
+        elif kind == "huge":
+            x, y = x * 4e307, y * 1e300
+        elif kind == "tiny":
+            x, y = x * 1e-300, y * 1e-200
+        pairs.append((x, y))
+    if kind == "one far away":
+        pairs.append((1e12, 3.0))
+    found = set()
+    for partitions in (1, 7, 32):
+        draw.shuffle(pairs)
+        frame = spark.createDataFrame(pairs, "a double, b double").repartition(partitions)
+        found.add(correlated_frame(frame))
+    assert len(found) == 1
+    assert found.pop() == pytest.approx(exact_correlation(pairs), abs=1e-9)
+
+
+def test_correlation_of_odd_values(spark):
+    odd = [(float("nan"), 1.0), (math.inf, 1.0), (1.0, -math.inf)]
+    for pair in odd:
+        frame = spark.createDataFrame([(1.0, 2.0), (2.0, 5.0), pair], "a double, b double")
+        assert math.isnan(correlated_frame(frame))
+    # a constant whose mean is rounded, and differences of one last bit
+    frame = spark.createDataFrame([(0.1, float(k)) for k in range(7)], "a double, b double")
+    assert correlated_frame(frame) is None
+    bit = math.ulp(1.0)
+    frame = spark.createDataFrame([(1 + k * bit, float(k)) for k in range(7)], "a double, b double")
+    assert correlated_frame(frame) == pytest.approx(1.0)
+    frame = spark.createDataFrame([(0.0, 0.0), (0.0, -0.0)], "a double, b double")
+    assert correlated_frame(frame) is None
