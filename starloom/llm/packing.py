@@ -33,6 +33,8 @@ SEQUENCE_TOKENS = 2048
 END_ID = 1
 BLOCK_DOCUMENTS = 16384
 BLOCK_TOKENS = 4 << 20
+# pieces that a task hands over at once, at most 8 MB of ids
+BATCH_PIECES = 1024
 # bytes of text that a task has on average at least; a block leaves up to eleven sequences
 # that are shorter than the others, so tasks of a few documents would leave many
 TASK_BYTES = 8 << 20
@@ -85,13 +87,11 @@ def place(lengths: list[int], size: int) -> list[tuple[int, int, int, int, int]]
 
 
 def _packed(vocabulary: str, ranks: str, size: int, end_id: int, with_ids: bool):
-    def block(ids: list[np.ndarray], keys: list[pa.Array], first: int) -> tuple:
-        placed = place([len(x) for x in ids], size)
+    def batch_of(placed: list[tuple], ids: list[np.ndarray], keys: pa.Array, first: int):
         documents, starts, lengths, sequences, offsets = map(list, zip(*placed, strict=True))
         raw = [ids[d][s : s + n].tobytes() for d, s, n, _, _ in placed]
-        key = pa.concat_arrays(keys).take(pa.array(documents, pa.int64()))
         columns = {
-            "doc_id": key,
+            "doc_id": keys.take(pa.array(documents, pa.int64())),
             "start": pa.array(starts, pa.int64()),
             "length": pa.array(lengths, pa.int64()),
             "ids_crc32": pa.array([zlib.crc32(x) for x in raw], pa.int64()),
@@ -101,8 +101,19 @@ def _packed(vocabulary: str, ranks: str, size: int, end_id: int, with_ids: bool)
         }
         if with_ids:
             columns["ids"] = pa.array(raw, pa.binary())
-        packed = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-        return packed, first + max(sequences) + 1
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    def block(ids: list[np.ndarray], keys: list[pa.Array], first: int) -> Iterator:
+        """The block's pieces, some at a time; returns the number of its next sequence."""
+        placed = place([len(x) for x in ids], size)
+        key = pa.concat_arrays(keys)
+        for begin in range(0, len(placed), BATCH_PIECES):
+            yield batch_of(placed[begin : begin + BATCH_PIECES], ids, key, first)
+        return first + max(piece[3] for piece in placed) + 1
+
+    def keys_of(batch: pa.RecordBatch, begin: int, end: int) -> pa.Array:
+        # a copy, as a slice would keep the texts of its batch until the block is packed
+        return batch.column(0).take(pa.array(np.arange(begin, end)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -120,14 +131,13 @@ def _packed(vocabulary: str, ranks: str, size: int, end_id: int, with_ids: bool)
                 ids.append(np.concatenate([coder.encode(text.as_py()), end]))
                 tokens += len(ids[-1])
                 if len(ids) >= BLOCK_DOCUMENTS or tokens >= BLOCK_TOKENS:
-                    keys.append(batch.column(0).slice(begin, row + 1 - begin))
-                    packed, first = block(ids, keys, first)
-                    yield packed
+                    keys.append(keys_of(batch, begin, row + 1))
+                    first = yield from block(ids, keys, first)
                     ids, keys, tokens, begin = [], [], 0, row + 1
             if begin < batch.num_rows:
-                keys.append(batch.column(0).slice(begin))
+                keys.append(keys_of(batch, begin, batch.num_rows))
         if ids:
-            yield block(ids, keys, first)[0]
+            yield from block(ids, keys, first)
 
     return run
 
