@@ -1,5 +1,6 @@
 """CSV with line breaks in its fields, read by several tasks per file."""
 
+import bz2
 import csv
 import random
 
@@ -106,3 +107,22 @@ def test_no_rows(spark, workspace, tmp_path):
     (tmp_path / "a.csv").write_text("")
     frame = read_split_csv(spark, str(tmp_path), SCHEMA, workspace)
     assert frame.collect() == [] and frame.schema == SCHEMA
+
+
+def test_a_compressed_file_is_read_by_several_tasks(spark, workspace, tmp_path, set_conf):
+    # a block of the codec holds 900 KB
+    chance = random.Random(5)
+    with bz2.open(tmp_path / "a.csv.bz2", "wt", newline="", encoding="utf-8") as file:
+        writer = csv.writer(file, lineterminator="\n")
+        writer.writerow(["id", "a", "b"])
+        expected = []
+        for n in range(40_000):
+            noise = f"{chance.getrandbits(400):x}"
+            expected.append((str(n), noise + '\n"' + noise[:9] + '"', "x\n\ny"))
+            writer.writerow(expected[-1])
+    set_conf("spark.sql.files.maxPartitionBytes", "300KB")
+    set_conf("spark.sql.files.openCostInBytes", "0")
+    path = str(tmp_path / "a.csv.bz2")
+    assert _blocks(_lines(spark, [path])).count() > 2
+    frame = read_split_csv(spark, path, SCHEMA, workspace)
+    assert sorted(map(tuple, frame.collect())) == sorted(expected)
