@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from checks.fixture import FLAT_SQL, SOURCE_TABLES, flat_sales
 
@@ -67,3 +68,19 @@ def test_lines_are_joined_by_hash_and_the_orders_bring_their_customers(spark, tm
     # the last join stands first: parts meet the lines after the orders
     keys = [key for _, key in joins]
     assert keys.index("l_partkey") < keys.index("l_orderkey") < keys.index("o_custkey")
+
+
+def test_csv_round_trips_write_compressed_files(spark, tmp_path, workspace, monkeypatch):
+    import __spark_entry__ as entry
+
+    tables = f"{tmp_path}/tables"
+    _tables(spark, tables)
+    expected = sorted(map(repr, flat_sales(spark, tables).collect()))
+    monkeypatch.setattr(entry, "Workspace", lambda spark: workspace)
+    found = entry.queries()["csv_round_trip"](spark, tables)
+    assert sorted(map(repr, found.collect())) == expected
+    split = entry.queries()["split_csv_round_trip"](spark, tables)
+    assert split.count() == len(expected)
+    written = {path.suffix for path in Path(workspace.root).rglob("part-*") if "csv" in path.name}
+    # the second query's files must stay readable by several tasks each
+    assert written == {".gz", ".bz2"}
