@@ -1,7 +1,7 @@
 """Token ids in compact binary blocks.
 
-Documents are range partitioned and sorted by id, tokenized, and written block by block as
-Parquet rows: the writer's commit protocol makes the files safe against lost and repeated
+Documents are tokenized where they are read, their ids range partitioned and sorted by
+document id, and written block by block as Parquet rows: the writer's commit protocol makes the files safe against lost and repeated
 tasks on any file system. A block holds whole documents, about a million ids, and can be
 decoded by itself. Its payload is, in little-endian order,
 
@@ -70,13 +70,30 @@ def decode_block(payload: bytes) -> np.ndarray:
     return order[ranks.view("<u4").reshape(-1)]
 
 
-def _blocks(vocabulary: str, end_id: int, block_tokens: int):
+def _encoded(vocabulary: str, end_id: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = WordCoder.loaded(vocabulary)
+        end = np.array([end_id], dtype=coder.kind)
+        for batch in batches:
+            codes = [np.concatenate([code, end]) for code in coder.encode(batch.column(2).to_pylist())]
+            columns = {
+                "doc_id": batch.column(0),
+                "tie": batch.column(1),
+                "n_tokens": pa.array([len(code) for code in codes], pa.int64()),
+                "ids": pa.array([code.tobytes() for code in codes], pa.binary()),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return run
+
+
+def _blocks(vocabulary: str, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder = WordCoder.loaded(vocabulary)
+        # the words that this worker learned are not needed beside the sorted rows
+        WordCoder.forget(vocabulary)
         part = TaskContext.get().partitionId()
-        end = np.array([end_id], dtype=coder.kind)
         ids: list[np.ndarray] = []
         keys: list[pa.Array] = []
         number = tokens = 0
@@ -95,9 +112,10 @@ def _blocks(vocabulary: str, end_id: int, block_tokens: int):
 
         for batch in batches:
             begin = 0
-            for row, code in enumerate(coder.encode(batch.column(1).to_pylist())):
-                ids.append(np.concatenate([code, end]))
-                tokens += len(ids[-1])
+            rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            for row, (n, raw) in enumerate(rows):
+                ids.append(np.frombuffer(raw, f"<u{len(raw) // n}"))
+                tokens += n
                 if tokens >= block_tokens:
                     keys.append(batch.column(0).slice(begin, row + 1 - begin))
                     yield block()
@@ -119,6 +137,7 @@ def write_token_files(
     vocabulary: str = WORD_VOCABULARY,
     end_id: int = END_ID,
     block_tokens: int = BLOCK_TOKENS,
+    workspace: Workspace | None = None,
 ) -> None:
     """Write the ids of all documents, each with `end_id` appended, in ascending id order.
 
@@ -127,22 +146,32 @@ def write_token_files(
     block makes a block of its own. An empty table writes no block; other columns are not
     read.
     """
-    text_session(docs.sparkSession)
-    slim = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    workspace = workspace or Workspace(text_session(docs.sparkSession))
+    text = text_or_empty(text_col)
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     # the hash also spreads an id that many rows share
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
     kind = dict(slim.dtypes)["doc_id"]
+    # stored, as the ranges are drawn from a first pass over the rows
+    encoded = workspace.save(
+        slim.mapInArrow(
+            _encoded(vocabulary, end_id), f"doc_id {kind}, tie long, n_tokens long, ids binary"
+        ),
+        "encoded",
+    )
     blocks = (
-        slim.repartitionByRange(*order)
+        encoded.repartitionByRange(*order)
         .sortWithinPartitions(*order)
+        .select("doc_id", "n_tokens", "ids")
         .mapInArrow(
-            _blocks(vocabulary, end_id, block_tokens),
+            _blocks(vocabulary, block_tokens),
             f"part long, block long, n_tokens long, doc_ids array<{kind}>, "
             "lengths array<long>, payload binary",
         )
     )
     # the payload is dense already
     blocks.write.option("compression", "none").parquet(path)
+    workspace.release(encoded)
 
 
 def _read(with_ids: bool):

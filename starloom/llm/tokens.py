@@ -45,6 +45,13 @@ def per_worker(key: str, make: Callable):
     return getattr(holder, key)
 
 
+def forget_in_worker(key: str) -> None:
+    """Let go of what `per_worker` keeps in this process; it is made anew when next asked for."""
+    holder = sys.modules.get("_starloom_worker")
+    if hasattr(holder, key):
+        delattr(holder, key)
+
+
 def load_tokenizer(vocabulary: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -80,6 +87,8 @@ class WordCoder:
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.kind = np.dtype("<u2" if small else "<u4")
         self.codes: dict[bytes, bytes] = {}
+        # packing by number of ids
+        self._forms: dict[int, Callable] = {}
         self._small_letters = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
         # U+0300 to U+037F start with these bytes; other marks may stand before them
         self._capital_and_mark = re.compile(rb"[A-Z][\x80-\xff]*[\xcc\xcd]").search
@@ -90,6 +99,10 @@ class WordCoder:
     def loaded(vocabulary: str) -> WordCoder:
         return per_worker(f"words {vocabulary}", lambda: WordCoder(vocabulary))
 
+    @staticmethod
+    def forget(vocabulary: str) -> None:
+        forget_in_worker(f"words {vocabulary}")
+
     def _lower(self, word: re.Match) -> bytes:
         return word[0] if self._capital_and_mark(word[0]) else word[0].lower()
 
@@ -102,16 +115,22 @@ class WordCoder:
         return self._before_mark.sub(rb" \1", text).split()
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.kind.itemsize == 2 else 'I'}", *ids)
+        form = self._forms.get(len(ids))
+        if form is None:
+            letter = "H" if self.kind.itemsize == 2 else "I"
+            form = self._forms[len(ids)] = struct.Struct(f"<{len(ids)}{letter}").pack
+        return form(*ids)
 
     def _learn(self, new: set[bytes]) -> None:
         # small letters to U+00FF need no normalising or splitting: the model alone gives
         # their tokens, from the characters that stand for their bytes
         plain = [word for word in new if self._small_letters(word)]
-        model = self.tokenizer.model
+        codes, packed, tokenize = self.codes, self._packed, self.tokenizer.model.tokenize
         for word in plain:
-            tokens = model.tokenize(word.decode("latin-1").translate(_BYTE_LETTERS))
-            self.codes[word] = self._packed([token.id for token in tokens])
+            # a letter of ASCII stands for itself
+            letters = word.decode("latin-1")
+            tokens = tokenize(letters if word.isascii() else letters.translate(_BYTE_LETTERS))
+            codes[word] = packed([token.id for token in tokens])
         for call in calls(new.difference(plain), _CALL_BYTES):
             texts = [word.decode("utf-8") for word in call]
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)

@@ -252,3 +252,26 @@ def test_token_files_of_no_rows(spark, tmp_path):
     path = str(tmp_path / "none")
     spark.createDataFrame([], SCHEMA).select("doc_id", "text").write.parquet(f"{path}/documents.parquet")
     assert op6_token_files(spark, path).count() == 0
+
+
+def test_token_files_shuffle_ids_instead_of_texts(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(2, "a b"), (1, None)], "doc_id long, text string")
+    kind = type(docs)
+    shuffled, by_range = [], kind.repartitionByRange
+
+    def seen(self, *columns):
+        shuffled.append(self.columns)
+        return by_range(self, *columns)
+
+    monkeypatch.setattr(kind, "repartitionByRange", seen)
+    write_token_files(docs, f"{tmp_path}/files")
+    assert shuffled == [["doc_id", "tie", "n_tokens", "ids"]]
+    assert [r.doc_id for r in read_token_files(spark, f"{tmp_path}/files").orderBy("start").collect()] == [1, 2]
+
+
+def test_words_of_a_worker_are_forgotten(words):
+    coder = WordCoder.loaded(WORD_VOCABULARY)
+    assert WordCoder.loaded(WORD_VOCABULARY) is coder
+    WordCoder.forget(WORD_VOCABULARY)
+    WordCoder.forget(WORD_VOCABULARY)
+    assert WordCoder.loaded(WORD_VOCABULARY) is not coder
