@@ -53,12 +53,12 @@ def _hashed(words: list[bytes]) -> np.ndarray:
 
 def _batch_row(ids: list, texts: list[str], learned: list[bool], name: int, kind) -> pa.RecordBatch:
     places: dict[bytes, int] = {_BOUNDARY: 0}
-    tokens, sizes = [np.zeros(1, dtype=np.int64)], []
+    tokens, sizes = [np.zeros(1, dtype=np.int32)], []
     for text in texts:
         words = text.encode("utf-8").translate(_LOWER).split()
         for word in set(words).difference(places):
             places[word] = len(places)
-        found = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+        found = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
         tokens += [found, tokens[0]]
         sizes.append(len(words) + 1)
     hashes, rank = np.unique(_hashed(list(places)), return_inverse=True)
@@ -103,8 +103,24 @@ def _read_batches(batch_bytes: int):
 def _bigrams(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, sizes of the documents, whether each bigram is learned, slices of the words."""
     tokens, sizes, learned, slices = unpack(body)
-    tokens, sizes = tokens.astype(np.int64), sizes.astype(np.int64)
-    return tokens, sizes, np.repeat(learned.astype(np.int64), sizes), slices.astype(np.int64)
+    # a batch has its tokens in memory several times over: as narrow as they go
+    tokens, sizes = tokens.astype(np.int32), sizes.astype(np.int64)
+    return tokens, sizes, np.repeat(learned.astype(np.int8), sizes), slices.astype(np.int64)
+
+
+def _pairs(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Each bigram of the batch as one number."""
+    pairs = tokens[:-1].astype(np.int64)
+    pairs *= n
+    pairs += tokens[1:]
+    return pairs
+
+
+def _begins(ordered: np.ndarray) -> np.ndarray:
+    """Where another number begins, among numbers in order."""
+    begins = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=begins[1:])
+    return begins
 
 
 def _home(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -190,10 +206,17 @@ def _questions(shards: int, hot: dict[int, int]):
         tokens, _, learned, slices = _bigrams(body)
         n = len(hashes)
         counts = np.bincount(tokens[:-1], weights=learned, minlength=n).astype(np.int64)
-        keys = np.sort((tokens[:-1] * n + tokens[1:]) * 2 + learned)
-        start = np.flatnonzero(np.diff(keys >> 1, prepend=-1))
-        times = np.add.reduceat(keys & 1, start)
-        context, follower = np.divmod(keys[start] >> 1, n)
+        keys = _pairs(tokens, n)
+        keys *= 2
+        keys += learned
+        del tokens, learned
+        keys.sort()
+        taught = (keys & 1).astype(np.int8)
+        keys >>= 1
+        start = np.flatnonzero(_begins(keys))
+        times = np.add.reduceat(taught, start, dtype=np.int64)
+        context, follower = np.divmod(keys[start], n)
+        del keys, taught
         home, spread = _home(hashes, shards), _spread(hashes, hot)
         shard = _shard_of(context, follower, home, spread, slices, shards)
         order = np.argsort(shard, kind="stable")
@@ -303,27 +326,38 @@ def _scored(shards: int, taught: int, distinct: int, discount: float, kind):
         _, entry = _entries(home, spread, shards)
         kinds = np.bincount(entry, weights=types, minlength=n)
 
-        pairs, place = np.unique(tokens[:-1] * n + tokens[1:], return_inverse=True)
-        context, follower = np.divmod(pairs, n)
+        starts = np.cumsum(sizes) - sizes
+        predicted = tokens[1:]
+        held_out = learned[starts] == 0
+        pairs = _pairs(tokens, n)
+        del learned, bodies, found, answers
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+        begins = _begins(pairs)
+        context, follower = np.divmod(pairs[begins], n)
+        del pairs
         shard = _shard_of(context, follower, home, spread, slices, shards)
-        code = np.zeros(len(pairs), dtype=np.int64)
+        code = np.zeros(len(context), dtype=np.int64)
         code[np.argsort(shard, kind="stable")] = codes
         unigram = (count + 1) / (taught + distinct + 1)
         before = count[context]
         rest = np.where(before > 0, discount * kinds[context] / np.maximum(before, 1), 1.0)
         log = np.log10(share[code] + rest * unigram[follower])
-        starts = np.cumsum(sizes) - sizes
-        predicted = tokens[1:]
+        place = np.cumsum(begins, dtype=np.int32)
+        place -= 1
+        scores = np.empty(len(order))
+        scores[order] = log[place]
+        del order, place
         ids = rows.column("ids")[own]
         return pa.table(
             {
                 "doc_id": pa.array(ids.as_py(), kind),
-                "held_out": pa.array(learned[starts] == 0, pa.bool_()),
+                "held_out": pa.array(held_out, pa.bool_()),
                 "n_tokens": pa.array(sizes, pa.int64()),
                 "n_known": pa.array(np.add.reduceat((count > 0)[predicted].astype(np.int64), starts)),
                 "train_tokens": pa.array(np.full(len(sizes), taught), pa.int64()),
                 "base_score": pa.array(np.add.reduceat(np.log10(unigram)[predicted], starts)),
-                "score": pa.array(np.add.reduceat(log[place], starts)),
+                "score": pa.array(np.add.reduceat(scores, starts)),
             }
         )
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -186,3 +187,22 @@ def test_nothing_learned_and_empty(spark):
     (row,) = language_model_scores(docs, F.lit(None).cast("boolean")).collect()
     assert row["held_out"] and row["n_known"] == 0 and row["score"] == row["base_score"] == 0
     assert language_model_scores(docs.limit(0), F.lit(True)).collect() == []
+
+
+def test_a_batch_is_asked_and_scored_in_little_memory():
+    import tracemalloc
+
+    from starloom.llm.lm_scores import _batch_row, _questions
+
+    chance = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(2000)]
+    text = " ".join(words[k] for k in chance.integers(0, 2000, 400_000))
+    row = _batch_row([1], [text], [True], 0, pa.int64())
+    batch = row.select(["batch", "hashes", "body"])
+    tracemalloc.start()
+    asked = list(_questions(1, {})(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert asked[0].num_rows == 1
+    # bytes a token: 118 when every array had 64 bits
+    assert peak < 400_000 * 106
