@@ -18,7 +18,7 @@ def _counts(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCoder.loaded(vocabulary)
         for batch in batches:
-            counts = coder.count(batch.column(2).to_pylist())
+            counts = coder.count(batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"],
@@ -37,9 +37,9 @@ def token_counts(
     """One row per document: doc_id, n_bytes, n_tokens, over_limit.
 
     `vocabulary` is a tokenizers file whose tokens do not cross white space, by name or
-    path. Batches reach Python with at most 16 MB; a text of any length is encoded in
-    pieces of about 1 MB that end at white space, and the library is called with the words
-    not seen before, about equal bytes a call. Nothing is shuffled and only lengths return.
+    path. Batches reach Python with at most 16 MB; texts are split into words, and the
+    library is called with the words not seen before, about equal bytes a call. Nothing is
+    shuffled and only lengths return.
 
     A null text counts as empty and has no tokens. Null and repeated ids pass through; each
     row is counted on its own. An empty table gives an empty result; other columns are not

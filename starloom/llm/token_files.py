@@ -75,7 +75,7 @@ def _encoded(vocabulary: str, end_id: int):
         coder = WordCoder.loaded(vocabulary)
         end = np.array([end_id], dtype=coder.kind)
         for batch in batches:
-            codes = [np.concatenate([code, end]) for code in coder.encode(batch.column(2).to_pylist())]
+            codes = [np.concatenate([code, end]) for code in coder.encode(batch.column(2))]
             columns = {
                 "doc_id": batch.column(0),
                 "tie": batch.column(1),

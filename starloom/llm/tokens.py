@@ -11,20 +11,27 @@ import struct
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
-# texts are worked on in pieces of about this many bytes
+# longer texts of the byte-level vocabulary are worked on in pieces of about this many bytes
 PIECE_BYTES = 1 << 20
 # bytes of new words in a call of the library, and of the texts worked on together
 _CALL_BYTES = 1 << 18
-_GROUP_BYTES = 4 << 20
+_GROUP_BYTES = 8 << 20
 # words a worker remembers, at about 200 bytes each
 _MOST_WORDS = 1_000_000
+# ASCII symbols; an apostrophe may belong to the letters after it
+_SYMBOLS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# a symbol after these letters or a digit starts a token
+_BEFORE_SYMBOLS = "[0-9a-z\u00df-\u00f6\u00f8-\u00ff]$"
 
 
 def vocabulary_path(name: str) -> str:
@@ -77,23 +84,23 @@ _BYTE_LETTERS = _byte_letters()
 class WordCoder:
     """Token ids of a vocabulary whose tokens never cross white space.
 
-    A text is split at white space, and before a full stop or comma between a letter and
-    white space; both are token boundaries of the vocabulary's own rule. Words that were
-    not seen before are encoded in calls of about equal bytes; the others are looked up.
+    Arrow splits the texts at white space and finds the different words, a few MB at a time,
+    so Python sees each of these once. Symbols that end a word after a letter or digit
+    are a part of their own, as in the vocabulary's own rule. Parts that were not seen before
+    are encoded in calls of about equal bytes; the others are looked up.
     """
 
     def __init__(self, vocabulary: str):
         self.tokenizer = load_tokenizer(vocabulary)
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.kind = np.dtype("<u2" if small else "<u4")
-        self.codes: dict[bytes, bytes] = {}
+        self.codes: dict[bytes, bytes] = {b"": b""}
         # packing by number of ids
         self._forms: dict[int, Callable] = {}
         self._small_letters = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
         # U+0300 to U+037F start with these bytes; other marks may stand before them
         self._capital_and_mark = re.compile(rb"[A-Z][\x80-\xff]*[\xcc\xcd]").search
         self._word = re.compile(rb"\S+")
-        self._before_mark = re.compile(rb"(?<=[a-z])([.,])(?=\s|$)")
 
     @staticmethod
     def loaded(vocabulary: str) -> WordCoder:
@@ -106,13 +113,18 @@ class WordCoder:
     def _lower(self, word: re.Match) -> bytes:
         return word[0] if self._capital_and_mark(word[0]) else word[0].lower()
 
-    def _words(self, text: bytes) -> list[bytes]:
+    def _lowered(self, texts: pa.Array) -> pa.Array:
         # the vocabulary is in lower case; only special strings must keep theirs, and words
         # whose capitals a mark may follow: the vocabulary composes both before it lowers
-        if b"<|" not in text:
-            marks = b"\xcc" in text or b"\xcd" in text
-            text = self._word.sub(self._lower, text) if marks else text.lower()
-        return self._before_mark.sub(rb" \1", text).split()
+        lowered = pc.ascii_lower(texts)
+        odd = pc.match_substring_regex(texts, "<\\||[\u0300-\u037f]")
+        if not pc.any(odd).as_py():
+            return lowered
+        kept = [text.encode("utf-8") for text in texts.filter(odd).to_pylist()]
+        kept = [text if b"<|" in text else self._word.sub(self._lower, text) for text in kept]
+        return pc.replace_with_mask(
+            lowered, odd, pa.array([text.decode("utf-8") for text in kept], lowered.type)
+        )
 
     def _packed(self, ids: list[int]) -> bytes:
         form = self._forms.get(len(ids))
@@ -137,38 +149,90 @@ class WordCoder:
             for word, encoding in zip(call, found, strict=True):
                 self.codes[word] = self._packed(encoding.ids)
 
-    def _coded(self, texts: Iterable[str]) -> Iterator[list[list[bytes]]]:
-        """The texts' words, piece by piece, all of them known; a few MB at a time."""
-        encoded = [text.encode("utf-8") for text in texts]
-        for group in calls(encoded, _GROUP_BYTES):
-            split = [[self._words(piece) for piece in pieces(text)] for text in group]
-            new: set[bytes] = set()
-            for words in split:
-                new.update(*words)
-            if len(self.codes) > _MOST_WORDS:
-                self.codes = {}
-            self._learn(new.difference(self.codes))
-            yield split
-
-    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
+    def _codes(self, words: list[bytes]) -> list[bytes]:
+        if len(self.codes) > _MOST_WORDS:
+            self.codes = {b"": b""}
+        found = list(map(self.codes.get, words))
+        new = {word for word, code in zip(words, found, strict=True) if code is None}
+        self._learn(new)
+        return list(map(self.codes.__getitem__, words)) if new else found
+
+    @staticmethod
+    def _parts(words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Different parts of words, and two places among them a word; the second may be empty."""
+        stems = pc.ascii_rtrim(words, characters=_SYMBOLS)
+        ended = pc.and_not(
+            pc.match_substring_regex(stems, _BEFORE_SYMBOLS), pc.match_substring(words, "<|")
+        )
+        cut = pc.and_(ended, pc.not_equal(pc.binary_length(stems), pc.binary_length(words)))
+        stems = pc.if_else(cut, stems, words).dictionary_encode()
+        parts = stems.dictionary.cast(pa.binary()).to_pylist()
+        places = np.full((len(words), 2), len(parts), dtype="<i4")
+        places[:, 0] = stems.indices.to_numpy()
+        whole = words.filter(cut).cast(pa.binary()).to_pylist()
+        cut = cut.to_numpy(zero_copy_only=False)
+        tails = {b"": len(parts)}
+        places[cut, 1] = [
+            tails.setdefault(word[len(parts[stem]) :], len(parts) + len(tails))
+            for word, stem in zip(whole, places[cut, 0].tolist(), strict=True)
+        ]
+        return [*parts, *tails], places
+
+    def _coded(
+        self, texts: Iterable[str] | pa.Array
+    ) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+        """A few MB of texts at a time.
+
+        The codes of the parts of words, the places of each different word's two parts, the
+        place of each word of the texts among the different ones, the borders of the texts.
+        """
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(texts):
+            most = _GROUP_BYTES + (sizes[start - 1] if start else 0)
+            stop = max(start + 1, int(np.searchsorted(sizes, most, "right")))
+            split = pc.ascii_split_whitespace(self._lowered(texts.slice(start, stop - start)))
+            borders = split.offsets.to_numpy()
+            words = split.values.dictionary_encode()
+            del split
+            parts, places = self._parts(words.dictionary)
+            yield self._codes(parts), places, words.indices.to_numpy(), borders
+            start = stop
+
+    def _sizes(self, codes: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(len, codes), "<i4", len(codes)) // self.kind.itemsize
+
+    def encode(self, texts: Iterable[str] | pa.Array) -> list[np.ndarray]:
         found = []
-        for split in self._coded(texts):
-            code = self.codes.__getitem__
-            for words in split:
-                raw = b"".join([b"".join(map(code, piece)) for piece in words])
-                found.append(np.frombuffer(raw, dtype=self.kind))
+        for codes, parts, words, borders in self._coded(texts):
+            flat = np.frombuffer(b"".join(codes), dtype=self.kind)
+            flat, ends = _joined(flat, self._sizes(codes), parts.reshape(-1))
+            ids, ends = _joined(flat, np.diff(ends[::2]), words)
+            found += [ids[a:b] for a, b in pairwise(ends[borders].tolist())]
         return found
 
-    def count(self, texts: Iterable[str]) -> list[int]:
+    def count(self, texts: Iterable[str] | pa.Array) -> list[int]:
         found = []
-        for split in self._coded(texts):
-            code = self.codes.__getitem__
-            for words in split:
-                size = sum(sum(map(len, map(code, piece))) for piece in words)
-                found.append(size // self.kind.itemsize)
+        for codes, parts, words, borders in self._coded(texts):
+            sizes = self._sizes(codes)[parts].sum(axis=1)
+            ends = np.concatenate([[0], np.cumsum(sizes[words])])
+            found += np.diff(ends[borders]).astype(int).tolist()
         return found
 
 
+def _joined(flat: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of `flat` at the places, one after the other, and their borders."""
+    begins = np.cumsum(sizes, dtype="<i4") - sizes
+    lengths = sizes[places]
+    borders = np.zeros(len(places) + 1, dtype="<i4")
+    np.cumsum(lengths, out=borders[1:])
+    taken = np.repeat(begins[places] - borders[:-1], lengths)
+    taken += np.arange(len(taken), dtype="<i4")
+    return flat[taken], borders
+
+
 def calls(items: Iterable[bytes], limit: int) -> Iterator[list[bytes]]:
     """The items in lists of about `limit` bytes; a longer item is a list of its own."""
     call: list[bytes] = []
@@ -183,19 +247,6 @@ def calls(items: Iterable[bytes], limit: int) -> Iterator[list[bytes]]:
         yield call
 
 
-def pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
-    """The text in pieces of about `limit` bytes, cut at white space only."""
-    start = 0
-    space = re.compile(rb"[\x20\x09-\x0D]")
-    while len(text) - start > limit:
-        cut = space.search(text, start + limit)
-        if cut is None:
-            break
-        yield text[start : cut.start()]
-        start = cut.start()
-    yield text[start:]
-
-
 def load_ranks(ranks: str):
     """A byte-level vocabulary from its rank file; no string is special to it."""
     import base64

@@ -275,3 +275,22 @@ def test_words_of_a_worker_are_forgotten(words):
     WordCoder.forget(WORD_VOCABULARY)
     WordCoder.forget(WORD_VOCABULARY)
     assert WordCoder.loaded(WORD_VOCABULARY) is not coder
+
+
+def test_symbols_after_a_word_are_learned_once(words):
+    texts = ["abc### abc!! abc. Abc, é!! x1.. x1", "don't' 'tis' a'. <|endoftext|>. a<|, ́., —.", ""]
+    coder = WordCoder(WORD_VOCABULARY)
+    assert [list(x) for x in coder.encode(texts[:1])] == ids_of(words, texts[:1])
+    parts = {b"", b"abc", "é".encode(), b"x1", b"###", b"!!", b".", b",", b".."}
+    assert set(coder.codes) == parts
+    assert [list(x) for x in coder.encode(texts)] == ids_of(words, texts)
+    assert coder.count(texts) == [len(x) for x in ids_of(words, texts)]
+
+
+def test_texts_beyond_a_group_and_forgotten_words(words, monkeypatch):
+    texts = [f"term{i}. Term{i % 7}!! \n x́{i}," * (i % 5) for i in range(60)]
+    monkeypatch.setattr("starloom.llm.tokens._GROUP_BYTES", 100)
+    monkeypatch.setattr("starloom.llm.tokens._MOST_WORDS", 10)
+    coder = WordCoder(WORD_VOCABULARY)
+    assert [list(x) for x in coder.encode(texts)] == ids_of(words, texts)
+    assert coder.count(texts) == [len(x) for x in ids_of(words, texts)]
