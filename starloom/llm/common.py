@@ -24,12 +24,16 @@ ARROW_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
 }
 
+# vectored reads of Parquet go through threads that each keep a direct buffer as large as the
+# longest column chunk they read: beside texts, that is memory the workers need
+READ_SETTINGS = {"parquet.hadoop.vectored.io.enabled": "false"}
+
 _KEY_LOW, _KEY_HIGH = "__row_key_low", "__row_key_high"
 ROW_KEY = (_KEY_LOW, _KEY_HIGH)
 
 
 def text_session(spark: SparkSession) -> SparkSession:
-    for name, value in ARROW_SETTINGS.items():
+    for name, value in (ARROW_SETTINGS | READ_SETTINGS).items():
         spark.conf.set(name, value)
     return spark
 

@@ -5,6 +5,7 @@ Loaded vocabularies stay with the worker process between tasks.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -261,6 +262,11 @@ def load_ranks(ranks: str):
     )
 
 
+def _added_strings(vocabulary: str) -> list[str]:
+    with open(vocabulary_path(vocabulary), encoding="utf-8") as file:
+        return [token["content"] for token in json.load(file)["added_tokens"]]
+
+
 class ByteCoder:
     """Token ids of the byte-level vocabulary.
 
@@ -272,8 +278,8 @@ class ByteCoder:
     _SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
     def __init__(self, vocabulary: str, ranks: str):
-        self.tokenizer = load_tokenizer(vocabulary)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.vocabulary = vocabulary
+        self.special = _added_strings(vocabulary)
         self.fast = load_ranks(ranks)
 
     @staticmethod
@@ -282,7 +288,9 @@ class ByteCoder:
 
     def encode(self, text: str) -> np.ndarray:
         if any(special in text for special in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            # loaded for the first such text only, as a worker would hold the vocabulary twice
+            tokenizer = load_tokenizer(self.vocabulary)
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype="<u4")
         parts = []
         start = 0

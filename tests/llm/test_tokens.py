@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from starloom.llm.common import table
 from starloom.llm.packing import PAIR_COST, op5_packing, pack_documents, place, sequence_lengths
+from starloom.llm.quality import drop_low_quality
 from starloom.llm.token_counts import op3_token_counts, token_counts
 from starloom.llm.token_files import (
     decode_block,
@@ -294,3 +295,28 @@ def test_texts_beyond_a_group_and_forgotten_words(words, monkeypatch):
     coder = WordCoder(WORD_VOCABULARY)
     assert [list(x) for x in coder.encode(texts)] == ids_of(words, texts)
     assert coder.count(texts) == [len(x) for x in ids_of(words, texts)]
+
+
+def test_byte_coder_loads_the_tokenizer_for_special_strings_alone(pieces, monkeypatch):
+    loaded = []
+
+    def load(vocabulary):
+        loaded.append(vocabulary)
+        return pieces
+
+    monkeypatch.setattr("starloom.llm.tokens.load_tokenizer", load)
+    coder = ByteCoder(BYTE_VOCABULARY, BYTE_RANKS)
+    assert list(coder.encode("plain text")) == ids_of(pieces, ["plain text"])[0] and not loaded
+    special = "a<|endoftext|>b"
+    assert list(coder.encode(special)) == ids_of(pieces, [special])[0] and loaded
+
+
+def test_texts_are_read_without_vectored_reads(spark, set_conf):
+    name = "parquet.hadoop.vectored.io.enabled"
+    for run in (lambda docs: pack_documents(docs), lambda docs: drop_low_quality(docs)):
+        set_conf(name, "true")
+        run(table(spark, SMALL, "documents").limit(5))
+        assert spark.conf.get(name) == "false"
+        set_conf(name, "true")
+        run(spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string"))
+        assert spark.conf.get(name) == "false"
