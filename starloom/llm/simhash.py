@@ -134,6 +134,15 @@ def _entries(nodes: DataFrame, *others: str) -> DataFrame:
     return nodes.select("fp", *others, halves).withColumn("value", value)
 
 
+def _shuffled(probes: DataFrame) -> DataFrame:
+    """Never sent to every executor: Spark sizes exploded rows as the rows they come from.
+
+    Probes are up to 66 times as many as the fingerprints, so their true size is far beyond
+    the estimate by which Spark would broadcast them.
+    """
+    return probes.hint("merge")
+
+
 def shared_values(nodes: DataFrame, workspace: Workspace) -> DataFrame:
     """half, value, count: half values that several fingerprints have."""
     counts = _entries(nodes).groupBy("half", "value").count()
@@ -152,7 +161,7 @@ def one_bit_links(nodes: DataFrame, shared: DataFrame) -> DataFrame:
     probes = alike.select(
         fp.alias("a"), "half", F.explode(F.when(F.col("half") == 0, lower).otherwise(upper)).alias("fp")
     )
-    return probes.join(alike, ["half", "fp"]).select("a", fp.alias("b"))
+    return _shuffled(probes).join(alike, ["half", "fp"]).select("a", fp.alias("b"))
 
 
 def links(nodes: DataFrame, workspace: Workspace, crowded: int = CROWDED) -> DataFrame:
@@ -183,7 +192,7 @@ def cluster_links(
     dense = shared.filter(F.col("count") > crowded).select(*key)
     has_dense = not dense.isEmpty()
     sparse = entries.join(dense, key, "left_anti") if has_dense else entries
-    found = sparse.join(probes, key)
+    found = sparse.join(_shuffled(probes), key)
     if has_dense:
         found = found.select(*_FOUND).unionByName(
             _crowded_pairs(entries, probes, dense, workspace).select(*_FOUND)
@@ -231,7 +240,7 @@ def _crowded_pairs(
     entries, probes = _mixed(
         quarters(entries, "fp", False), quarters(probes, "other", True), finer, workspace
     )
-    return entries.join(probes, finer)
+    return entries.join(_shuffled(probes), finer)
 
 
 def components(edges: DataFrame, workspace: Workspace) -> DataFrame:

@@ -198,3 +198,28 @@ def test_nulls_repeats_other_columns_and_empty(spark):
     ]
     empty = spark.createDataFrame([], schema)
     assert simhash_groups(empty).count() == drop_near_duplicates(empty).count() == 0
+
+
+def broadcasts(rows):
+    """The plans below each broadcast, as text, before anything has run."""
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    depths = [re.search(r"[A-Za-z(*]", line + "A").start() for line in lines]
+    for place, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = place + 1
+            while end < len(lines) and depths[end] > depths[place]:
+                end += 1
+            yield "\n".join(lines[place:end])
+
+
+@pytest.mark.parametrize("crowded", [0, 64])
+def test_exploded_rows_are_not_sent_to_every_executor(spark, workspace, set_conf, crowded):
+    # the size of a file stands for 66 times as many probes in Spark's estimate
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "10m")
+    prints = [(signed(p),) for p in near_prints(300, 4)]
+    nodes = workspace.save(spark.createDataFrame(prints, "fp long"), "nodes")
+    shared = shared_values(nodes, workspace)
+    clusters = nodes.selectExpr("fp", "fp as cluster")
+    for pairs in (one_bit_links(nodes, shared), cluster_links(clusters, shared, workspace, crowded)):
+        assert "SortMergeJoin" in pairs._jdf.queryExecution().executedPlan().toString()
+        assert not [plan for plan in broadcasts(pairs) if "Generate" in plan]
