@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.lookup import measured_bytes
+from starloom.operators.lookup import by_size, measured_bytes
 from starloom.workspace import Workspace
 
 # white space of the word rule: blank and the controls 9 to 13
@@ -105,8 +105,7 @@ def keep_rows(docs: DataFrame, winners: DataFrame, limit: int = BROADCAST_BYTES)
 
     def among(keys: DataFrame) -> DataFrame:
         keys = keys.select(*ROW_KEY)
-        if measured_bytes(keys) <= limit:
-            keys = F.broadcast(keys)
+        keys = by_size(keys, measured_bytes(keys), limit)
         return rows.join(keys, list(ROW_KEY), "left_semi")
 
     columns = [F.col("row").getField(name).alias(name) for name in docs.columns]

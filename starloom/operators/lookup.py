@@ -37,6 +37,15 @@ def save_measured(
     return saved, seen.get["bytes"] or 0
 
 
+def by_size(table: DataFrame, size: int, limit: int) -> DataFrame:
+    """The side of a join that is broadcast if its measured size is within the limit, else never.
+
+    Spark's own estimate is the size of files: columns of few values take a fraction there of
+    what they take in memory.
+    """
+    return F.broadcast(table) if size <= limit else table.hint("merge")
+
+
 def look_up(
     rows: DataFrame,
     table: DataFrame,
@@ -47,12 +56,12 @@ def look_up(
     """Left join on equal keys, where null matches nothing.
 
     A table measured to be within `limit` is sent to every executor, and the rows stay
-    where they are. A larger one is joined by shuffle, where adaptive execution splits a
-    key that holds a large share of the rows. `size` is given if it is known already.
+    where they are. A larger one is joined by shuffle, whatever Spark makes of its files'
+    size, and adaptive execution splits a key that holds a large share of the rows. `size`
+    is given if it is known already.
     """
-    if (measured_bytes(table) if size is None else size) <= limit:
-        table = F.broadcast(table)
-    return rows.join(table, list(on), "left")
+    known = measured_bytes(table) if size is None else size
+    return rows.join(by_size(table, known, limit), list(on), "left")
 
 
 _DIGEST = ("__digest_low", "__digest_high")

@@ -2,9 +2,10 @@ import hashlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import exact_dedup
-from starloom.llm.common import table
+from starloom.llm.common import keep_rows, row_key, table
 from starloom.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
 
 SMALL = "/root/testdata/sf0.001"
@@ -124,3 +125,12 @@ def test_work_folders_are_released(spark, tmp_path):
     left = sorted(name.rsplit("-", 1)[0] for name in os.listdir(workspace.root))
     # the rows and their groups are read by the result, the others by nothing any more
     assert left == ["fingerprints", "members"]
+
+
+def test_kept_rows_beyond_the_limit_are_met_by_shuffle(spark, set_conf):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "10m")
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (None, None)], "doc_id long, text string")
+    winners = docs.limit(2).select(*row_key(docs), F.lit(1).alias("copies"))
+    kept = keep_rows(docs, winners, limit=0)
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.count() == 2
