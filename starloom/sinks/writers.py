@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from starloom.config import CLICKHOUSE_TABLE_OPTIONS, JdbcStore
 from starloom.functions.fill import fill_missing
+from starloom.workspace import shuffles_freed
 
 Writer = Callable[[DataFrame, str], None]
 
@@ -91,6 +92,7 @@ _FAITHFUL = {
 
 def save_as(rows: DataFrame, kind: str, **options: str) -> None:
     """Replace whatever is at the target, by any format or connector Spark knows."""
-    rows.write.format(kind).options(**{**_FAITHFUL.get(kind, {}), **options}).mode(
-        "overwrite"
-    ).save()
+    with shuffles_freed(rows.sparkSession):
+        rows.write.format(kind).options(**{**_FAITHFUL.get(kind, {}), **options}).mode(
+            "overwrite"
+        ).save()

@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all machines of the cluster see, as the session names it."""
@@ -27,6 +31,24 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What a query within shuffles goes when it ends.
+
+    Otherwise the files stay until the driver happens to collect its garbage, beside the
+    written rows that replace them.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
+
 class Workspace:
     """A fresh folder below the shared one, written by one job and gone with it."""
 
@@ -45,7 +67,8 @@ class Workspace:
 
     def save(self, rows: DataFrame, label: str) -> DataFrame:
         path = self.fresh_path(label)
-        rows.write.parquet(path)
+        with shuffles_freed(self.spark):
+            rows.write.parquet(path)
         saved = self.spark.read.schema(rows.schema).parquet(path)
         self._saved[id(saved)] = saved, path
         return saved

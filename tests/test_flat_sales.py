@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import re
+import time
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from checks.fixture import FLAT_SQL, SOURCE_TABLES, flat_sales
+from starloom.sinks.writers import save_as
 
 TABLES = {
     "nation": ("n_nationkey int, n_name string", [(1, "NORTH"), (2, "SOUTH")]),
@@ -84,3 +88,38 @@ def test_csv_round_trips_write_compressed_files(spark, tmp_path, workspace, monk
     written = {path.suffix for path in Path(workspace.root).rglob("part-*") if "csv" in path.name}
     # the second query's files must stay readable by several tasks each
     assert written == {".gz", ".bz2"}
+
+
+def test_rows_of_a_part_follow_each_other_and_equal_columns_are_shuffled_once(spark, tmp_path, set_conf):
+    _tables(spark, str(tmp_path))
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = flat_sales(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # the customer's key went with the orders; suppliers are measured, not estimated
+    assert len(re.findall(r"Exchange hashpartitioning\(l_partkey", plan)) == 1
+    assert re.findall(r"(\w+) \[l_suppkey", plan) == ["BroadcastHashJoin"]
+    for part in rows.select("sale_product_id").rdd.glom().collect():
+        parts = [row.sale_product_id for row in part]
+        assert parts == sorted(parts, key=int)
+
+
+def test_written_rows_leave_no_shuffle_files(spark, tmp_path, workspace):
+    def names():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        blocks = disk.getAllBlocks()
+        return {blocks.apply(place).name() for place in range(blocks.size())}
+
+    def left(write):
+        rows = spark.range(1000).repartition(8).groupBy(F.col("id") % 7).count()
+        before = names()
+        write(rows)
+        for _ in range(50):
+            new = [n for n in names() - before if n.startswith("shuffle_")]
+            if not new:
+                break
+            time.sleep(0.1)
+        return new
+
+    assert left(lambda rows: rows.write.parquet(f"{tmp_path}/plain"))
+    assert not left(lambda rows: workspace.save(rows, "saved"))
+    assert not left(lambda rows: save_as(rows, "csv", path=f"{tmp_path}/csv"))
