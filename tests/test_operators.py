@@ -344,3 +344,14 @@ def test_a_table_of_bits_keeps_most_other_rows_out(spark, workspace, count):
     assert sorted(map(str, kept.collect())) == sorted(
         str(row) for row in rows.collect() if (row.k, row.v) in given
     )
+
+
+def test_rows_of_several_keys_beyond_the_limit_are_sorted_out_before_their_shuffle(spark, workspace):
+    # products carry their supplier's columns: the widest rows of the star
+    frame = spark.range(20_000).selectExpr("id", "id % 500 as k", "id % 300 as m", "cast(id as string) as wide")
+    frame = workspace.save(frame, "frame")
+    found = lowest_rows_per_keys(frame, {"k": ["wide"], "m": ["wide"]}, "id", workspace, limit=0)
+    for key, count in (("k", 500), ("m", 300)):
+        plan = found[key]._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Exchange hashpartitioning") < plan.index("getbit")
+        assert {tuple(row) for row in found[key].collect()} == {(k, str(k)) for k in range(count)}
