@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+from starloom.sources import split_csv
 from starloom.sources.split_csv import _blocks, _lines, read_split_csv
 
 SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ("id", "a", "b")])
@@ -126,3 +127,19 @@ def test_a_compressed_file_is_read_by_several_tasks(spark, workspace, tmp_path,
     assert _blocks(_lines(spark, [path])).count() > 2
     frame = read_split_csv(spark, path, SCHEMA, workspace)
     assert sorted(map(tuple, frame.collect())) == sorted(expected)
+
+
+@pytest.mark.parametrize("longest", [10, 1 << 20])
+def test_the_lines_are_read_twice_unless_a_piece_is_long(
+    spark, workspace, tmp_path, set_conf, monkeypatch, longest
+):
+    path = tmp_path / "a.csv"
+    random_file(path, 7, 300, "\n")
+    set_conf("spark.sql.files.maxPartitionBytes", "1KB")
+    set_conf("spark.sql.files.openCostInBytes", "0")
+    expected = rows_of(multi_line(spark, [str(path)]))
+    monkeypatch.setattr(split_csv, "_LONGEST", longest)
+    if longest > 10:
+        # a third reading would stop the job
+        monkeypatch.setattr(split_csv, "_cut_records", None)
+    assert rows_of(read_split_csv(spark, str(path), SCHEMA, workspace)) == expected
